@@ -4,13 +4,17 @@ from pyspark.sql import functions as F
 
 from auditloom import fixed
 
-# Unicode white space plus the four ASCII separators Java's class leaves out.
-_SPACE = r"[\s\x1c-\x1f]"
+# Unicode white space, with the ASCII separators.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(col):
-    """Trim Unicode white space on both ends (`trim` only knows the blank)."""
-    return F.regexp_replace(col, rf"(?U)\A{_SPACE}+|{_SPACE}+\z", "")
+    """Trim Unicode white space on both ends (plain `trim` only knows the blank)."""
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def is_blank(col):
@@ -22,8 +26,8 @@ def parse_generation(col):
 
     Only ASCII digits count; leading zeros and outer white space are allowed.
     """
-    digits = F.regexp_extract(col, rf"(?U)\A{_SPACE}*([0-9]+){_SPACE}*\z", 1)
-    number = F.nullif(digits, F.lit("")).try_cast("bigint")
+    text = strip(col)
+    number = F.when(text.rlike(r"\A[0-9]+\z"), text.try_cast("bigint"))
     return F.when(number > 0, number)
 
 

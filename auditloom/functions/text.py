@@ -33,29 +33,25 @@ def kind(variant):
     return F.schema_of_variant(variant)
 
 
-def is_number(variant):
+def is_number_kind(name):
     """Numbers and booleans, as the two are one family in the response format."""
     return F.coalesce(
-        kind(variant).rlike(r"\A(BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL.*)\z"), F.lit(False)
+        name.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | name.startswith("DECIMAL"),
+        F.lit(False),
     )
 
 
-def is_boolean(variant):
-    return F.coalesce(kind(variant) == "BOOLEAN", F.lit(False))
+def failure_reason(text, extracted, parsed, root):
+    """Why a response cannot be used; NULL when it can.
 
-
-def failure_reason(text, extracted, parsed):
-    """Why a response cannot be used; NULL when it can."""
-    shape = kind(parsed)
-    falsy = (
-        (shape == "VOID")
-        | (shape == "OBJECT<>")
-        | (parsed.try_cast("string").isin("[]", "", "0", "0.0", "false"))
-    )
+    `root` is the parsed document as a map, NULL when it is not an object.
+    """
+    scalar = F.coalesce(parsed.try_cast("string"), F.lit(""))
     return (
         F.when(text.isNull() | (text == ""), "empty_response")
         .when(extracted.isNull() | (extracted == ""), "no_json")
         .when(parsed.isNull(), "invalid_json")
-        .when(F.coalesce(falsy, F.lit(False)), "empty_result")
-        .when(~shape.startswith("OBJECT"), "not_an_object")
+        .when(root.isNotNull(), F.when(F.size(root) == 0, "empty_result"))
+        .when(scalar.isin("", "[]", "0", "0.0", "false"), "empty_result")
+        .otherwise("not_an_object")
     )

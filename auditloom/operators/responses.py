@@ -8,15 +8,30 @@ from auditloom.functions import text as T
 _ROW = "struct<class:string,material:string,estimated_percentage:double,scaled_weight:double>"
 
 
+def _computed(df, *names):
+    """Compute `names` once, whatever is done with them later.
+
+    Catalyst moves a filter below projections by copying their expressions,
+    which would parse every response again for each filter. It does not move
+    one below a generator, so the columns leave here through a one-row array.
+    """
+    kept = [c for c in df.columns if c not in names]
+    return df.select(*kept, F.inline(F.array(F.struct(*names))))
+
+
 def parse_responses(df, text_col="response"):
-    """Add `doc` (variant) and `reason` (NULL when the response is usable)."""
+    """Add `doc` (variant), `root` (its map form) and `reason`.
+
+    `reason` is NULL when the response is usable.
+    """
     text = F.col(text_col)
-    return (
+    parsed = (
         df.withColumn("_json", T.extract_json(text))
         .withColumn("doc", F.try_parse_json("_json"))
-        .withColumn("reason", T.failure_reason(text, F.col("_json"), F.col("doc")))
-        .drop("_json")
+        .withColumn("root", T.as_object(F.col("doc")))
     )
+    reason = T.failure_reason(text, F.col("_json"), F.col("doc"), F.col("root"))
+    return _computed(parsed.withColumn("reason", reason).drop("_json"), "reason", "root", "doc")
 
 
 def _half_even_2(ratio):
@@ -28,18 +43,23 @@ def _items(total):
     """Numeric materials of each class, empty classes left out."""
 
     def one(entry):
-        materials = F.filter(
-            F.map_entries(T.as_object(entry["value"])), lambda m: T.is_number(m["value"])
+        typed = F.transform(
+            F.map_entries(T.as_object(entry["value"])),
+            lambda m: F.struct(
+                m["key"].alias("material"),
+                T.kind(m["value"]).alias("kind"),
+                m["value"].try_cast("double").alias("fraction"),
+            ),
         )
         return F.struct(
             entry["key"].alias("class"),
             F.transform(
-                materials,
+                F.filter(typed, lambda m: T.is_number_kind(m["kind"])),
                 lambda m: F.struct(
-                    m["key"].alias("material"),
-                    m["value"].try_cast("double").alias("fraction"),
-                    (m["value"].try_cast("double") * total).alias("weight"),
-                    T.is_boolean(m["value"]).alias("flag"),
+                    m["material"].alias("material"),
+                    m["kind"].alias("kind"),
+                    m["fraction"].alias("fraction"),
+                    (m["fraction"] * total).alias("weight"),
                 ),
             ).alias("items"),
         )
@@ -52,16 +72,20 @@ def _items(total):
 
 def _unstorable(total, classes):
     """A value the result table refuses: it fails the whole audit."""
-    items = F.flatten(F.transform(classes, lambda c: c["items"]))
-    infinite = F.lit(float("inf"))
-    return (
-        F.when(F.exists(items, lambda i: i["flag"]), "boolean_fraction")
-        .when((total == 0) & (F.size(classes) > 0), "zero_total")
-        .when(
-            F.exists(items, lambda i: F.isnan(i["weight"]) | (F.abs(i["weight"]) == infinite)),
-            "non_finite_weight",
-        )
-    )
+
+    def some(test):
+        return F.exists(classes, lambda c: F.exists(c["items"], test))
+
+    def boolean(i):
+        return i["kind"] == "BOOLEAN"
+
+    def infinite(i):
+        return F.isnan(i["weight"]) | (F.abs(i["weight"]) == float("inf"))
+
+    return F.when(
+        some(lambda i: boolean(i) | infinite(i)),
+        F.when(some(boolean), "boolean_fraction").otherwise("non_finite_weight"),
+    ).when((total == 0) & (F.size(classes) > 0), "zero_total")
 
 
 def score_rows(parsed):
@@ -97,9 +121,8 @@ def score_rows(parsed):
             weight.alias("scaled_weight"),
         )
 
-    return (
-        parsed.withColumn("root", T.as_object(F.col("doc")))
-        .withColumn("total", F.when(T.is_number(total_value), total_value.try_cast("double")))
+    scored = (
+        parsed.withColumn("total", F.when(T.is_number_kind(T.kind(total_value)), total_value.try_cast("double")))
         .withColumn("classes", F.when(total.isNotNull(), _items(total)))
         .withColumn("reason", F.coalesce(F.col("reason"), _unstorable(total, classes)))
         .withColumn(
@@ -111,6 +134,7 @@ def score_rows(parsed):
         )
         .drop("root", "total", "classes")
     )
+    return _computed(scored, "reason", "rows")
 
 
 def with_payload(scored, name="model_result"):

@@ -1,4 +1,10 @@
 """All checked queries."""
 
-from auditloom.plans import checks_responses  # noqa: F401
+from auditloom.plans import (  # noqa: F401
+    checks_config,
+    checks_events,
+    checks_jobs,
+    checks_responses,
+    checks_tables,
+)
 from auditloom.plans.registry import ORACLES, QUERIES  # noqa: F401

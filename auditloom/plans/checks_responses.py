@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from auditloom.functions import text
 from auditloom.operators import conform, quality, responses, scoring
 from auditloom.operators.events import quarantine
 from auditloom.plans import standins as S
@@ -89,10 +90,8 @@ S.SQL["wrapped"] = WRAPPED_SQL
     ),
 )
 def extract_json(spark, sf_dir):
-    from auditloom.functions.text import extract_json as extract
-
     wrapped = S.view(spark, sf_dir, "wrapped")
-    return wrapped.select("doc_id", extract(F.col("response")).alias("extracted"))
+    return wrapped.select("doc_id", text.extract_json(F.col("response")).alias("extracted"))
 
 
 @query(
@@ -127,7 +126,8 @@ def quarantine_counts(spark, sf_dir):
 
 
 TAXONOMY_SQL = """
-select distinct p_type as class, p_brand as material, p_size as density from $part where p_partkey % 4 <> 0"""
+select distinct p_type as class, p_brand as material, p_size as density
+from $part where (length(p_type) + cast(substr(p_brand, 7) as int)) % 4 <> 0"""
 S.SQL["known_materials"] = TAXONOMY_SQL
 
 
@@ -147,7 +147,7 @@ def off_taxonomy(spark, sf_dir):
 
 
 # Some fractions are dropped so that not every audit sums to one.
-S.SQL["partial"] = S.SQL["fractions"].replace("select g.audit_id", "select g.audit_id", 1) + """
+S.SQL["partial"] = S.SQL["fractions"] + """
         where (g.audit_id + length(g.material)) % 5 <> 0"""
 
 
@@ -175,14 +175,14 @@ def fraction_check(spark, sf_dir):
         select audit_id, round(sum(estimated_percentage * coalesce(density, 0)), 6) as expected_weight,
           round(sum(scaled_weight), 6) as reported_weight,
           abs(sum(estimated_percentage * coalesce(density, 0)) - sum(scaled_weight))
-            <= abs(sum(estimated_percentage * coalesce(density, 0))) * 0.5 as ok
+            <= abs(sum(estimated_percentage * coalesce(density, 0))) * 0.3713 as ok
         from fractions f left join d on d.material = f.material group by audit_id""",
     ),
 )
 def weight_check(spark, sf_dir):
     rows = S.view(spark, sf_dir, "fractions")
     known = S.view(spark, sf_dir, "known_materials")
-    checked = quality.weight_check(rows, known, ["audit_id"], tolerance=0.5)
+    checked = quality.weight_check(rows, known, ["audit_id"], tolerance=0.3713)
     return checked.select(
         "audit_id",
         F.round("expected_weight", 6).alias("expected_weight"),
@@ -209,12 +209,12 @@ def bytes_scorer():
 @query(
     "score_batch",
     """
-    , d as (select doc_id, octet_length(encode(text)) as n, lang from documents)
+    with d as (select doc_id, octet_length(encode(text)) as n, lang from documents)
     select doc_id, case when n = 0 then 'No content: gs://docs/' || doc_id
         when n % 7 = 0 then 'cannot score ' || n || ' bytes' end as error_message,
       cast(case when n = 0 then 0 when n % 7 = 0 then 4 else 1 end as bigint) as tries,
       case when n % 7 <> 0 then round(n * 0.5, 6) end as weight
-    from d""".replace(", d as", "with d as", 1),
+    from d""",
 )
 def score_batch(spark, sf_dir):
     documents = S.table(spark, sf_dir, "documents")
