@@ -132,7 +132,7 @@ def score_rows(parsed):
                 F.concat(materials, F.transform(classes, rollup)),
             ).otherwise(F.array().cast(f"array<{_ROW}>")),
         )
-        .drop("root", "total", "classes")
+        .drop("total", "classes")
     )
     return _computed(scored, "reason", "rows")
 
@@ -148,7 +148,7 @@ def explode_rows(scored):
     The outer form keeps Catalyst from deriving a size filter that would parse
     every response a second time.
     """
-    kept = [c for c in scored.columns if c not in ("rows", "doc", "reason")]
+    kept = [c for c in scored.columns if c not in ("rows", "doc", "root", "reason")]
     return scored.select(*kept, F.inline_outer("rows")).where("class is not null")
 
 

@@ -5,6 +5,7 @@ from auditloom.plans import (  # noqa: F401
     checks_events,
     checks_jobs,
     checks_responses,
+    checks_streams,
     checks_tables,
 )
 from auditloom.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -61,8 +61,8 @@ def event_validation(spark, sf_dir):
     with t as (select event_id, case event_id % 7 when 0 then '  ' || event_id || ' ' when 1 then '000' || event_id
       when 2 then '-' || event_id when 3 then cast(event_id as varchar) || '.0' when 4 then ''
       when 5 then '922337203685477' || (1000 + event_id % 9000) else cast(event_id as varchar) end as g from events)
-    select event_id, case when regexp_matches(trim(g), '^[0-9]+$') and try_cast(trim(g) as bigint) > 0
-      then try_cast(trim(g) as bigint) end as generation from t""",
+    select event_id, cast(case when regexp_matches(trim(g), '^[0-9]+$') and try_cast(trim(g) as bigint) > 0
+      then try_cast(trim(g) as bigint) end as varchar) as generation from t""",
 )
 def parse_generation(spark, sf_dir):
     raw = S.table(spark, sf_dir, "events").select(
@@ -73,7 +73,7 @@ def parse_generation(spark, sf_dir):
                when 5 then '922337203685477' || (1000 + event_id % 9000) else cast(event_id as string) end"""
         ).alias("g"),
     )
-    return raw.select("event_id", objects.parse_generation(F.col("g")).alias("generation"))
+    return raw.select("event_id", objects.parse_generation(F.col("g")).cast("string").alias("generation"))
 
 
 S.SQL["odd_names"] = """

@@ -25,12 +25,15 @@ def uri_sql(u):
     )
 
 
+OBJECT_EVENT = [
+    "event_id",
+    f"{uri_sql('user_id')} as gcs_uri",
+    "case when event_id % 13 = 0 then null else event_id + 1 end as generation",
+    "case when event_type = 'error' then 'delete' else 'finalize' end as kind",
+]
+
 SQL = {
-    "object_events": f"""
-        select event_id, {uri_sql('user_id')} as gcs_uri,
-          case when event_id % 13 = 0 then null else event_id + 1 end as generation,
-          case when event_type = 'error' then 'delete' else 'finalize' end as kind
-        from $events""",
+    "object_events": f"select {', '.join(OBJECT_EVENT)} from $events",
     "versions": """
         select 'v1' as prompt_version_id union all select 'v2' as prompt_version_id""",
     "jobs_by_age": f"""
