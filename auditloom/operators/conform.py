@@ -18,9 +18,13 @@ FLOAT_TEXT = (
     r"\A[+-]?([0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)"
     r"([eE][+-]?[0-9]+(_[0-9]+)*)?\z"
 )
+COMMON_ISO = (
+    r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    r"([T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?([+-][0-9]{2}:[0-9]{2})?)?\z"
+)
 ISO_TEXT = (
     r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?)?([+-][0-9]{2}(:[0-9]{2}(:[0-9]{2})?)?)?)?\z"
+    r"([T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?([+-][0-9]{2}(:[0-9]{2}(:[0-9]{2})?)?)?)?\z"
 )
 MICROS_FROM, MILLIS_FROM = 1e14, 1e11
 
@@ -62,15 +66,20 @@ def _to_float(col, kind):
 
 
 def _iso(col):
-    """ISO text in the one spelling the cast reads."""
-    text = F.regexp_replace(strip(col), r"(Z| UTC)\z", "+00:00")
-    text = F.regexp_replace(text, r"\A([0-9]{4})([0-9]{2})([0-9]{2})(?=\z|[T ])", "$1-$2-$3")
-    text = F.regexp_replace(text, r"([T ][0-9]{2})([0-9]{2})([0-9]{2})?", "$1:$2:$3")
-    text = F.regexp_replace(text, r"([T ][0-9]{2}:[0-9]{2}):(?=\z|[+-])", "$1")
+    """ISO text to a timestamp.
+
+    The usual spelling is cast as it is; rarer ones (compact dates and times,
+    missing minutes or seconds, short offsets) are completed first.
+    """
+    zoned = F.regexp_replace(strip(col), r"(Z| UTC)\z", "+00:00")
+    text = F.regexp_replace(zoned, r"\A([0-9]{4})([0-9]{2})([0-9]{2})(?=\z|[T ])", "$1-$2-$3")
+    text = F.regexp_replace(text, r"([T ][0-9]{2})([0-9]{2})([0-9]{2})?(?=\z|[+.,-])", "$1:$2:$3")
     text = F.regexp_replace(text, r"([+-][0-9]{2})([0-9]{2})\z", "$1:$2")
     text = F.regexp_replace(text, r"([T ][0-9]{2})(?=\z|[+-])", "$1:00")
-    return F.when(
-        text.rlike(ISO_TEXT), F.replace(text, F.lit(","), F.lit(".")).try_cast("timestamp")
+    text = F.regexp_replace(text, r"([T ][0-9]{2}:[0-9]{2}):?(?=\z|[+-])", "$1:00")
+    text = F.replace(text, F.lit(","), F.lit("."))
+    return F.when(zoned.rlike(COMMON_ISO), zoned.try_cast("timestamp")).otherwise(
+        F.nullif(F.regexp_extract(text, ISO_TEXT, 0), F.lit("")).try_cast("timestamp")
     )
 
 
@@ -129,15 +138,21 @@ def conform(df, schema, keys=()):
     `Invalid TYPE value: column`, naming the first such column.
     """
     check_columns(df.drop(*keys), schema)
+    fields = [f for f in df.schema.fields if f.name not in keys]
+    made = {
+        f.name: CONVERTERS.get(schema[f.name].upper(), _to_text)(F.col(f.name), f.dataType)
+        for f in fields
+    }
+    # Converted once here; the second projection only compares and picks.
+    both = df.select("*", *[made[f.name].alias(f"_to_{f.name}") for f in fields])
     reason = F.lit(None).cast("string")
-    out = []
-    for field in reversed([f for f in df.schema.fields if f.name not in keys]):
-        source, declared = F.col(field.name), schema[field.name].upper()
-        value = CONVERTERS.get(declared, _to_text)(source, field.dataType)
-        bad = source.isNotNull() & value.isNull()
-        reason = F.when(bad, f"Invalid {declared} value: {field.name}").otherwise(reason)
-        out.append(value.alias(field.name))
-    return df.select(*keys, *reversed(out), reason.alias("reason"))
+    for f in reversed(fields):
+        bad = F.col(f.name).isNotNull() & F.col(f"_to_{f.name}").isNull()
+        message = f"Invalid {schema[f.name].upper()} value: {f.name}"
+        reason = F.when(bad, message).otherwise(reason)
+    return both.select(
+        *keys, *[F.col(f"_to_{f.name}").alias(f.name) for f in fields], reason.alias("reason")
+    )
 
 
 def fail_whole(df, audit_keys, reason_col="reason"):
