@@ -44,8 +44,8 @@ SQL = {
           case when u % 11 = 0 then null else u * 37 + v end as generation,
           u % 7 as attempts, (u * 17 + v * 5) % 240 as age_min,
           case when (u + v) % 6 in (3, 4) then 'broke ' || cast(u as string) end as error_message
-        from (select distinct user_id as u from $events where user_id % 5 <> 0) e
-        cross join (select 1 as v, 'v1' as ver union all select 2 as v, 'v2' as ver) p""",
+        from (select user_id as u, 1 as v, 'v1' as ver from $events where user_id % 5 <> 0
+              union select user_id as u, 2 as v, 'v2' as ver from $events where user_id % 5 <> 0) e""",
     "inventory": f"""
         select {uri_sql('u')} as gcs_uri, u * 50 + 1 as generation
         from (select distinct user_id as u from $events where user_id % 3 <> 0) t""",

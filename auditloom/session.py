@@ -1,8 +1,11 @@
 """Session settings and the shared scratch folder."""
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
+
 SETTINGS = {
     # Timestamps without a zone are UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -20,7 +23,12 @@ SETTINGS = {
 
 
 def prepare(spark):
-    """Apply the settings the operators rely on; returns the session."""
+    """Apply the settings the operators rely on; returns the session.
+
+    The few functions that run in Python workers travel by value, so executors
+    do not need this package installed.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules["auditloom"])
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark

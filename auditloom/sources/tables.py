@@ -8,6 +8,7 @@ so a reader or a restarted job never sees half of one. One writer per table.
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from auditloom import fixed
 from auditloom.operators import mutate
@@ -45,7 +46,9 @@ def read_table(spark, path, schema):
     done = _snapshots(spark, path)
     if not done:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(_folder(path, done[-1]))
+    # A partition column is read last; put the declared order back.
+    columns = StructType.fromDDL(schema).names
+    return spark.read.schema(schema).parquet(_folder(path, done[-1])).select(*columns)
 
 
 def write_snapshot(df, path, partition_by=()):
