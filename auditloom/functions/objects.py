@@ -49,15 +49,23 @@ def object_uri(bucket, name):
     return F.concat(F.lit(fixed.URI_SCHEME), bucket, F.lit("/"), name)
 
 
+def names_object(col):
+    """Whether a URI has both a bucket and an object."""
+    return col.rlike(r"(?s)\A(?:" + fixed.URI_SCHEME + r")?+[^/]+/.")
+
+
 def split_uri(col, strict=False):
     """(bucket, object) columns of a URI.
 
     Lenient: the scheme is optional and a bare bucket has the object ''.
     Strict: NULLs unless the scheme, a bucket and a non-empty object are there.
     """
-    body = F.regexp_replace(col, r"\A" + fixed.URI_SCHEME, "")
-    bucket = F.substring_index(body, "/", 1)
-    name = F.regexp_replace(F.substr(body, F.length(bucket) + 1), r"\A/", "")
+    body = F.when(
+        col.startswith(fixed.URI_SCHEME), F.substr(col, F.lit(len(fixed.URI_SCHEME) + 1))
+    ).otherwise(col)
+    slash = F.instr(body, "/")
+    bucket = F.when(slash > 0, F.substr(body, F.lit(1), slash - 1)).otherwise(body)
+    name = F.when(slash > 0, F.substr(body, slash + 1)).otherwise(F.substr(body, F.lit(1), F.lit(0)))
     if not strict:
         return bucket, name
     good = col.startswith(fixed.URI_SCHEME) & (bucket != "") & (name != "")

@@ -154,21 +154,22 @@ def taxonomy_texts(classes):
 def render_prompts(versions, materials):
     """Versions with `system_instruction`, the filled template.
 
-    The three texts are one value each for the whole catalogue. Doubled braces
-    in a template become single ones.
+    The texts are one value for the whole catalogue, made once. Doubled braces in
+    a template become single ones.
     """
-    texts = taxonomy_texts(taxonomy(materials))
+    names = ("material_details", "material_densities_class", "detected_materials")
+    texts = taxonomy_texts(taxonomy(materials)).select(F.struct(*names))
     open_mark, close_mark = F.lit("\u0001"), F.lit("\u0002")
     body = F.replace(
         F.replace(F.col("template"), F.lit("{{"), open_mark), F.lit("}}"), close_mark
     )
-    filled = versions
-    for name in ("material_details", "material_densities_class", "detected_materials"):
-        filled = filled.withColumn(f"_{name}", texts.select(name).scalar())
-        body = F.replace(body, F.lit("{" + name + "}"), F.col(f"_{name}"))
+    for name in names:
+        body = F.replace(body, F.lit("{" + name + "}"), F.col("_texts")[name])
     body = F.replace(F.replace(body, open_mark, F.lit("{")), close_mark, F.lit("}"))
-    return filled.withColumn("system_instruction", body).drop(
-        "_material_details", "_material_densities_class", "_detected_materials"
+    return (
+        versions.withColumn("_texts", texts.scalar())
+        .withColumn("system_instruction", body)
+        .drop("_texts")
     )
 
 

@@ -12,8 +12,7 @@ def active_records(results):
     Rows without ids, with empty ids, or whose URI has no bucket or object are
     left out. The filter sits on the three scanned columns.
     """
-    bucket, name = objects.split_uri(F.col("gcs_uri"))
-    usable = (F.col("image_id") != "") & (bucket != "") & (name != "")
+    usable = (F.col("image_id") != "") & objects.names_object(F.col("gcs_uri"))
     return (
         results.where(usable)
         .groupBy("image_id", "gcs_uri")
