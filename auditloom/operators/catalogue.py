@@ -8,17 +8,15 @@ from pyspark.sql import functions as F
 
 from auditloom import fixed
 from auditloom.functions.objects import strip
+from auditloom.operators.joins import folded
 
 
 def last_wins(df, keys, ord_col="ord"):
     """The last row of each key."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.col(ord_col)).alias("last"))
-        .select(*keys, "last.*")
-    )
+    last = F.max_by(F.struct(*rest), F.col(ord_col)).alias("last")
+    return folded(df, keys, last).select(*keys, "last.*")
 
 
 def _filled(*cols):

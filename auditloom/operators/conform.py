@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from auditloom import fixed
 from auditloom.functions.objects import strip
+from auditloom.operators.joins import folded
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTION = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -161,11 +162,8 @@ def fail_whole(df, audit_keys, reason_col="reason"):
     Only the keys of failed audits are shuffled against the table, not every
     audit.
     """
-    bad = (
-        df.where(F.col(reason_col).isNotNull())
-        .groupBy(*audit_keys)
-        .agg(F.min(reason_col).alias("_why"))
-    )
+    failed = df.where(F.col(reason_col).isNotNull())
+    bad = folded(failed, audit_keys, F.min(reason_col).alias("_why"))
     return (
         df.join(bad, list(audit_keys), "left")
         .withColumn(reason_col, F.col("_why"))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from auditloom import fixed
 from auditloom.functions import objects
+from auditloom.operators.joins import folded
 
 # Beyond this many configured versions the fan-out stops using one array value.
 ARRAY_VERSIONS = 10_000
@@ -82,7 +83,7 @@ def fan_out(events, versions):
 
 def with_model_name(df, models):
     """Model name of each row's version, `unknown` where it is not configured."""
-    names = models.select("prompt_version_id", "model_name").dropDuplicates(["prompt_version_id"])
+    names = folded(models, "prompt_version_id", F.max("model_name").alias("model_name"))
     return df.join(names, "prompt_version_id", "left").withColumn(
         "model_name", F.coalesce("model_name", F.lit(fixed.UNKNOWN_MODEL))
     )

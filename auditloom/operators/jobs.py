@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from auditloom import fixed
 from auditloom.functions import leases, objects
+from auditloom.operators.events import ARRAY_VERSIONS, fan_out
+from auditloom.operators.joins import folded, unique
+from auditloom.session import shared_dir
 
 KEY = ["gcs_uri", "prompt_version_id"]
 FIELDS = [
@@ -51,16 +54,16 @@ def _with_object_jobs(events, versions, jobs):
     and the join stays a plain two-sided one that AQE can split when an object
     is hot.
     """
-    folded = (
-        jobs.join(versions.select("prompt_version_id"), "prompt_version_id", "left_semi")
-        .groupBy("gcs_uri")
-        .agg(
-            F.map_from_entries(
-                F.collect_list(F.struct("prompt_version_id", _fields()))
-            ).alias("job_map")
-        )
-    )
-    return events.join(folded, "gcs_uri", "left")
+    current = jobs.join(versions.select("prompt_version_id"), "prompt_version_id", "left_semi")
+    entries = F.collect_list(F.struct("prompt_version_id", _fields()))
+    per_object = folded(current, "gcs_uri", F.map_from_entries(entries).alias("job_map"))
+    return events.join(per_object, "gcs_uri", "left")
+
+
+def _few(versions):
+    """Whether the catalogue is short enough to be held in one array per row."""
+    ids = versions.select("prompt_version_id").distinct()
+    return ids.limit(ARRAY_VERSIONS + 1).count() <= ARRAY_VERSIONS
 
 
 def _version_list(versions):
@@ -76,18 +79,21 @@ def reconcile(events, versions, jobs, now):
     """One decision per event and configured version.
 
     Adds prompt_version_id, `job` (previous state or NULL), outcome and
-    delete_superseded_rows.
+    delete_superseded_rows. A catalogue too long for an array is joined by
+    (object, version) instead.
     """
-    wide = _with_object_jobs(events, versions, jobs)
-    rows = wide.withColumn("prompt_version_id", F.explode(_version_list(versions)))
+    if _few(versions):
+        wide = _with_object_jobs(events, versions, jobs)
+        rows = (
+            wide.withColumn("prompt_version_id", F.explode(_version_list(versions)))
+            .withColumn("job", F.try_element_at("job_map", F.col("prompt_version_id")))
+            .drop("job_map")
+        )
+    else:
+        rows = with_job_state(fan_out(events, versions), jobs)
     job = F.col("job")
     outcome, superseded = leases.reconcile(job, job.isNotNull(), F.col("generation"), now)
-    return (
-        rows.withColumn("job", F.try_element_at("job_map", F.col("prompt_version_id")))
-        .drop("job_map")
-        .withColumn("outcome", outcome)
-        .withColumn("delete_superseded_rows", superseded)
-    )
+    return rows.withColumn("outcome", outcome).withColumn("delete_superseded_rows", superseded)
 
 
 def event_summary(events, versions, jobs, now, failed=None):
@@ -95,39 +101,47 @@ def event_summary(events, versions, jobs, now, failed=None):
 
     All versions of an event are decided inside its row, so the summary costs
     no shuffle beyond the look-up of the object's jobs. `failed` is an array
-    column of versions whose dispatch broke.
+    column of versions whose dispatch broke. A catalogue too long for an array
+    is decided row by row and grouped by event.
     """
     failed = F.array().cast("array<string>") if failed is None else failed
-    wide = (
-        _with_object_jobs(events, versions, jobs)
-        .withColumn("versions", _version_list(versions))
-        .withColumn("broken", failed)
-    )
+    kept = list(events.columns)
+    if _few(versions):
+        wide = _with_object_jobs(events, versions, jobs).withColumn(
+            "versions", _version_list(versions)
+        )
 
-    def decide(version):
-        job = F.try_element_at("job_map", version)
-        outcome, _ = leases.reconcile(job, job.isNotNull(), F.col("generation"), now)
-        return F.struct(version.alias("version"), outcome.alias("outcome"))
+        def decide(version):
+            job = F.try_element_at("job_map", version)
+            outcome, _ = leases.reconcile(job, job.isNotNull(), F.col("generation"), now)
+            return F.struct(version.alias("version"), outcome.alias("outcome"))
+
+        decided = wide.withColumn("decisions", F.transform("versions", decide))
+    else:
+        pair = F.struct(F.col("prompt_version_id").alias("version"), "outcome")
+        decided = (
+            reconcile(events, versions, jobs, now)
+            .groupBy(*kept)
+            .agg(F.array_sort(F.collect_list(pair)).alias("decisions"))
+        )
 
     def pick(outcome):
         chosen = F.filter("decisions", lambda d: d["outcome"] == F.lit(outcome))
         return F.transform(chosen, lambda d: d["version"])
 
     queued = pick(fixed.OUTCOME_QUEUED)
+    deferred, broken = F.col("deferred_versions"), F.col("failed_versions")
     return (
-        wide.withColumn("decisions", F.transform("versions", decide))
-        .withColumn("deferred_versions", pick(fixed.OUTCOME_DEFERRED))
-        .withColumn("failed_versions", F.array_sort(F.array_intersect(queued, F.col("broken"))))
-        .withColumn(
-            "tasks_created", (F.size(queued) - F.size("failed_versions")).cast("bigint")
-        )
+        decided.withColumn("deferred_versions", pick(fixed.OUTCOME_DEFERRED))
+        .withColumn("failed_versions", F.array_sort(F.array_intersect(queued, failed)))
+        .withColumn("tasks_created", (F.size(queued) - F.size(broken)).cast("bigint"))
         .withColumn(
             "status",
-            F.when(F.size("failed_versions") > 0, "error")
-            .when(F.size("deferred_versions") > 0, "deferred")
+            F.when(F.size(broken) > 0, "error")
+            .when(F.size(deferred) > 0, "deferred")
             .otherwise("success"),
         )
-        .drop("job_map", "versions", "broken", "decisions")
+        .select(*kept, "tasks_created", "deferred_versions", "failed_versions", "status")
     )
 
 
@@ -139,7 +153,9 @@ def delete_plan(deletes, jobs, now):
     which are reduced to one row per object before the join.
     """
     job = {f: F.col(f) for f in FIELDS}
-    per_object = jobs.groupBy("gcs_uri").agg(
+    per_object = folded(
+        jobs,
+        "gcs_uri",
         F.max("generation").alias("newest"),
         F.bool_or(leases.in_flight(job, now) | leases.deleting_active(job, now)).alias("busy"),
         F.count("*").alias("jobs"),
@@ -164,7 +180,7 @@ def delete_plan(deletes, jobs, now):
 
 
 def _deleted_objects(plan):
-    return plan.where(F.col("action") == fixed.ACTION_DELETE).select("gcs_uri").distinct()
+    return unique(plan.where(F.col("action") == fixed.ACTION_DELETE), "gcs_uri")
 
 
 def lease_delete(jobs, plan, now):
@@ -311,25 +327,29 @@ def expired_leases(jobs, now):
     return jobs.where(held & ~leases.in_flight(job, now) & ~leases.deleting_active(job, now))
 
 
-def attempt_numbers(errors, time_col, tie_col, slot="hour"):
+def attempt_numbers(errors, time_col, tie_col):
     """Number the attempts of each job by time, from 1.
 
-    A job may own a large part of the table, so it is never ranked in one
-    task: rows are ranked inside (job, time slot), and the counts of the
-    earlier slots of the job, a small aggregate, are added.
+    A job may own a large part of the table, in a burst even of one instant, so
+    it is never ranked in one task. Rows are range-partitioned by (job, time,
+    tie), which cuts a hot job into even parts whatever its times are, and
+    written to the shared folder so that the parts stay as they are. Ranking
+    then runs inside (job, part), and each part adds the counts of the earlier
+    parts of its job, of which there are at most as many as partitions.
     """
-    slotted = errors.withColumn("_slot", F.date_trunc(slot, F.col(time_col)))
-    counts = slotted.groupBy(*KEY, "_slot").agg(F.count("*").alias("_n"))
-    running = Window.partitionBy(*KEY).orderBy("_slot").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = counts.select(
-        *KEY, "_slot", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before")
-    )
-    inside = Window.partitionBy(*KEY, "_slot").orderBy(time_col, tie_col)
+    path = shared_dir(errors.sparkSession, "ranked")
+    parts = errors.repartitionByRange(*KEY, time_col, tie_col)
+    parts.withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    rows = errors.sparkSession.read.parquet(path)
+
+    group = [*KEY, "_part"]
+    counts = rows.groupBy(*group).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*KEY).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*group).orderBy(time_col, tie_col)
     return (
-        slotted.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets, [*KEY, "_slot"])
+        rows.withColumn("_rank", F.row_number().over(inside))
+        .join(offsets, group)
         .withColumn("attempt", (F.col("_rank") + F.col("_before")).cast("bigint"))
-        .drop("_slot", "_rank", "_before")
+        .drop("_part", "_rank", "_before")
     )

@@ -6,6 +6,7 @@ from pyspark.sql.types import StructType
 from auditloom import fixed
 from auditloom.functions import objects
 from auditloom.operators.events import with_model_name
+from auditloom.operators.joins import folded, unique
 
 
 def stale_deletes(deletes, inventory):
@@ -14,27 +15,27 @@ def stale_deletes(deletes, inventory):
     The listing is reduced to its newest generation per URI; an event without
     a generation is never stale.
     """
-    live = inventory.groupBy("gcs_uri").agg(F.max("generation").alias("live_generation"))
+    live = folded(inventory, "gcs_uri", F.max("generation").alias("live_generation"))
     newer = F.col("live_generation") > F.col("generation")
     return deletes.join(live, "gcs_uri", "inner").where(newer).drop("live_generation")
 
 
 def fresh_deletes(deletes, inventory):
     """The other deletes."""
-    live = inventory.groupBy("gcs_uri").agg(F.max("generation").alias("live_generation"))
+    live = folded(inventory, "gcs_uri", F.max("generation").alias("live_generation"))
     stale = F.coalesce(F.col("live_generation") > F.col("generation"), F.lit(False))
     return deletes.join(live, "gcs_uri", "left").where(~stale).drop("live_generation")
 
 
 def delete_superseded(results, decisions):
     """Results without the rows of (object, version) pairs being replaced."""
-    gone = decisions.where("delete_superseded_rows").select("gcs_uri", "prompt_version_id").distinct()
-    return results.join(gone, ["gcs_uri", "prompt_version_id"], "left_anti")
+    keys = ["gcs_uri", "prompt_version_id"]
+    return results.join(unique(decisions.where("delete_superseded_rows"), keys), keys, "left_anti")
 
 
 def delete_object(results, uris):
     """Results without any row of the given objects."""
-    return results.join(uris.select("gcs_uri").distinct(), "gcs_uri", "left_anti")
+    return results.join(unique(uris, "gcs_uri"), "gcs_uri", "left_anti")
 
 
 def inline_updates(df, array_col):
@@ -69,8 +70,8 @@ def merge_urls(results, updates, key="image_id", mark=()):
 
 def change_counts(results, gone_uris, updates, key="image_id"):
     """How many rows a delete by object and a URL merge would touch."""
-    gone = gone_uris.select("gcs_uri").distinct().withColumn("_gone", F.lit(True))
-    hit = updates.select(key).distinct().withColumn("_hit", F.lit(True))
+    gone = unique(gone_uris, "gcs_uri").withColumn("_gone", F.lit(True))
+    hit = unique(updates, key).withColumn("_hit", F.lit(True))
     # Counting per key first keeps both look-ups off the full table.
     small = results.groupBy("gcs_uri", key).agg(F.count("*").alias("n"))
     return (

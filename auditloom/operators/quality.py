@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from auditloom import fixed
+from auditloom.operators.joins import folded, unique
 
 
 def off_taxonomy(rows, materials):
     """Material rows whose (class, material) is not in the taxonomy."""
     return rows.where(F.col("class") != fixed.ROLLUP_CLASS).join(
-        materials.select("class", "material").distinct(), ["class", "material"], "left_anti"
+        unique(materials, ["class", "material"]), ["class", "material"], "left_anti"
     )
 
 
@@ -25,7 +26,7 @@ def fraction_check(rows, keys, tolerance=0.01):
 
 def weight_check(rows, materials, keys, tolerance=0.01):
     """Reported weight of each audit against fraction x density."""
-    density = materials.groupBy("material").agg(F.max("density").alias("density"))
+    density = folded(materials, "material", F.max("density").alias("density"))
     return (
         rows.where(F.col("class") != fixed.ROLLUP_CLASS)
         .join(density, "material", "left")

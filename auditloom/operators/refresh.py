@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from auditloom import fixed
 from auditloom.functions import objects
+from auditloom.operators.joins import unique
 
 
 def active_records(results):
@@ -45,7 +46,7 @@ def with_thumb_location(active):
 def thumb_backlog(active, thumbs):
     """Images whose expected thumbnail is not in the listing."""
     return with_thumb_location(active).join(
-        thumbs.select("thumb_uri").distinct(), "thumb_uri", "left_anti"
+        unique(thumbs, "thumb_uri"), "thumb_uri", "left_anti"
     )
 
 
@@ -55,7 +56,7 @@ def url_payload(active, thumbs, sign):
     `thumbs` lists existing thumbnails by `thumb_uri`; `sign` makes a URL
     column from a URI column.
     """
-    listed = thumbs.select("thumb_uri").distinct().withColumn("_exists", F.lit(True))
+    listed = unique(thumbs, "thumb_uri").withColumn("_exists", F.lit(True))
     exists = F.coalesce("_exists", F.lit(False))
     raw = sign(F.col("gcs_uri"))
     return (

@@ -34,14 +34,20 @@ def prepare(spark):
     return spark
 
 
+_LOCAL_ROOT = []
+
+
 def shared_dir(spark, purpose):
-    """A fresh folder for `purpose` under the cluster's shared checkpoint folder.
+    """A new folder name for `purpose` under the cluster's shared checkpoint folder.
 
-    Only where the session names none (a local test session) is a temporary
-    folder made.
+    A local session that names none gets a temporary folder; on a cluster that
+    is an error, since executors would not share it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
+        if not _LOCAL_ROOT:
+            _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        root = _LOCAL_ROOT[0]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

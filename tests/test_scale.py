@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from auditloom import fixed
 from auditloom.operators import events, jobs, mutate, refresh
 from auditloom.plans import standins as S
+from auditloom.session import shared_dir
 
 
 def plan_of(df):
@@ -59,8 +60,8 @@ def test_reconcile_shuffles_events_once(spark, skewed, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # The side with the events: one exchange between the scan and the join.
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
-    events_side = plan[plan.index("SortMergeJoin"):]
-    assert events_side.count("hashpartitioning(gcs_uri") == 2
+    left_key = plan.split("SortMergeJoin [")[1].split("]")[0]
+    assert plan.count(f"hashpartitioning({left_key},") == 1
 
 
 def test_reductions_run_before_the_shuffle(spark, skewed):
@@ -103,3 +104,96 @@ def test_null_keys_survive_deletes(spark):
     rows = spark.createDataFrame([(None, "v1"), ("u", "v1")], "gcs_uri string, prompt_version_id string")
     gone = spark.createDataFrame([("u",), (None,)], "gcs_uri string")
     assert [r.gcs_uri for r in mutate.delete_object(rows, gone).collect()] == [None]
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_split_by_the_join(spark, tmp_path):
+    """The joins keep both inputs splittable: AQE marks them as skewed."""
+    path = str(tmp_path / "hot")
+    pad = F.repeat(F.lit("x"), F.lit(200))
+    hot = F.concat(F.lit("u"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).cast("string"))
+    spark.range(40000).select(
+        hot.alias("gcs_uri"), F.lit("v1").alias("prompt_version_id"), F.col("id").alias("generation"),
+        F.concat(pad, F.col("id").cast("string")).alias("pad"), F.lit(True).alias("delete_superseded_rows"),
+    ).repartition(8).write.parquet(path)
+    hot_rows = spark.read.parquet(path)
+    keys = spark.range(20000).select(
+        F.concat(F.lit("u"), F.col("id").cast("string")).alias("gcs_uri"), F.lit("v1").alias("prompt_version_id"),
+        F.lit("PROCESSED").alias("status"), F.col("id").alias("generation"), F.col("id").alias("attempts"),
+        F.lit(True).alias("delete_superseded_rows"),
+        *[F.lit(None).cast("timestamp").alias(c) for c in ("queued_at", "last_processed_at", "deleting_at")],
+        F.lit(None).cast("string").alias("error_message"),
+    )
+    versions = spark.createDataFrame([("v1",)], "prompt_version_id string")
+    now = F.lit("2026-01-01").cast("timestamp")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        plans = {
+            "reconcile": final_plan(jobs.reconcile(hot_rows.drop("prompt_version_id"), versions, keys, now)),
+            "delete_plan": final_plan(jobs.delete_plan(hot_rows, keys, now)),
+            "delete_superseded": final_plan(mutate.delete_superseded(hot_rows, keys)),
+            "delete_object": final_plan(mutate.delete_object(hot_rows, keys)),
+            "fresh_deletes": final_plan(mutate.fresh_deletes(hot_rows, keys)),
+        }
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert {k: "skew=true" in p for k, p in plans.items()} == dict.fromkeys(plans, True)
+
+
+def test_long_catalogues_take_the_join(spark, skewed, monkeypatch):
+    versions = spark.createDataFrame([("v1",), ("v2",), ("v3",)], "prompt_version_id string")
+    state = spark.createDataFrame(
+        [("u0", "v1", "PROCESSED", None, 3000, 1, None, None, None),
+         ("u5", "v2", "QUEUED", None, 10, 1, None, None, None)], fixed.JOB_SCHEMA)
+    now = F.lit("2026-01-01").cast("timestamp")
+    rows = skewed.select("gcs_uri", "event_id", "generation")
+
+    def both():
+        decided = jobs.reconcile(rows, versions, state, now).select("event_id", "prompt_version_id", "outcome", "delete_superseded_rows")
+        summed = jobs.event_summary(rows, versions, state, now, failed=F.array(F.lit("v3")))
+        return [sorted(map(str, df.collect())) for df in (decided, summed)]
+
+    short = both()
+    monkeypatch.setattr(jobs, "ARRAY_VERSIONS", 2)
+    monkeypatch.setattr(events, "ARRAY_VERSIONS", 2)
+    assert both() == short
+
+
+def test_attempts_in_one_instant(spark):
+    """A burst of one job at one time is still ranked in parts."""
+    rows = spark.range(5000).select(
+        F.lit("u").alias("gcs_uri"), F.lit("v").alias("prompt_version_id"),
+        F.timestamp_seconds(F.lit(0)).alias("ts"), ((F.col("id") * 7919) % 5003).alias("event_id"))
+    got = jobs.attempt_numbers(rows, "ts", "event_id").orderBy("event_id").collect()
+    assert [r.attempt for r in got] == list(range(1, 5001))
+
+
+class FakeSession:
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = {k.replace("_", "."): v for k, v in settings.items()}
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_shared_folder():
+    named = shared_dir(FakeSession(spark_checkpoint_dir="hdfs://x/shared/", spark_master="yarn"), "a")
+    assert named.startswith("hdfs://x/shared/a-")
+    assert shared_dir(FakeSession(spark_master="local[2]"), "a").startswith("/tmp/run-")
+    with pytest.raises(ValueError):
+        shared_dir(FakeSession(spark_master="spark://host:7077"), "a")
