@@ -213,7 +213,7 @@ def bytes_scorer():
     select doc_id, case when n = 0 then 'No content: gs://docs/' || doc_id
         when n % 7 = 0 then 'cannot score ' || n || ' bytes' end as error_message,
       cast(case when n = 0 then 0 when n % 7 = 0 then 4 else 1 end as bigint) as tries,
-      case when n % 7 <> 0 then round(n * 0.5, 6) end as weight
+      cast(case when n % 7 <> 0 then round(n * 0.5, 6) end as double) as weight
     from d""",
 )
 def score_batch(spark, sf_dir):

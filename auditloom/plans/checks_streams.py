@@ -42,6 +42,26 @@ def stream_reconcile(spark, sf_dir):
     return queued.groupBy("gcs_uri", "prompt_version_id").agg(F.max("generation").alias("generation"))
 
 
+@query(
+    "stream_delete",
+    S.with_views(
+        "object_events versions",
+        """
+        , e as (select * from object_events where regexp_matches(lower(gcs_uri), '\\.(jpg|jpeg|png)$')),
+        newest as (select gcs_uri, max(generation) as g from e where kind = 'finalize' group by gcs_uri)
+        select d.gcs_uri, bool_or(n.gcs_uri is null or d.generation is null or n.g is null or d.generation >= n.g) as deleted
+        from e d left join newest n on n.gcs_uri = d.gcs_uri where d.kind = 'delete' group by d.gcs_uri""",
+    ),
+)
+def stream_delete(spark, sf_dir):
+    """Arrivals and deletes of one batch; a newer arrival protects its object."""
+    decisions = reconcile.reconcile_stream(event_stream(spark, sf_dir), ["v1", "v2"], settled=True)
+    path = shared_dir(spark, "decisions")
+    reconcile.start_decisions(decisions, path, shared_dir(spark, "state")).awaitTermination()
+    deletes = spark.read.parquet(path).where("kind = 'delete'")
+    return deletes.groupBy("gcs_uri").agg(F.bool_or(F.col("outcome") == "delete").alias("deleted"))
+
+
 @query(
     "stream_latest",
     S.with_views(

@@ -216,8 +216,11 @@ def test_newest_batch_wins(spark, tmp_path):
     assert sorted((r.k, r.v) for r in tables.newest_batches(df, ["k"]).collect()) == [("a", 3), ("b", 1)]
 
 
-def test_stale_deletes(spark):
-    live = spark.createDataFrame([("u", 10), ("w", None)], "gcs_uri string, generation bigint")
+def test_stale_deletes(spark, tmp_path):
+    path = str(tmp_path / "live")
+    spark.createDataFrame([("u", 10, "x"), ("w", None, "y")], "gcs_uri string, generation bigint, other string").write.parquet(path)
+    live = tables.read_inventory(spark, path)
+    assert live.columns == ["gcs_uri", "generation"]
     deletes = spark.createDataFrame([("u", 9), ("u", 10), ("u", 11), ("u", None), ("w", 1), ("x", 1)],
                                     "gcs_uri string, generation bigint")
     assert [tuple(r) for r in mutate.stale_deletes(deletes, live).collect()] == [("u", 9)]

@@ -1,13 +1,12 @@
 """Streaming jobs and the keyed state processor."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from auditloom.streaming import ingest, reconcile
 from auditloom.streaming.reconcile import MINUTE, NONE, ObjectProcessor
 
-import pandas as pd
-
 
 class FakeMap:
     def __init__(self):
@@ -162,3 +161,30 @@ def test_ingest_is_idempotent(spark, tmp_path):
     got = ingest.read_rows(spark, rows, ["uri"]).where("class = 'A'")
     assert sorted((r.uri, r.scaled_weight) for r in got.collect()) == [("u1", 0.5), ("u3", 1.0)]
     assert [r.reason for r in spark.read.parquet(errors).collect()] == ["no_json"]
+
+
+def test_live_state_survives_between_runs(spark, tmp_path):
+    """The form with timers, one batch per run on one checkpoint."""
+    columns = "gcs_uri string, kind string, generation bigint, prompt_version_id string, status string, attempts int"
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    big = 2**62 + 1
+    batches = [
+        [("u", "finalize", 5, None, None, None), ("w", "finalize", None, None, None, None)],
+        [("u", "finalize", big, None, None, None), ("u", "finalize", big - 1, None, None, None),
+         ("w", "delete", 3, None, None, None)],
+        [("u", "result", None, "v1", "PROCESSED", 1), ("w", "result", None, "v1", "FAILED_RETRY", 5)],
+    ]
+    seen = []
+    for batch in batches:
+        spark.createDataFrame(batch, columns).coalesce(1).write.mode("append").parquet(source)
+        live = spark.readStream.schema(columns).parquet(source)
+        decisions = reconcile.reconcile_stream(live, ["v1"])
+        query = reconcile.start_decisions(decisions, out, check, trigger={"once": True})
+        assert query.awaitTermination(120)
+        rows = {(r.gcs_uri, r.kind, r.generation, r.outcome) for r in spark.read.parquet(out).collect()}
+        seen.append(rows - set().union(*seen))
+    assert seen == [
+        {("u", "finalize", 5, "queued"), ("w", "finalize", None, "queued")},
+        {("u", "finalize", big, "deferred_in_flight"), ("w", "delete", 3, "defer_in_flight")},
+        {("u", "finalize", big, "queued"), ("w", "delete", 3, "delete")},
+    ]
