@@ -215,7 +215,7 @@ def thumb_plan(spark, sf_dir):
 
 S.SQL["catalogue"] = """
 select 'v' || cast(n_nationkey as string) as prompt_version_id, lower(n_name) as model_name
-from $nation where n_nationkey % 4 <> 0"""
+from $nation where n_regionkey <> 1"""
 
 
 @query(

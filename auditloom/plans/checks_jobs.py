@@ -285,8 +285,8 @@ def job_upsert(spark, sf_dir):
 S.SQL["outcomes"] = """
 select gcs_uri, prompt_version_id, 1 + u % 5 as attempt, u % 3 <> 0 as ok,
   case when u % 3 = 0 then 'late failure' when u % 8 = 0 then 'unknown version' end as error_message, u % 8 <> 0 as configured
-from (select * from $jobs where (u + v) % 4 <> 3) t"""
-S.SQL["outcomes"] = S.SQL["outcomes"].replace("$jobs", f"({S.SQL['jobs_by_age']})", 1)
+from (select * from $jobs where status <> 'DELETING') t"""
+S.SQL["outcomes"] = S.SQL["outcomes"].replace("$jobs", f"({S.SQL['jobs_by_age']}) a", 1)
 
 
 @query(

@@ -127,7 +127,7 @@ def quarantine_counts(spark, sf_dir):
 
 TAXONOMY_SQL = """
 select distinct p_type as class, p_brand as material, p_size as density
-from $part where (length(p_type) + cast(substr(p_brand, 7) as int)) % 4 <> 0"""
+from $part where p_type <> 'PROMO' and p_brand not like '%3'"""
 S.SQL["known_materials"] = TAXONOMY_SQL
 
 
@@ -146,9 +146,9 @@ def off_taxonomy(spark, sf_dir):
     return quality.off_taxonomy(rows, known).select("audit_id", "class", "material")
 
 
-# Some fractions are dropped so that not every audit sums to one.
+# One class is left out, so that not every audit sums to one.
 S.SQL["partial"] = S.SQL["fractions"] + """
-        where (g.audit_id + length(g.material)) % 5 <> 0"""
+        where g.class <> 'PROMO'"""
 
 
 @query(
@@ -157,7 +157,7 @@ S.SQL["partial"] = S.SQL["fractions"] + """
         "partial",
         """
         select audit_id, round(sum(estimated_percentage), 6) as fraction_sum,
-          abs(sum(estimated_percentage) - 1) <= 0.01 as ok
+          round(abs(sum(estimated_percentage) - 1), 6) <= 0.01 as ok
         from partial group by audit_id""",
     ),
 )
@@ -174,8 +174,8 @@ def fraction_check(spark, sf_dir):
         , d as (select material, max(density) as density from known_materials group by material)
         select audit_id, round(sum(estimated_percentage * coalesce(density, 0)), 6) as expected_weight,
           round(sum(scaled_weight), 6) as reported_weight,
-          abs(sum(estimated_percentage * coalesce(density, 0)) - sum(scaled_weight))
-            <= abs(sum(estimated_percentage * coalesce(density, 0))) * 0.3713 as ok
+          round(abs(sum(estimated_percentage * coalesce(density, 0)) - sum(scaled_weight)), 6)
+            <= round(abs(sum(estimated_percentage * coalesce(density, 0))) * 0.3713, 6) as ok
         from fractions f left join d on d.material = f.material group by audit_id""",
     ),
 )
