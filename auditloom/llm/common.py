@@ -47,3 +47,22 @@ def lower_ascii(text):
 def held_out(doc_id, modulus, remainder):
     """Whether the crc32 of the id as text leaves `remainder`."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def let(value, body):
+    """`body` over the single value of the expression `value`, evaluated once.
+
+    An expression that is used inside a lambda would be evaluated anew for each
+    element; bound as the element of a one-element array it is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def computed(df, *names):
+    """Compute the columns `names` once, whatever is done with them later.
+
+    Catalyst copies expressions into the projections and filters above, but not
+    through a generator, so the columns leave through a one-row array.
+    """
+    kept = [c for c in df.columns if c not in names]
+    return df.select(*kept, F.inline(F.array(F.struct(*names))))
