@@ -4,7 +4,7 @@ Each line is judged by itself: by its punctuation (no sentence end, shouting,
 symbols hung on words), as navigation (cells between bars, a few loose words)
 and as boilerplate (licence, rights and cookie phrases). Lines that fail are
 removed; a document is rejected when the removed lines hold more than
-`MOST_LOST` of the characters in its words, or when a base rule fails: fewer
+`MOST_LOST` of its characters, or when a base rule fails: fewer
 than 50 words, or more than half of its words in repeated three-word windows.
 
 All is done within a row by built-in functions. Three-word windows are found
@@ -30,12 +30,27 @@ MOST_LOST = 0.4
 #: Line rules: symbols a word, share of shouted words, loose words of a navigation line.
 SYMBOLS_A_WORD, SHOUTED, LOOSE_WORDS = 0.3, 0.5, 3
 
+#: Lower-case phrases of boilerplate lines.
 BOILERPLATE = (
-    r"(?i)(all rights reserved|licensed under|released under the|under the terms of|public license"
-    r"|accept (all )?cookies|cookie policy|privacy policy|terms of (use|service)|subscribe to our newsletter"
-    r"|click here|sign in to|log in to)"
+    "all rights reserved",
+    "licensed under",
+    "released under the",
+    "under the terms of",
+    "public license",
+    "accept cookies",
+    "accept all cookies",
+    "cookie policy",
+    "privacy policy",
+    "terms of use",
+    "terms of service",
+    "subscribe to our newsletter",
+    "click here",
+    "sign in to",
+    "log in to",
 )
-_ENDS = r"[.!?…:;。！？][\"'»”’)\]]*$"
+#: Sentence end before closing quotes or brackets, looked for in a line's last characters.
+_ENDS = r"""[.!?…:;。！？]["'»”’)\]]*$"""
+_LAST = 4
 
 
 def without(text, chars):
@@ -102,80 +117,88 @@ def repeated_words(words_, window=3):
 
 
 def line_verdict(line):
-    """Why a line fails, or null. Lines without a word never fail."""
-    word_chars = F.char_length(without(line, SPACES))
-    size = F.size(words(line))
-    symbols = F.char_length(line) - F.char_length(without(line, SYMBOLS))
-    shouts = F.size(F.split(line, "!!")) - 1
-    bars = F.size(F.split(line, r"\|")) - 1
-    ended = F.btrim(line, F.lit(SPACES)).rlike(_ENDS)
-    return (
-        F.when(word_chars == 0, None)
-        .when(line.rlike(BOILERPLATE), "boilerplate")
-        .when((bars >= 2) & (bars * 4 >= size), "navigation")
-        .when(~ended & (size <= LOOSE_WORDS), "navigation")
-        .when(symbols >= size * SYMBOLS_A_WORD, "punctuation")
-        .when(shouts >= size * SHOUTED, "punctuation")
-    )
+    """Why a line fails, or null. Lines without a word never fail.
+
+    A line's words are counted by its single spaces.
+    """
+
+    def judged(trimmed):
+        size = F.char_length(trimmed) - F.char_length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1
+        symbols = F.char_length(trimmed) - F.char_length(without(trimmed, SYMBOLS))
+        twice = F.char_length(trimmed) - F.char_length(F.replace(trimmed, F.lit("!!"), F.lit("")))
+        bars = F.char_length(trimmed) - F.char_length(F.replace(trimmed, F.lit("|"), F.lit("")))
+        boilerplate = let(F.lower(trimmed), lambda low: _any_in(low, BOILERPLATE))
+        return (
+            F.when(trimmed == "", None)
+            .when(boilerplate, "boilerplate")
+            .when((bars >= 2) & (bars * 4 >= size), "navigation")
+            .when((size <= LOOSE_WORDS) & ~F.right(trimmed, F.lit(_LAST)).rlike(_ENDS), "navigation")
+            .when(symbols >= size * SYMBOLS_A_WORD, "punctuation")
+            .when(twice >= size * 2 * SHOUTED, "punctuation")
+        )
+
+    return let(F.btrim(line, F.lit(SPACES)), judged)
+
+
+def _any_in(text, phrases):
+    found = F.lit(False)
+    for phrase in phrases:
+        found = found | F.contains(text, F.lit(phrase))
+    return found
 
 
 def clean(df, text_col="text"):
     """`df` with the base columns, `lost_chars`, `cleaned` and `kept`.
 
-    Input columns of the same names are replaced.
+    Input columns of the same names are replaced. `lost_chars` counts the
+    characters of removed lines.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    made = "word_chars n_symbols lines failing n_words n_repeat_words"
-    base = df.drop(*made.split(), "n_dup_lines", "base_failed", "lost_chars", "cleaned", "kept")
+    made = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed lost_chars cleaned kept"
     facts = computed(
-        base.withColumns(
+        df.drop(*made.split()).withColumns(
             {
-                "word_chars": F.char_length(without(text, SPACES)).cast("long"),
-                "n_symbols": (F.char_length(text) - F.char_length(without(text, SYMBOLS))).cast("long"),
-                "lines": F.split(text, "\n"),
-                "n_words": let(
+                "_lines": F.transform(
+                    F.split(text, "\n"), lambda x: F.struct(x.alias("line"), line_verdict(x).alias("why"))
+                ),
+                "_words": let(
                     words(text),
                     lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("again")),
                 ),
             }
         ),
-        "word_chars",
-        "n_symbols",
-        "lines",
-        "n_words",
-    )
-    facts = facts.withColumns(
-        {"n_words": F.col("n_words.n"), "n_repeat_words": F.col("n_words.again")}
+        "_lines",
+        "_words",
     )
-    judged = computed(
+    held = F.filter(F.col("_lines.line"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
+    failing = F.filter("_lines", lambda x: x["why"].isNotNull())
+    n_words, again = F.col("_words.n"), F.col("_words.again")
+    failed = (n_words < LEAST_WORDS) | (again > MOST_REPEATED * n_words)
+    lost = F.aggregate(failing, F.lit(0).cast("long"), lambda n, x: n + F.char_length(x["line"]).cast("long"))
+    passing = F.filter("_lines", lambda x: x["why"].isNull())
+    facts = computed(
         facts.withColumns(
             {
-                "failing": F.filter("lines", lambda x: line_verdict(x).isNotNull()),
-                "lines": F.filter("lines", lambda x: F.char_length(without(x, SPACES)) > 0),
-                "cleaned": F.when(
-                    F.col(text_col).isNotNull(),
-                    F.array_join(F.filter("lines", lambda x: line_verdict(x).isNull()), "\n"),
-                ),
+                "n_dup_lines": let(held, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
+                "lost_chars": lost,
             }
         ),
-        "failing",
-        "lines",
-        "cleaned",
+        "n_dup_lines",
+        "lost_chars",
     )
-    lost = F.aggregate(
-        "failing", F.lit(0).cast("long"), lambda n, x: n + F.char_length(without(x, SPACES)).cast("long")
-    )
-    failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    result = judged.withColumns(
+    return facts.withColumns(
         {
-            "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
+            "n_words": n_words,
+            "word_chars": F.char_length(without(text, SPACES)).cast("long"),
+            "n_symbols": (F.char_length(text) - F.char_length(without(text, SYMBOLS))).cast("long"),
+            "n_repeat_words": again,
             "base_failed": failed,
-            "lost_chars": lost,
+            "cleaned": F.when(
+                F.col(text_col).isNotNull(), F.array_join(F.transform(passing, lambda x: x["line"]), "\n")
+            ),
+            "kept": ~failed & (F.col("lost_chars") <= MOST_LOST * F.char_length(text)),
         }
-    )
-    return result.withColumn(
-        "kept", ~F.col("base_failed") & (F.col("lost_chars") <= MOST_LOST * F.col("word_chars"))
-    ).drop("failing", "lines")
+    ).drop("_lines", "_words")
 
 
 ORACLE = r"""
@@ -188,26 +211,25 @@ ORACLE = r"""
       from (select r, w, unnest(range(1, len(w) - 1)) as i from b)),
     again as (select r, i from (select r, i, count(*) over (partition by r, t) as n from g) where n > 1),
     covered as (select r, count(distinct i + k) as n from again, (select unnest([0, 1, 2]) as k) group by r),
-    v as (select r, x, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) as size,
-        length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g')) as chars,
-        length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) as symbols,
-        (length(x) - length(replace(x, '!!', ''))) / 2 as shouts, length(x) - length(replace(x, '|', '')) as bars,
-        regexp_matches(trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)),
-          '[.!?…:;。！？]["''»”’)\]]*$') as ended,
-        regexp_matches(x, '(?i)(all rights reserved|licensed under|released under the|under the terms of|public license|accept (all )?cookies|cookie policy|privacy policy|terms of (use|service)|subscribe to our newsletter|click here|sign in to|log in to)') as boiler
-      from (select r, unnest(lines) as x from b)),
+    t as (select r, x, trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) as y from (select r, unnest(lines) as x from b)),
+    v as (select r, length(x) as chars, length(y) - length(replace(y, ' ', '')) + 1 as size,
+        length(y) - length(regexp_replace(y, '[#*$%&|<>]', '', 'g')) as symbols,
+        length(y) - length(replace(y, '!!', '')) as twice, length(y) - length(replace(y, '|', '')) as bars,
+        regexp_matches(y, '[.!?…:;。！？]["''»”’)\]]*$') as ended,
+        regexp_matches(lower(y), 'all rights reserved|licensed under|released under the|under the terms of|public license|accept cookies|accept all cookies|cookie policy|privacy policy|terms of use|terms of service|subscribe to our newsletter|click here|sign in to|log in to') as boiler
+      from t),
     lost as (select r, sum(chars) as n from v
       where boiler or (bars >= 2 and bars * 4 >= size) or (not ended and size <= 3)
-        or symbols >= size * 0.3 or shouts >= size * 0.5 group by r),
+        or symbols >= size * 0.3 or twice >= size group by r),
     f as (select b.doc_id, len(w)::bigint as n_words,
         length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
-        coalesce(covered.n, 0)::bigint as n_repeat_words, coalesce(lost.n, 0) as lost
+        coalesce(covered.n, 0)::bigint as n_repeat_words, coalesce(lost.n, 0) as lost, length(text) as chars
       from b left join covered using (r) left join lost using (r))
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
       n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-      not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and lost <= 0.4 * word_chars as kept
+      not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and lost <= 0.4 * chars as kept
     from f"""
 
 
