@@ -22,8 +22,8 @@ rows that repeat a document each get their own result.
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import let, lower_ascii, query, table
+from auditloom.llm.components import stored
 from auditloom.operators.joins import folded
-from auditloom.session import shared_dir
 
 NOT_A_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words of a window.
@@ -82,20 +82,12 @@ def _windows_around(w, hits, window):
 
 
 def item_windows(benchmark, id_col="item_id", text_col="text"):
-    """(item_id, size, window) of each item, and its fingerprints `h` with them, each once."""
+    """(item_id, words `w`, words of its windows `size`) of each item that has words."""
     items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), words(F.col(text_col)).alias("w"))
     items = items.select("item_id", F.explode(F.array("w")).alias("w")).filter(F.size("w") > 0)
     return items.withColumn("size", F.least(F.size("w"), F.lit(WINDOW)))
 
 
-def _stored(df, purpose):
-    """`df` written to the shared folder and read again, its size known to the planner."""
-    spark = df.sparkSession
-    path = shared_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def contamination(documents, benchmark, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text"):
     """One row for each row of `documents` and its hits.
 
@@ -129,8 +121,8 @@ def contamination(documents, benchmark, id_col="doc_id", text_col="text", item_c
     def all_windows(w, size):
         return F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda s: _window_at(w, s, size))
 
-    item_prints = _stored(items.select(F.explode(by_size(fingerprints)).alias("h")).distinct(), "item-prints")
-    windows = _stored(
+    item_prints = stored(items.select(F.explode(by_size(fingerprints)).alias("h")).distinct(), "item-prints")
+    windows = stored(
         items.select("item_id", "size", F.explode(by_size(all_windows)).alias("window")).distinct(), "item-windows"
     )
 
@@ -138,7 +130,7 @@ def contamination(documents, benchmark, id_col="doc_id", text_col="text", item_c
         words(F.col("text")), lambda w: F.concat(*[fingerprints(w, size) for size in sizes])
     )
     hits = narrow.select(*keys, F.explode(prints).alias("h")).join(item_prints, "h")
-    hits = _stored(folded(hits, keys, F.collect_set("h").alias("hits")), "hits")
+    hits = stored(folded(hits, keys, F.collect_set("h").alias("hits")), "hits")
 
     read = narrow.join(hits.select(*keys), keys, "left_semi").join(hits, keys)
     near = let(
