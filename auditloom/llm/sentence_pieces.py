@@ -5,15 +5,18 @@ replacements with the space marker in front, its pieces as a unigram model with
 scores or as a byte-pair model whose merges are ordered by score, and its byte
 fallback. Where no piece reaches across a space, a batch's texts are cut before
 each run of spaces and only cuts not yet seen by the task are encoded, as one
-multithreaded batch. Each newly seen cut (or else each text) is also encoded by
-the sentencepiece library; `parity` tells whether all of a text agreed. Where a
-cut disagrees, the ids of the sentencepiece library are taken, and `parity`
-still says false.
+multithreaded batch. Each cut a task has not seen (or else each text) is also
+encoded by the sentencepiece library and decoded again: `parity` tells whether
+all of a text agreed, `round_trip` whether all of it came back. Where a cut
+disagrees, the ids of the sentencepiece library are taken, and `parity` still
+says false.
 """
 
 import re
-from itertools import chain
+from array import array
+from itertools import accumulate, chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
@@ -24,9 +27,11 @@ from auditloom.llm import model_file
 from auditloom.llm.common import query, table
 
 #: Cuts whose ids a task remembers at a time.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Longer cuts are rare and not remembered.
 REMEMBERED_CHARS = 64
+#: Cuts that are encoded as one text.
+GROUP = 512
 
 
 def rebuild(model):
@@ -64,7 +69,11 @@ def rebuild(model):
 
 
 class Codec:
-    """Encodes and decodes batches of texts within one task."""
+    """Encodes and decodes batches of texts within one task.
+
+    Ids are handled as the bytes of 32-bit numbers, so that what is remembered
+    stays small and a text's ids are its cuts' joined.
+    """
 
     def __init__(self, data):
         model = model_file.parse(data)
@@ -75,21 +84,23 @@ class Codec:
         # The marker itself counts as a space, as it does once spaces are escaped.
         space = f"[ {model_file.SPACE}]"
         self.cut = re.compile(f"{space}*[^ {model_file.SPACE}]+|{space}+")
-        self.seen, self.wrong = {}, set()
+        #: Bytes of escaped text that each piece stands for.
+        self.lengths = np.array([1 if t == model_file.BYTE else len(p.encode()) for p, t in zip(model.pieces, model.types)])
+        self.seen, self.differing, self.changed = {}, set(), set()
 
-    def _both(self, texts):
-        """(ids, agreed) of each text."""
-        mine = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _compared(self, texts):
+        """(ids as lists, whether the sentencepiece library agrees) of each text."""
+        mine = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         theirs = self.library.encode(texts, num_threads=1)
-        return [(b, a.ids == b) for a, b in zip(mine, theirs)]
+        return [(b, a == b) for a, b in zip(mine, theirs)]
 
     def encode(self, texts):
-        """(ids, agreed) of each text; none for an empty or null one."""
+        """(ids as bytes, parity, round trip) of each text; none for an empty or null one."""
         texts = [t or "" for t in texts]
         if not self.cutting:
-            full = [t for t in texts if t]
-            made = iter(self._both(full))
-            return [next(made) if t else ([], True) for t in texts]
+            made = [(packed(ids), alike) for ids, alike in self._compared(texts)]
+            back = self.decode([unpacked(ids) for ids, _ in made])
+            return [(ids, alike, b == t) for (ids, alike), b, t in zip(made, back, texts)]
         # Behind the marker that the model puts in front, each cut begins with a
         # space; without that first one it is a text of its own.
         cuts = [self.cut.findall(" " + t) if t else [] for t in texts]
@@ -97,37 +108,89 @@ class Codec:
             self.seen.clear()
         seen, fresh = self.seen, {}
         new = list({c for cut in cuts for c in cut if c not in seen})
-        for cut, made in zip(new, self._cuts(new)):
-            (seen if len(cut) <= REMEMBERED_CHARS else fresh)[cut] = made
+        for cut, ids in zip(new, self._cuts(new)):
+            (seen if len(cut) <= REMEMBERED_CHARS else fresh)[cut] = ids
         take = {**seen, **fresh} if fresh else seen
         return [
-            (list(chain.from_iterable([take[c] for c in cut])), not self.wrong.intersection(cut) if self.wrong else True)
+            (b"".join([take[c] for c in cut]), self.differing.isdisjoint(cut), self.changed.isdisjoint(cut))
             for cut in cuts
         ]
 
     def _cuts(self, cuts):
-        """Ids of each cut; cuts that the libraries see differently go to `wrong`."""
-        made = [e.ids for e in self.tokenizer.encode_batch_fast([c[1:] for c in cuts], add_special_tokens=False)]
-        lone = self.library.piece_to_id(model_file.SPACE)
-        # An empty text has no pieces, but a lone space behind a text has one.
-        made = [ids if len(c) > 1 else [lone] for c, ids in zip(cuts, made)]
-        # Cuts keep their pieces when joined, unless they are spaces only.
-        worded = [i for i, c in enumerate(cuts) if c.strip(" " + model_file.SPACE)]
-        joined = self.library.encode("".join([cuts[i] for i in worded])[1:]) if worded else []
-        alike = list(chain.from_iterable([made[i] for i in worded])) == joined
-        for i, cut in enumerate(cuts):
-            if len(cut) > 1 and not (alike and cut.strip(" " + model_file.SPACE)):
-                theirs = self.library.encode(cut[1:])
-                if theirs != made[i]:
-                    self.wrong.add(cut)
-                    made[i] = theirs
-        return made
+        """Ids of each cut. Cuts whose ids the libraries see differently go to
+        `differing`, those that do not come back from their ids to `changed`.
+
+        Cuts keep their pieces when joined, unless they are spaces only, so they
+        are encoded and decoded in joined groups; a group in which anything
+        differs is done cut by cut.
+        """
+        spaces = " " + model_file.SPACE
+        worded = [c for c in cuts if c.strip(spaces)]
+        groups = [worded[i : i + GROUP] for i in range(0, len(worded), GROUP)]
+        joined = ["".join(group)[1:] for group in groups]
+        mine = [e.ids for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        theirs = self.library.encode(joined, num_threads=1)
+        back = self.tokenizer.decode_batch(mine, skip_special_tokens=False)
+        found, alone = {}, [c for c in cuts if not c.strip(spaces)]
+        for group, text, ids, other, again in zip(groups, joined, mine, theirs, back):
+            parts = self._parted(group, ids) if ids == other and again == text else None
+            if parts is None:
+                alone += group
+            else:
+                found.update(zip(group, parts))
+        for cut in alone:
+            found[cut] = self._alone(cut)
+        return [found[c] for c in cuts]
+
+    def _parted(self, cuts, ids):
+        """The ids of joined cuts by cut; none if some piece lies across two cuts."""
+        ids = np.array(ids, np.int32)
+        ends = np.cumsum([len(c.replace(" ", model_file.SPACE).encode()) for c in cuts])
+        reached = np.cumsum(self.lengths[ids])
+        last = np.searchsorted(reached, ends)
+        if last[-1] >= len(reached) or not np.array_equal(reached[last], ends):
+            return None
+        data, ends = ids.tobytes(), ((last + 1) * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+    def _alone(self, cut):
+        """Ids of one cut, compared and decoded by itself."""
+        # Without its first space a cut is a text of its own, but a lone space
+        # is a piece behind a text and no text has only that piece.
+        text, lone = cut[1:], [self.library.piece_to_id(model_file.SPACE)]
+        mine = self.tokenizer.encode(text, add_special_tokens=False).ids if text else lone
+        theirs = self.library.encode(text) if text else lone
+        if mine != theirs:
+            self.differing.add(cut)
+        # A text in front keeps the decoder from taking the first space away.
+        front = self.library.encode("a")
+        if self.tokenizer.decode(front + theirs, skip_special_tokens=False) != "a" + cut:
+            self.changed.add(cut)
+        return packed(theirs)
 
     def decode(self, ids):
         """The text of each list of ids."""
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
 
+def packed(ids):
+    """A list of ids as bytes."""
+    return array("i", ids).tobytes()
+
+
+def unpacked(data):
+    """The list of ids in bytes."""
+    return array("i", data).tolist()
+
+
+def _id_lists(made):
+    """An Arrow list array of ids given as bytes."""
+    sizes = [len(m) // 4 for m in made]
+    offsets = pa.array([0, *accumulate(sizes)], pa.int32())
+    values = pa.Array.from_buffers(pa.int32(), sum(sizes), [None, pa.py_buffer(b"".join(made))])
+    return pa.ListArray.from_arrays(offsets, values)
+
+
 def _mapped(df, names, types, data, step):
     """`df` under `step(codec, batch)`, which gives arrays for the columns `names`."""
 
@@ -140,20 +203,21 @@ def _mapped(df, names, types, data, step):
 
 
 def encode(df, data, id_col="doc_id", text_col="text"):
-    """`id_col`, `ids` (array of int) and `parity` of each row; null texts have no ids.
+    """`id_col`, `ids` (array of int), `parity` and `round_trip` of each row.
 
-    `data` holds the bytes of the model file. Rows are kept one to one; other
-    columns are left out, whatever their names.
+    `data` holds the bytes of the model file. Null texts count as empty and have
+    no ids. Rows are kept one to one; other columns are left out, whatever
+    their names. `round_trip` is whether the decoded ids are the text.
     """
 
     def step(codec, batch):
         made = codec.encode(batch.column(1).to_pylist())
-        return [batch.column(0), pa.array([m[0] for m in made], pa.list_(pa.int32())), pa.array([m[1] for m in made])]
+        return [batch.column(0), _id_lists([m[0] for m in made]), *[pa.array([m[k] for m in made]) for k in (1, 2)]]
 
     key = df.schema[id_col].dataType.simpleString()
     narrow = df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
-    types = [key, "array<int>", "boolean"]
-    return _mapped(narrow, ["key", "ids", "parity"], types, data, step).withColumnRenamed("key", id_col)
+    names, types = ["key", "ids", "parity", "round_trip"], [key, "array<int>", "boolean", "boolean"]
+    return _mapped(narrow, names, types, data, step).withColumnRenamed("key", id_col)
 
 
 def decode(df, data, id_col="doc_id", ids_col="ids"):
@@ -167,30 +231,6 @@ def decode(df, data, id_col="doc_id", ids_col="ids"):
     return _mapped(narrow, ["key", "text"], [key, "string"], data, step).withColumnRenamed("key", id_col)
 
 
-def encode_verified(df, data, id_col="doc_id", text_col="text"):
-    """As `encode`, with `round_trip`: whether decoding the ids gives the text again.
-
-    Both directions run in one pass, so that ids do not travel twice.
-    """
-
-    def step(codec, batch):
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        made = codec.encode(texts)
-        ids = [m[0] for m in made]
-        back = [a == b for a, b in zip(codec.decode(ids), texts)]
-        return [
-            batch.column(0),
-            pa.array(ids, pa.list_(pa.int32())),
-            pa.array([m[1] for m in made]),
-            pa.array(back),
-        ]
-
-    key = df.schema[id_col].dataType.simpleString()
-    narrow = df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
-    names, types = ["key", "ids", "parity", "round_trip"], [key, "array<int>", "boolean", "boolean"]
-    return _mapped(narrow, names, types, data, step).withColumnRenamed("key", id_col)
-
-
 def public_model():
     """Bytes of the public 32k model."""
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
@@ -199,7 +239,7 @@ def public_model():
 
 def encoded_digest(documents):
     """The digest columns that the query and the pipeline return."""
-    return encode_verified(documents, public_model()).select(
+    return encode(documents, public_model()).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
