@@ -1,4 +1,13 @@
 """All queries of this subpackage."""
 
-from auditloom.llm import chat_format, decontaminate, near_duplicates, quality_rules, sentence_pieces, token_counts  # noqa: F401
+from auditloom.llm import (  # noqa: F401
+    chat_format,
+    decontaminate,
+    near_duplicates,
+    quality_model,
+    quality_rules,
+    sentence_pieces,
+    token_counts,
+    toxicity,
+)
 from auditloom.llm.common import ORACLES, QUERIES  # noqa: F401
