@@ -8,10 +8,14 @@ make its words toxic.
 A clause is a list of word classes. Three transducers read it side by side: the
 target one marks a term said within a few words of a person, the negation one a
 term within a few words behind a negation, the reported-speech one a term behind
-a verb of saying. Composed into one automaton they give each insult or threat a
-path label, and each label has a weight. A clause counts once for each of its
-labels; a text's score is the logistic of its clauses' weights, which a ridge
-regression learns from the same documents.
+a verb of saying. Composed into one automaton they give each insult or threat of
+a clause a path label. A text's score is the logistic of the weights of what
+its matched clauses hold: how many clauses there are, how many terms by path
+label, and how long the text is. A ridge regression learns the weights from the
+same documents.
+
+A stem is learned only if several words share its contexts; of stems within one
+another the longest that keeps nearly all contexts is taken.
 
 Defined cases: null texts count as empty and score as texts without a match;
 repeated rows are scored one by one; without labelled rows there are no learned
@@ -34,6 +38,10 @@ from auditloom.llm.training import labelled_sample
 STEMS = (4, 5, 6, 7, 8)
 #: A term needs as many contexts in toxic documents, and that share of all its contexts.
 LEAST_CONTEXTS, LEAST_SHARE = 12, 0.8
+#: A stem's most frequent word has that share of its contexts at most.
+MOST_ONE_WORD = 0.7
+#: A longer stem replaces a shorter one if it keeps that share of its contexts.
+KEPT_CONTEXTS = 0.9
 #: Most learned terms of a model.
 LEXICON = 5_000
 #: Words that a target or negation reaches.
@@ -89,7 +97,7 @@ class Grammar:
     words: frozenset = frozenset()
     stems: frozenset = frozenset()
     bias: float = 0.0
-    weights: list = field(default_factory=lambda: [0.0] * (len(LABELS) + 1))
+    weights: list = field(default_factory=lambda: [0.0] * (len(LABELS) + 3))
 
     def kind(self, word):
         """The class of a lower-case word."""
@@ -104,20 +112,21 @@ class Grammar:
         return REPORT if word in REPORTS else OTHER
 
     def labels(self, clause):
-        """The path labels of a clause, given as lower-case words."""
-        states, found = (0, 0, 0), set()
+        """The path label of each term in a clause, given as lower-case words."""
+        states, found = (0, 0, 0), []
         for word in clause:
             kind = self.kind(word)
             states, marks = AUTOMATON[states, kind]
             if kind >= INSULT:
-                found.add((kind, *marks))
+                found.append((kind, *marks))
         return found
 
     def matches(self, text):
-        """Clauses of a text by path label, and the clauses that match any."""
+        """Terms of a text's matched clauses by path label, the clauses, and all words."""
         low = (text or "").lower()
         # Most texts have no term at all: their distinct words tell.
-        terms = {w for w in set(_WORD.findall(low)) if self.kind(w) >= INSULT}
+        all_words = _WORD.findall(low)
+        terms = {w for w in set(all_words) if self.kind(w) >= INSULT}
         counts, clauses = Counter(), 0
         if terms:
             for clause in _CLAUSE.split(low):
@@ -125,22 +134,26 @@ class Grammar:
                 if not terms.isdisjoint(words):
                     clauses += 1
                     counts.update(self.labels(words))
-        return counts, clauses
+        return counts, clauses, len(all_words)
 
     def row(self, text):
         """What the weights are applied to."""
-        counts, clauses = self.matches(text)
-        return [float(np.log1p(clauses)), *[float(np.log1p(counts[label])) for label in LABELS]]
+        counts, clauses, size = self.matches(text)
+        terms = sum(counts.values())
+        by_label = [float(np.log1p(counts[label])) for label in LABELS]
+        # Length matters only where something matched.
+        return [float(np.log1p(clauses)), float(np.log1p(terms)), float(np.log1p(size)) * (terms > 0), *by_label]
 
     def score(self, rows):
-        total = self.bias + np.asarray(rows, float).reshape(-1, len(LABELS) + 1) @ np.array(self.weights)
+        total = self.bias + np.asarray(rows, float).reshape(-1, len(LABELS) + 3) @ np.array(self.weights)
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
 def term_counts(sample):
-    """(term, stem, toxic, clean): contexts of words and stems in labelled documents.
+    """(term, stem, toxic, clean, top): contexts of words and stems in labelled documents.
 
-    A context is the word with its two neighbours, counted once for each label.
+    A context is the word with its two neighbours, counted once for each label;
+    `top` is the toxic contexts of the term's most frequent word.
     """
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
     around = let(
@@ -166,15 +179,22 @@ def term_counts(sample):
         ],
     )
     spread = counts.select("toxic", "clean", F.inline(forms)).filter("term is not null")
-    return spread.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return spread.groupBy("term", "stem").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.max("toxic").alias("top")
+    )
 
 
 def learned_terms(sample):
     """(words, stems) that mark toxic documents, at most `LEXICON`."""
     share = F.col("toxic") / (F.col("toxic") + F.col("clean") + 1)
     strong = term_counts(sample).filter((F.col("toxic") >= LEAST_CONTEXTS) & (share >= LEAST_SHARE))
-    best = strong.orderBy(F.desc("toxic"), "term", "stem").limit(LEXICON).collect()
-    stems = {r.term for r in best if r.stem}
+    productive = ~F.col("stem") | (F.col("top") <= MOST_ONE_WORD * F.col("toxic"))
+    best = strong.filter(productive).orderBy(F.desc("toxic"), "term", "stem").limit(LEXICON).collect()
+    stems = {r.term: r.toxic for r in best if r.stem}
+    for stem in sorted(stems, key=len, reverse=True):
+        longer = [t for t in stems if len(t) > len(stem) and t.startswith(stem)]
+        if any(stems[t] >= KEPT_CONTEXTS * stems[stem] for t in longer):
+            del stems[stem]
     shortest = {s for s in stems if not any(s[:n] in stems for n in STEMS if n < len(s))}
     covered = lambda w: any(w[:n] in shortest for n in STEMS if len(w) >= n)
     return frozenset(r.term for r in best if not r.stem and not covered(r.term)), frozenset(shortest)
