@@ -9,13 +9,15 @@ table key. So `HALVES`^2 tables cost 2 * `HALVES` * `ROWS` MinHashes, a table of
 
 Texts of one set are one node. Candidates are then confirmed on full sets:
 
-1. Each member of a bucket is compared with the bucket's smallest node: as many
-   pairs as members, however large the bucket.
+1. Each member of a bucket is compared with the bucket's head, the node whose
+   shingles are the most common ones: in a group of copies that is the text
+   they were made from. That is as many pairs as members, however large the
+   bucket.
 2. Links give components. Nodes of buckets that hold several components are
    joined across components by a prefix filter: of two sets with the wanted
    overlap the rarest shingles, as many as may be missing, have one in common.
-   Rarity is counted over those nodes, each pair's own prefix lengths are
-   checked within the join, and what is left is confirmed on full sets. That
+   Each pair's own prefix lengths are checked within the join, and what is
+   left is confirmed on full sets. That
    finds every link between those nodes, so none is lost by comparing with one
    member only, and members of one component are never paired.
 
@@ -154,20 +156,30 @@ def confirmed(pairs, sets, percent=PERCENT):
     return joined.select("x", "y", "sx", "sy").mapInArrow(run, "x long, y long")
 
 
-def _across(nodes, sets, percent):
+def _ranked(sets, percent):
+    """(node, n, weight, prefix): the rarest shingles of each set and how common all are.
+
+    Rarity is counted over `sets`. The prefix has as many shingles as a set of
+    at least `percent` similarity may miss, and one more.
+    """
+    shingles = sets.select("node", F.explode("shingles").alias("h"))
+    counted = shingles.join(folded(shingles, "h", F.count("*").alias("f")), "h")
+    ordered = counted.groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("f", "h"))).alias("order"), F.avg("f").alias("weight")
+    )
+    size = F.size("order")
+    longest = (size - F.ceil(size * percent / 100) + 1).cast("int")
+    prefix = F.transform(F.slice("order", F.lit(1), longest), lambda x: x["h"])
+    return ordered.select("node", size.cast("long").alias("n"), "weight", prefix.alias("prefix"))
+
+
+def _across(nodes, ranked, percent):
     """Pairs (x, y) of different components that may be similar enough.
 
     `nodes` is (node, label). No pair of these that is similar enough is missing.
     """
-    own = sets.join(nodes, "node")
-    shingles = own.select("node", F.explode("shingles").alias("h"))
-    ranked = shingles.join(folded(shingles, "h", F.count("*").alias("f")), "h")
-    ordered = ranked.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("order"))
-    longest = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    prefixes = ordered.join(own.select("node", "label", "n"), "node").select(
-        "node", "label", "n", F.posexplode(F.slice("order", F.lit(1), longest)).alias("i", "at")
-    )
-    prefixes = stored(prefixes.select("node", "label", "n", "i", F.col("at.h").alias("h")), "prefixes")
+    prefixes = ranked.join(nodes, "node").select("node", "label", "n", F.posexplode("prefix").alias("i", "h"))
+    prefixes = stored(prefixes, "prefixes")
     a, b = prefixes.alias("a"), prefixes.alias("b")
     overlap = F.ceil((F.col("a.n") + F.col("b.n")) * percent / (100 + percent))
     near = (
@@ -202,20 +214,24 @@ def near_duplicates(documents, id_col="doc_id", text_col="text", percent=PERCENT
         F.transform("first", lambda a, i: F.transform("second", lambda b, j: F.xxhash64(i, j, a, b)))
     )
     entries = nodes.select("node", F.explode(combined).alias("key"))
-    heads = folded(entries, "key", F.min("node").alias("head"), F.count("*").alias("members")).filter("members > 1")
-    buckets = stored(entries.join(heads.select("key", "head"), "key"), "buckets")
+    shared = folded(entries, "key", F.count("*").alias("members")).filter("members > 1").select("key")
+    buckets = stored(entries.join(shared, "key"), "buckets")
     active = buckets.select("node").distinct()
     keys = nodes.join(active, "node", "left_semi").select("node", "k1", "k2")
     texts = keyed.select("text", "k1", "k2").join(keys, ["k1", "k2"]).dropDuplicates(["node"])
     sets = stored(_sets_of(texts), "sets")
+    ranked = stored(_ranked(sets, percent), "ranked")
 
-    pairs = buckets.filter("head <> node").select(F.col("head").alias("x"), F.col("node").alias("y")).distinct()
+    weighed = buckets.join(ranked.select("node", "weight"), "node")
+    heads = folded(weighed, "key", F.max(F.struct("weight", "node")).alias("head"))
+    pairs = buckets.join(heads.select("key", F.col("head.node").alias("head")), "key")
+    pairs = pairs.filter("head <> node").select(F.col("head").alias("x"), F.col("node").alias("y")).distinct()
     links = stored(confirmed(pairs, sets, percent), "links")
     labels = components(links)
     labelled = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_keys = folded(labelled, "key", F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
     unresolved = stored(labelled.join(open_keys.select("key"), "key", "left_semi").select("node", "label").distinct(), "open")
-    more = stored(confirmed(_across(unresolved, sets, percent), sets, percent), "links")
+    more = stored(confirmed(_across(unresolved, ranked, percent), sets, percent), "links")
     chain = labels.select(F.col("node").alias("x"), F.col("label").alias("y")).filter("x <> y")
     labels = components(chain.union(more))
 
