@@ -3,6 +3,7 @@
 from auditloom.llm import (  # noqa: F401
     chat_format,
     decontaminate,
+    language_evidence,
     line_chunks,
     near_duplicates,
     quality_model,
