@@ -29,7 +29,7 @@ from auditloom.llm.components import stored
 from auditloom.operators.joins import folded
 
 #: A rolling hash ends a chunk with a chance of one in `SPACING`.
-SPACING = 3
+SPACING = 2
 #: Lines of a chunk.
 LEAST_LINES, MOST_LINES = 2, 16
 #: Words of a line that is a chunk of its own, and of a chunk that may be removed.
@@ -127,7 +127,8 @@ def repeated_chunks(documents, id_col="doc_id", text_col="text"):
     often = folded(rows, "h", F.count("*").alias("n")).filter("n > 1").select("h")
     often = stored(rows.join(often, "h"), "repeats")
     wanted = folded(often, ["k1", "k2"], F.collect_set("h").alias("wanted"))
-    wanted = keyed.join(stored(wanted, "wanted"), ["k1", "k2"])
+    # A merge join at every size: what it needs on disk grows as the texts do.
+    wanted = keyed.join(stored(wanted, "wanted").hint("merge"), ["k1", "k2"])
     # Equal bytes: the smallest and the largest text of a hash are the same.
     same = folded(_chunk_texts(wanted), "h", F.min("chunk").alias("a"), F.max("chunk").alias("b"))
     same = same.filter("a = b").select("h")
@@ -155,7 +156,7 @@ def _cleaned(documents, id_col, text_col, drop_empty):
             "_chunks_k2": F.xxhash64(F.lit(2), text_col, id_col),
         }
     )
-    joined = keyed.join(gone, ["_chunks_k1", "_chunks_k2"], "left").select(*documents.columns, "_chunks_gone")
+    joined = keyed.join(gone.hint("merge"), ["_chunks_k1", "_chunks_k2"], "left").select(*documents.columns, "_chunks_gone")
     at, last = documents.columns.index(text_col), len(documents.columns)
     counted = documents.columns.index("n_chars") if "n_chars" in documents.columns else None
     schema = T.StructType([*documents.schema.fields, T.StructField("_chunks_removed", T.IntegerType())])
