@@ -145,7 +145,7 @@ def test_quality_rules(spark):
 
 
 def test_lines_lost_reject_a_document(spark):
-    good = "\n".join(f"This is sentence number {i} of a clean document." for i in range(20))
+    good = "\n".join(f"Line {i} has{i} its{i} own{i} words{i} and ends{i}." for i in range(20))
     shouted = "\n".join("WORDS!! ARE!! SHOUTED!! HERE!! AGAIN!! " + chr(97 + i) for i in range(20))
     df = spark.createDataFrame([(1, good), (2, good + "\n" + shouted), (3, good + "\nAll rights reserved.")], "doc_id int, text string")
     kept = {r.doc_id: r.kept for r in quality_rules.clean(df).collect()}
