@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from auditloom import fixed
 from auditloom.functions.objects import strip
+from auditloom.operators.conform import whole_number
 from auditloom.operators.joins import folded
 
 
@@ -28,9 +29,7 @@ def _filled(*cols):
 
 def valid_materials(materials):
     """Rows with all four fields and a whole-number density."""
-    number = F.when(
-        strip(F.col("density")).rlike(r"\A[+-]?[0-9]+\z"), strip(F.col("density")).try_cast("bigint")
-    )
+    number = whole_number(F.col("density"))
     return (
         materials.where(_filled("class", "material", "density", "description"))
         .withColumn("density", number)

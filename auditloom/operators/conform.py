@@ -29,6 +29,13 @@ ISO_TEXT = (
 )
 MICROS_FROM, MILLIS_FROM = 1e14, 1e11
 
+
+def whole_number(text):
+    """Text to a whole number; underscores may stand between digits."""
+    text = strip(text)
+    return F.when(text.rlike(INT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+
+
 def _to_bool(col, kind):
     if isinstance(kind, T.BooleanType):
         return col
@@ -46,8 +53,7 @@ def _to_int(col, kind):
     if isinstance(kind, _FRACTION):
         return col.try_cast("bigint")
     if isinstance(kind, T.StringType):
-        text = strip(col)
-        return F.when(text.rlike(INT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+        return whole_number(col)
     return F.lit(None).cast("bigint")
 
 
@@ -103,9 +109,29 @@ def _to_bytes(col, kind):
     return col if isinstance(kind, T.BinaryType) else F.lit(None).cast("binary")
 
 
+def _not_finite(col, kind):
+    """Whether a value is, or holds anywhere, a NaN or an infinity; never null."""
+    if isinstance(kind, _FRACTION):
+        number = col.cast("double")
+        return F.coalesce(F.isnan(number) | (F.abs(number) == float("inf")), F.lit(False))
+    if isinstance(kind, T.StructType):
+        found = F.lit(False)
+        for field in kind.fields:
+            found = found | _not_finite(col[field.name], field.dataType)
+        return found
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.exists(col, lambda x: _not_finite(x, kind.elementType)), F.lit(False))
+    if isinstance(kind, T.MapType):
+        return F.coalesce(F.exists(F.map_values(col), lambda x: _not_finite(x, kind.valueType)), F.lit(False))
+    return F.lit(False)
+
+
 def _to_text(col, kind):
-    if isinstance(kind, _NESTED + (T.VariantType,)):
+    if isinstance(kind, T.VariantType):
         return F.to_json(col)
+    if isinstance(kind, _NESTED):
+        # Null fields are written; a nested NaN or infinity is refused.
+        return F.when(~_not_finite(col, kind), F.to_json(col, {"ignoreNullFields": "false"}))
     return col.cast("string")
 
 

@@ -6,9 +6,6 @@ from auditloom import fixed
 from auditloom.functions import objects
 from auditloom.operators.joins import folded
 
-# Beyond this many configured versions the fan-out stops using one array value.
-ARRAY_VERSIONS = 10_000
-
 
 def validate_events(df):
     """Add `reason`, `uri` and a parsed `generation` to scanned events.
@@ -58,27 +55,21 @@ def validate_tasks(df):
     return df.where("gcs_uri is not null and prompt_version_id is not null")
 
 
+def version_list(versions):
+    """The configured version ids as one sorted array, a scalar subquery.
+
+    The catalogue is configuration, so it fits one value whatever the events are.
+    """
+    ids = versions.select("prompt_version_id").where("prompt_version_id is not null").distinct()
+    return ids.agg(F.array_sort(F.collect_list("prompt_version_id"))).scalar()
+
+
 def fan_out(events, versions):
     """Every event once per configured version, without a join.
 
-    The version catalogue travels as one array value taken by a scalar
-    subquery, so events are multiplied in place and are never shuffled. A
-    catalogue too long for that goes in blocks, joined on the block number.
+    Events are multiplied in place and are never shuffled.
     """
-    ids = versions.select("prompt_version_id").where("prompt_version_id is not null").distinct()
-    if ids.limit(ARRAY_VERSIONS + 1).count() <= ARRAY_VERSIONS:
-        listed = ids.agg(F.array_sort(F.collect_list("prompt_version_id"))).scalar()
-        return events.withColumn("prompt_version_id", F.explode(listed))
-    blocks = ids.count() // ARRAY_VERSIONS + 1
-    grouped = ids.groupBy(
-        F.pmod(F.xxhash64("prompt_version_id"), F.lit(blocks)).alias("block")
-    ).agg(F.collect_list("prompt_version_id").alias("ids"))
-    return (
-        events.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
-        .join(grouped, "block")
-        .withColumn("prompt_version_id", F.explode("ids"))
-        .drop("block", "ids")
-    )
+    return events.withColumn("prompt_version_id", F.explode(version_list(versions)))
 
 
 def with_model_name(df, models):

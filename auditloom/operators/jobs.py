@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from auditloom import fixed
 from auditloom.functions import leases, objects
-from auditloom.operators.events import ARRAY_VERSIONS, fan_out
+from auditloom.operators.events import fan_out, version_list
 from auditloom.operators.joins import folded, unique
 from auditloom.session import shared_dir
 
@@ -55,42 +55,23 @@ def _with_object_jobs(events, versions, jobs):
     is hot.
     """
     current = jobs.join(versions.select("prompt_version_id"), "prompt_version_id", "left_semi")
-    entries = F.collect_list(F.struct("prompt_version_id", _fields()))
+    # Of repeated rows of one job the last in sorted order stays, as the session is set to.
+    entries = F.array_sort(F.collect_list(F.struct("prompt_version_id", _fields().alias("job"))))
     per_object = folded(current, "gcs_uri", F.map_from_entries(entries).alias("job_map"))
     return events.join(per_object, "gcs_uri", "left")
 
 
-def _few(versions):
-    """Whether the catalogue is short enough to be held in one array per row."""
-    ids = versions.select("prompt_version_id").distinct()
-    return ids.limit(ARRAY_VERSIONS + 1).count() <= ARRAY_VERSIONS
-
-
-def _version_list(versions):
-    return (
-        versions.select("prompt_version_id")
-        .distinct()
-        .agg(F.array_sort(F.collect_list("prompt_version_id")))
-        .scalar()
-    )
-
-
 def reconcile(events, versions, jobs, now):
     """One decision per event and configured version.
 
     Adds prompt_version_id, `job` (previous state or NULL), outcome and
-    delete_superseded_rows. A catalogue too long for an array is joined by
-    (object, version) instead.
+    delete_superseded_rows.
     """
-    if _few(versions):
-        wide = _with_object_jobs(events, versions, jobs)
-        rows = (
-            wide.withColumn("prompt_version_id", F.explode(_version_list(versions)))
-            .withColumn("job", F.try_element_at("job_map", F.col("prompt_version_id")))
-            .drop("job_map")
-        )
-    else:
-        rows = with_job_state(fan_out(events, versions), jobs)
+    rows = (
+        fan_out(_with_object_jobs(events, versions, jobs), versions)
+        .withColumn("job", F.try_element_at("job_map", F.col("prompt_version_id")))
+        .drop("job_map")
+    )
     job = F.col("job")
     outcome, superseded = leases.reconcile(job, job.isNotNull(), F.col("generation"), now)
     return rows.withColumn("outcome", outcome).withColumn("delete_superseded_rows", superseded)
@@ -100,30 +81,20 @@ def event_summary(events, versions, jobs, now, failed=None):
     """One row per event: tasks created, deferred and failed versions, status.
 
     All versions of an event are decided inside its row, so the summary costs
-    no shuffle beyond the look-up of the object's jobs. `failed` is an array
-    column of versions whose dispatch broke. A catalogue too long for an array
-    is decided row by row and grouped by event.
+    no shuffle beyond the look-up of the object's jobs, and equal events stay
+    rows of their own. `failed` is an array column of versions whose dispatch
+    broke.
     """
     failed = F.array().cast("array<string>") if failed is None else failed
     kept = list(events.columns)
-    if _few(versions):
-        wide = _with_object_jobs(events, versions, jobs).withColumn(
-            "versions", _version_list(versions)
-        )
+    wide = _with_object_jobs(events, versions, jobs).withColumn("versions", version_list(versions))
 
-        def decide(version):
-            job = F.try_element_at("job_map", version)
-            outcome, _ = leases.reconcile(job, job.isNotNull(), F.col("generation"), now)
-            return F.struct(version.alias("version"), outcome.alias("outcome"))
-
-        decided = wide.withColumn("decisions", F.transform("versions", decide))
-    else:
-        pair = F.struct(F.col("prompt_version_id").alias("version"), "outcome")
-        decided = (
-            reconcile(events, versions, jobs, now)
-            .groupBy(*kept)
-            .agg(F.array_sort(F.collect_list(pair)).alias("decisions"))
-        )
+    def decide(version):
+        job = F.try_element_at("job_map", version)
+        outcome, _ = leases.reconcile(job, job.isNotNull(), F.col("generation"), now)
+        return F.struct(version.alias("version"), outcome.alias("outcome"))
+
+    decided = wide.withColumn("decisions", F.transform("versions", decide))
 
     def pick(outcome):
         chosen = F.filter("decisions", lambda d: d["outcome"] == F.lit(outcome))
@@ -291,6 +262,13 @@ def replace_jobs(jobs, rows):
     )
 
 
+def start(jobs, tasks, now):
+    """Job table with the jobs of `tasks` (with attempt) marked as being processed."""
+    attempt = folded(tasks, KEY, F.max("attempt").cast("bigint").alias("attempts"))
+    written = {"status": F.lit(fixed.PROCESSING), "attempts": F.col("attempts"), "last_processed_at": now}
+    return upsert_jobs(jobs, attempt.select(*KEY, *[written.get(f, _null(f)).alias(f) for f in FIELDS]))
+
+
 def advance(jobs, results, now):
     """Job table after worker results.
 

@@ -73,6 +73,11 @@ def url_payload(active, thumbs, sign):
     )
 
 
+def rows_of_due_images(results, now, slack="2 days"):
+    """All rows of the images that have a row due, so that each image keeps its first row."""
+    return results.join(unique(urls_due(results, now, slack), "image_id"), "image_id", "left_semi")
+
+
 def urls_due(results, now, slack="2 days"):
     """Rows whose URLs expire within `slack`."""
     # The bound is a constant, so it reaches the scan as a pushed filter.

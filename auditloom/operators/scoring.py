@@ -1,44 +1,70 @@
 """Scoring of objects with a pluggable function."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from auditloom import fixed
 
+#: Columns of a task, beside its prompt and model, that a scorer is told.
+SETTINGS = ("system_instruction", "thinking_level", "code_execution")
+
 SCORED = "response string, error_message string, tries int"
 
 
+def usable(text):
+    """Whether a response holds JSON where `extract_json` looks for it."""
+    text = text or ""
+    _, fence, after = text.partition(fixed.FENCE_OPEN)
+    body, closed, _ = after.partition(fixed.FENCE_CLOSE)
+    if not (fence and closed):
+        body = text[text.find("{") : text.rfind("}") + 1] if "{" in text else ""
+    try:
+        json.loads(body)
+    except ValueError:
+        return False
+    return True
+
+
 def score(tasks, make_scorer, fetch=None, attempts=fixed.SCORE_ATTEMPTS):
     """Run a scorer over tasks and add response, error_message and tries.
 
     `make_scorer()` is called once per partition and returns
-    `(bytes, prompt, model) -> text`. The bytes are the `content` column, or
+    `(bytes, prompt, model, settings) -> text`; `settings` holds the task's
+    system instruction, thinking level and code switch by name, as far as the
+    tasks have these columns. The bytes are the `content` column, or
     what `fetch(uri)` reads inside the task, which keeps them out of any
-    shuffle. A raising scorer is tried `attempts` times; after that, or when
-    there are no bytes, the row gets an error instead of failing the job.
+    shuffle. A scorer that raises or answers without usable JSON is tried
+    `attempts` times; after that the row gets the error, or the last answer if
+    that did not raise. Without bytes the row gets an error at once.
     """
     keep = [f for f in tasks.schema.fields if f.name != "content"]
 
     def run(batches):
         scorer = make_scorer()
 
-        def one(content, uri, prompt, model):
+        def one(content, uri, prompt, model, settings):
             if fetch is not None:
                 content = fetch(uri)
             if not content:
                 return None, f"No content: {uri}", 0
-            error = None
+            answer = error = None
             for attempt in range(1, attempts + 1):
                 try:
-                    return scorer(bytes(content), prompt, model), None, attempt
+                    answer, error = scorer(bytes(content), prompt, model, settings), None
                 except Exception as problem:  # pylint: disable=broad-except
-                    error = str(problem) or type(problem).__name__
-            return None, error, attempts
+                    answer, error = None, str(problem) or type(problem).__name__
+                if usable(answer):
+                    break
+            return answer, error, attempt
 
         for pdf in batches:
             content = pdf["content"] if "content" in pdf else [None] * len(pdf)
+            known = [c for c in SETTINGS if c in pdf]
+            told = [dict(zip(known, row)) for row in zip(*[pdf[c] for c in known])] or [{}] * len(pdf)
             done = [
                 one(*row)
-                for row in zip(content, pdf["gcs_uri"], pdf["prompt_text"], pdf["model_name"])
+                for row in zip(content, pdf["gcs_uri"], pdf["prompt_text"], pdf["model_name"], told)
             ]
             out = pdf.drop(columns=["content"], errors="ignore")
             for place, name in enumerate(("response", "error_message", "tries")):

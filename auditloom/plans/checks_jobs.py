@@ -249,7 +249,7 @@ select {S.uri_sql('user_id')} as gcs_uri, 'v' || cast(1 + event_id % 3 as string
   case when event_id % 3 = 0 then 'PROCESSED' when event_id % 7 = 0 then 'FAILED_RETRY' end as status,
   case when event_id % 5 = 0 then event_id end as generation, event_id % 6 as attempts,
   case when event_id % 4 = 0 then 'note ' || cast(event_id as string) end as error_message, event_id as seq
-from $events where event_type = 'purchase'"""
+from $events"""
 
 
 @query(

@@ -194,13 +194,19 @@ def weight_check(spark, sf_dir):
 def bytes_scorer():
     """A repeatable scorer: the byte count decides the answer.
 
-    Sizes divisible by 7 always raise; the others answer with one material.
+    Sizes divisible by 7 always raise, those divisible by 5 answer in prose at
+    first; the others answer with one material.
     """
+    told = set()
 
-    def score(content, prompt, model):
+    def score(content, prompt, model, settings):
         size = len(content)
         if size % 7 == 0:
             raise ValueError(f"cannot score {size} bytes")
+        if size % 5 == 0 and content not in told:
+            told.add(content)
+            return "I have to look again."
+        told.discard(content)
         return f'{prompt} {model}\n```json\n{{"TotalWeightLbs": {size}, "Text": {{"bytes": 0.5}}}}\n```'
 
     return score
@@ -212,7 +218,7 @@ def bytes_scorer():
     with d as (select doc_id, octet_length(encode(text)) as n, lang from documents)
     select doc_id, case when n = 0 then 'No content: gs://docs/' || doc_id
         when n % 7 = 0 then 'cannot score ' || n || ' bytes' end as error_message,
-      cast(case when n = 0 then 0 when n % 7 = 0 then 4 else 1 end as bigint) as tries,
+      cast(case when n = 0 then 0 when n % 7 = 0 then 4 when n % 5 = 0 then 2 else 1 end as bigint) as tries,
       cast(case when n % 7 <> 0 then round(n * 0.5, 6) end as double) as weight
     from d""",
 )

@@ -42,6 +42,25 @@ def stream_reconcile(spark, sf_dir):
     return queued.groupBy("gcs_uri", "prompt_version_id").agg(F.max("generation").alias("generation"))
 
 
+@query(
+    "stream_decisions",
+    S.with_views(
+        "object_events versions",
+        FINALIZED
+        + """select gcs_uri, prompt_version_id, generation, count(*) as decisions from fin cross join versions
+             group by gcs_uri, prompt_version_id, generation""",
+    ),
+)
+def stream_decisions(spark, sf_dir):
+    """Every arrival is decided once for each version, whatever is newer."""
+    arrivals = event_stream(spark, sf_dir).where("kind = 'finalize'")
+    decisions = reconcile.reconcile_stream(arrivals, ["v1", "v2"], settled=True)
+    path = shared_dir(spark, "decisions")
+    reconcile.start_decisions(decisions, path, shared_dir(spark, "state")).awaitTermination()
+    made = spark.read.parquet(path).groupBy("gcs_uri", "prompt_version_id", "generation")
+    return made.agg(F.count("*").alias("decisions"))
+
+
 @query(
     "stream_delete",
     S.with_views(

@@ -88,12 +88,12 @@ def merge_urls(spark, sf_dir):
 
 @query(
     "inline_updates",
-    S.with_views("updates", "select * from updates"),
+    S.with_views("all_updates", "select * from all_updates"),
 )
 def inline_updates(spark, sf_dir):
     """Updates arriving as arrays of structs, a thousand ids to an array."""
     row = F.struct("image_id", *mutate.URL_COLUMNS)
-    updates = S.view(spark, sf_dir, "updates")
+    updates = S.view(spark, sf_dir, "all_updates")
     block = F.expr("cast(substr(image_id, 4) as bigint) div 1000")
     packed = updates.groupBy(block.alias("block")).agg(F.collect_list(row).alias("updates"))
     return mutate.inline_updates(packed, "updates")

@@ -26,6 +26,14 @@ def one_per_object(arrivals):
     return arrivals.groupBy("gcs_uri").agg(F.max("generation").alias("generation"))
 
 
+def one_delete_per_object(deletes):
+    """The event that decides each object's delete: one without a generation is
+    unconditional and wins, else the newest."""
+    always = F.bool_or(F.col("generation").isNull())
+    newest = F.when(~always, F.max("generation"))
+    return deletes.groupBy("gcs_uri").agg(newest.alias("generation"))
+
+
 def ingest(spark, raw_events, versions, jobs_path, results_path, tasks_path, now, dispatch=None):
     """Arrived objects to tasks.
 
@@ -44,25 +52,36 @@ def ingest(spark, raw_events, versions, jobs_path, results_path, tasks_path, now
     claimed = kept(jobs.replace_jobs(state, claims), "claimed")
     tables.write_jobs(claimed, jobs_path)
 
-    superseded = decisions.where("delete_superseded_rows")
-    if not superseded.isEmpty():
-        tables.apply_delete(spark, results_path, decisions=superseded)
-
+    superseded, removed = decisions.where("delete_superseded_rows"), False
     tasks = claims.select(*jobs.KEY)
-    refused = dispatch(tasks) if dispatch is not None else None
+    try:
+        if not superseded.isEmpty():
+            tables.apply_delete(spark, results_path, decisions=superseded)
+            removed = True
+        refused = dispatch(tasks) if dispatch is not None else None
+    except Exception:
+        # Nothing was handed over: all claims are undone before the failure goes on.
+        gone = F.col("delete_superseded_rows") & F.lit(removed)
+        _undo(claimed, claims, F.lit(True), gone, jobs_path)
+        raise
     if refused is not None and not refused.isEmpty():
         marked = claims.join(
             refused.select(*jobs.KEY).distinct().withColumn("_broken", F.lit(True)), jobs.KEY, "left"
         )
         broken = F.coalesce("_broken", F.lit(False))
-        settled = jobs.rollback(marked, broken, F.col("delete_superseded_rows"))
-        others = claimed.join(claims.select(*jobs.KEY), jobs.KEY, "left_anti")
-        tables.write_jobs(others.unionByName(settled.select(*others.columns)), jobs_path)
+        _undo(claimed, marked, broken, F.col("delete_superseded_rows"), jobs_path)
         tasks = tasks.join(refused, jobs.KEY, "left_anti")
     tables.append_table(tasks, tasks_path)
     return rejected, decisions
 
 
+def _undo(claimed, claims, broken, rows_deleted, jobs_path):
+    """Write the job table with the broken ones among `claims` rolled back."""
+    settled = jobs.rollback(claims, broken, rows_deleted)
+    others = claimed.join(claims.select(*jobs.KEY), jobs.KEY, "left_anti")
+    tables.write_jobs(others.unionByName(settled.select(*others.columns)), jobs_path)
+
+
 def work(
     spark, tasks, rendered, make_scorer, jobs_path, results_path, errors_path, now,
     images=None, fetch=None, thumbs=True, sign=None, partitions=None,
@@ -73,7 +92,8 @@ def work(
     the `images` frame or from `fetch(uri)`. Scoring is the costly step, so its
     output is written before anything else reads it.
     """
-    tasks = events.validate_tasks(tasks)
+    tasks = kept(events.validate_tasks(tasks), "tasks")
+    tables.write_jobs(jobs.start(tables.read_jobs(spark, jobs_path), tasks, now), jobs_path)
     unknown = events.missing_versions(tasks, rendered).withColumn(
         "error_message",
         F.concat(F.lit("Prompt version '"), F.col("prompt_version_id"), F.lit("' not found.")),
@@ -135,21 +155,30 @@ def delete(spark, raw_events, jobs_path, results_path, list_objects, now):
     because a newer object may have arrived meanwhile. Returns the plan and the
     number of deleted result rows.
     """
-    valid, _ = events.quarantine(events.validate_events(raw_events))
-    newest = one_per_object(events.supported_images(valid))
+    checked = kept(events.validate_events(raw_events), "events")
+    valid, _ = events.quarantine(checked)
+    newest = one_delete_per_object(events.supported_images(valid))
     wanted = mutate.fresh_deletes(newest, list_objects())
     state = tables.read_jobs(spark, jobs_path)
     plan = kept(jobs.delete_plan(wanted, state, now), "plan")
     leased = kept(jobs.lease_delete(state, plan, now), "leases")
     tables.write_jobs(jobs.replace_jobs(state, leased), jobs_path)
 
-    still = kept(mutate.fresh_deletes(plan, list_objects()), "deletes")
-    back = leased.join(still.select("gcs_uri"), "gcs_uri", "left_anti")
-    restored = jobs.rollback_delete(back, F.lit(False))
-    gone = still.where(F.col("action") == fixed.ACTION_DELETE)
-    removed = 0 if gone.isEmpty() else tables.apply_delete(spark, results_path, uris=gone)
-    settled = jobs.replace_jobs(tables.read_jobs(spark, jobs_path), restored)
-    tables.write_jobs(jobs.purge_jobs(settled, still), jobs_path)
+    removed, done = 0, False
+    try:
+        still = kept(mutate.fresh_deletes(plan, list_objects()), "deletes")
+        back = leased.join(still.select("gcs_uri"), "gcs_uri", "left_anti")
+        restored = jobs.rollback_delete(back, F.lit(False))
+        gone = still.where(F.col("action") == fixed.ACTION_DELETE)
+        removed = 0 if gone.isEmpty() else tables.apply_delete(spark, results_path, uris=gone)
+        done = True
+        settled = jobs.replace_jobs(tables.read_jobs(spark, jobs_path), restored)
+        tables.write_jobs(jobs.purge_jobs(settled, still), jobs_path)
+    except Exception:
+        # The leases are given back, or made retryable where the rows are gone.
+        restored = jobs.rollback_delete(leased, F.lit(done))
+        tables.write_jobs(jobs.replace_jobs(state, restored), jobs_path)
+        raise
     return plan, removed
 
 
@@ -160,7 +189,7 @@ def refresh_urls(spark, results_path, thumbs, sign, now, due_only=False):
     the backlog of missing thumbnails.
     """
     table = tables.read_results(spark, results_path)
-    source = refresh.urls_due(table, now) if due_only else table
+    source = refresh.rows_of_due_images(table, now) if due_only else table
     first = kept(refresh.first_per_image(refresh.active_records(source)), "active")
     updates = kept(refresh.url_payload(first, thumbs, sign), "updates")
     tables.apply_merge(spark, results_path, updates)

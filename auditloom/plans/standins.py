@@ -32,6 +32,12 @@ OBJECT_EVENT = [
     "case when event_type = 'error' then 'delete' else 'finalize' end as kind",
 ]
 
+# Objects that have jobs; every fifth one has none.
+KNOWN = (
+    "select user_id as u from $events where user_id % 5 <> 0"
+    " union select o_orderkey as u from $orders where o_orderkey % 5 <> 0"
+)
+
 SQL = {
     "object_events": f"select {', '.join(OBJECT_EVENT)} from $events",
     "versions": """
@@ -44,12 +50,11 @@ SQL = {
           case when u % 11 = 0 then null else u * 37 + v end as generation,
           u % 7 as attempts, (u * 17 + v * 5) % 240 as age_min,
           case when (u + v) % 6 in (3, 4) then 'broke ' || cast(u as string) end as error_message
-        from (select user_id as u, 1 as v, 'v1' as ver from $events where ts < timestamp '2024-01-01 18:00:00'
-              union select user_id as u, 2 as v, 'v2' as ver from $events
-              where ts < timestamp '2024-01-01 18:00:00') e""",
+        from (select u, 1 as v, 'v1' as ver from ({KNOWN}) a
+              union all select u, 2 as v, 'v2' as ver from ({KNOWN}) b) e""",
     "inventory": f"""
         select {uri_sql('u')} as gcs_uri, u * 50 + 1 as generation
-        from (select distinct user_id as u from $events where ts >= timestamp '2024-01-30 00:00:00') t""",
+        from (select distinct user_id as u from $events where user_id % 3 <> 0) t""",
     "results": f"""
         select case when l_orderkey % 97 = 0 then null
             else 'img' || cast(l_orderkey - l_orderkey % 2 as string) end as image_id,
@@ -70,6 +75,14 @@ SQL = {
           case when k % 4 = 0 then '' else 'https://new.example/t' || cast(k as string) end as thumb_signed_url,
           case when k % 9 = 0 then null else 'gs://thumbs/n' || cast(k as string) end as gcs_thumb_uri
         from (select distinct o_orderkey - o_orderkey % 2 as k from $orders where o_orderstatus = 'F') t""",
+    "all_updates": """
+        select 'img' || cast(o_orderkey as string) as image_id,
+          'https://new.example/' || cast(o_orderkey as string) as raw_signed_url,
+          case when o_orderkey % 4 = 0 then '' else 'https://new.example/t' || cast(o_orderkey as string) end
+            as thumb_signed_url,
+          case when o_orderkey % 9 = 0 then null else 'gs://thumbs/n' || cast(o_orderkey as string) end
+            as gcs_thumb_uri
+        from $orders""",
     "thumbs": """
         select 'gs://audit-' || cast(o_orderkey % 3 as string) || '-thumbnails/thumbnails/img'
           || cast(o_orderkey - o_orderkey % 2 as string) || '_thumb.webp' as thumb_uri

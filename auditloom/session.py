@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import re
 import sys
 import tempfile
 import uuid
@@ -11,6 +12,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A repeated JSON key keeps its last value instead of failing the document.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # A repeated map key keeps its last value.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Runtime re-planning: small sides found at run time become broadcasts,
     # small partitions are merged, hot join partitions are split.
     "spark.sql.adaptive.enabled": "true",
@@ -45,7 +48,7 @@ def shared_dir(spark, purpose):
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
         if not _LOCAL_ROOT:
             _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="run-", dir="/tmp"))

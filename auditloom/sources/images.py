@@ -1,8 +1,13 @@
 """Binary objects."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from auditloom import fixed
+from auditloom.sources.tables import file_system
+
+_SCHEME = r"\A[A-Za-z][A-Za-z0-9+.-]*:/+"
 
 
 def scan_images(spark, glob, root):
@@ -10,8 +15,10 @@ def scan_images(spark, glob, root):
 
     Column pruning reaches this source: without `content` no bytes are read.
     """
-    path = F.regexp_replace("path", r"\A[a-z0-9]+:/+", "/")
-    start = root.rstrip("/") + "/"
+    # Both in the form in which the file system names its own paths.
+    fs, place = file_system(spark, root)
+    start = re.sub(_SCHEME, "/", fs.makeQualified(place).toString()).rstrip("/") + "/"
+    path = F.regexp_replace("path", _SCHEME, "/")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

@@ -12,21 +12,23 @@ from pyspark.sql.types import StructType
 
 from auditloom import fixed
 from auditloom.operators import mutate
+from auditloom.operators.joins import folded
 
 
-def _fs(spark, path):
+def file_system(spark, path):
+    """The Hadoop file system of a path, and the path."""
     jvm = spark._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
 def path_exists(spark, path):
-    fs, hadoop = _fs(spark, path)
+    fs, hadoop = file_system(spark, path)
     return fs.exists(hadoop)
 
 
 def _snapshots(spark, path):
-    fs, hadoop = _fs(spark, path)
+    fs, hadoop = file_system(spark, path)
     if not fs.exists(hadoop):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(hadoop)]
@@ -109,7 +111,7 @@ def write_batch(df, path, batch_id):
 
 def newest_batches(df, keys):
     """Rows of the newest batch of each key."""
-    latest = df.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
+    latest = folded(df, keys, F.max("batch_id").alias("batch_id"))
     return df.join(latest, [*keys, "batch_id"], "left_semi")
 
 

@@ -139,13 +139,13 @@ class ObjectProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         now, out = timerValues.getCurrentProcessingTimeInMs(), []
-        arrivals, deletes, results = set(), set(), []
+        arrivals, deletes, results = [], [], []
         for batch in rows:
             for row in batch.itertuples(index=False):
                 if row.kind == "finalize":
-                    arrivals.add(row.generation)
+                    arrivals.append(row.generation)
                 elif row.kind == "delete":
-                    deletes.add(row.generation)
+                    deletes.append(row.generation)
                 else:
                     results.append(row)
         for row in results:
@@ -192,30 +192,6 @@ def _shape(events):
     )
 
 
-def combine(events):
-    """Keep the newest event per object and kind inside each Arrow batch.
-
-    Older generations of the same batch would only be skipped. Doing this
-    before the shuffle means a hot object reaches its state as a few rows per
-    task, not as all its events.
-    """
-
-    def run(batches):
-        for pdf in batches:
-            result = pdf["kind"] == "result"
-            known = pdf[~result & (pdf["generation"] != NONE)].sort_values("generation")
-            unknown = pdf[~result & (pdf["generation"] == NONE)]
-            yield pd.concat(
-                [
-                    pdf[result],
-                    known.drop_duplicates(["gcs_uri", "kind"], keep="last"),
-                    unknown.drop_duplicates(["gcs_uri", "kind"]),
-                ]
-            )
-
-    return events.mapInPandas(run, INPUT)
-
-
 def drop_repeats(events, time_col, delay="10 minutes"):
     """Drop repeated deliveries of the same (object, kind, generation).
 
@@ -241,7 +217,7 @@ def reconcile_stream(events, versions, settled=False):
     """
     mode = "None" if settled else "ProcessingTime"
     return (
-        combine(_shape(events))
+        _shape(events)
         .groupBy("gcs_uri")
         .transformWithStateInPandas(
             ObjectProcessor(versions, settled), DECISION, "Append", mode

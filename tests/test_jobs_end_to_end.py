@@ -4,11 +4,12 @@ import json
 import sys
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from auditloom import fixed
-from auditloom.operators import catalogue, scoring
+from auditloom.operators import catalogue, refresh, scoring
 from auditloom.plans import jobs as plans
 from auditloom.sources import config, images, tables
 from auditloom.sources.events import read_object_events
@@ -25,7 +26,8 @@ def at(spark, moment):
 
 
 def scorer():
-    def score(content, prompt, model):
+    def score(content, prompt, model, settings):
+        assert settings["system_instruction"] if "system_instruction" in settings else not settings
         if content == b"bad":
             raise RuntimeError("model is down")
         if content == b"prose":
@@ -39,11 +41,12 @@ def scorer():
 def counting_scorer():
     calls = {}
 
-    def score(content, prompt, model):
+    def score(content, prompt, model, settings):
+        assert settings == {}
         calls[content] = calls.get(content, 0) + 1
         if calls[content] <= int(content):
             raise ValueError("not yet")
-        return "done"
+        return "{}"
 
     return score
 
@@ -55,10 +58,76 @@ def test_retries_are_bounded(spark):
     ).coalesce(1)
     got = {r.gcs_uri: r for r in scoring.score(tasks, counting_scorer).collect()}
     assert [got[f"u{n}"].tries for n in range(6)] == [1, 2, 3, 4, 4, 4]
-    assert [got[f"u{n}"].response for n in range(6)] == ["done"] * 4 + [None] * 2
+    assert [got[f"u{n}"].response for n in range(6)] == ["{}"] * 4 + [None] * 2
     assert got["u5"].error_message == "not yet"
 
 
+def test_unusable_answers_are_retried(spark):
+    answers = ["", "prose", '{"a": oops}', "```json\n[1]\n``` {"]
+
+    def make():
+        given = iter(answers)
+        return lambda content, prompt, model, settings: next(given)
+
+    rows = spark.createDataFrame(
+        [("u", b"x", "p", "m")], "gcs_uri string, content binary, prompt_text string, model_name string")
+    got = scoring.score(rows, make).first()
+    assert (got.response, got.error_message, got.tries) == (answers[3], None, 4)
+    last = scoring.score(rows, make, attempts=2).first()
+    assert (last.response, last.error_message, last.tries) == ("prose", None, 2)
+
+
+def test_failures_undo_claims_and_leases(spark, tmp_path, monkeypatch):
+    versions = spark.createDataFrame([("v1",)], "prompt_version_id string")
+    jobs_path, results_path, tasks_path = (str(tmp_path / n) for n in ("jobs", "results", "tasks"))
+    fresh = write_events(tmp_path / "in", [event("new.jpg", 2), event("old.jpg", 2)])
+    old = ("gs://raw/old.jpg", "v1", "PROCESSED", None, 1, 1, NOW, None, None)
+    before = spark.createDataFrame([old], fixed.JOB_SCHEMA)
+    tables.write_jobs(before, jobs_path)
+    stored = lambda: sorted(map(tuple, tables.read_jobs(spark, jobs_path).collect()))
+    first = stored()
+
+    def fail(*_, **__):
+        raise RuntimeError("down")
+
+    raw = read_object_events(spark, fresh)
+    args = (spark, raw, versions, jobs_path, results_path, tasks_path, at(spark, NOW))
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "apply_delete", fail)
+        with pytest.raises(RuntimeError):
+            plans.ingest(*args)
+    assert stored() == first
+    with pytest.raises(RuntimeError):
+        plans.ingest(*args, dispatch=fail)
+    # The rows of the old object are gone by now: it is to be retried at once.
+    assert [(r[0], r[2], r[5]) for r in stored()] == [("gs://raw/old.jpg", "FAILED_RETRY", 5)]
+
+    tables.write_jobs(before, jobs_path)
+    listing = lambda: spark.createDataFrame([], "gcs_uri string, generation bigint")
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "apply_delete", fail)
+        with pytest.raises(RuntimeError):
+            plans.delete(spark, raw, jobs_path, results_path, listing, at(spark, NOW))
+    assert stored() == first
+    plans.delete(spark, raw, jobs_path, results_path, listing, at(spark, NOW))
+    assert stored() == []
+
+
+def test_a_delete_without_generation_wins(spark):
+    rows = [("a", 5), ("a", None), ("b", 1), ("b", 3), ("c", None)]
+    deletes = spark.createDataFrame(rows, "gcs_uri string, generation bigint")
+    got = {r.gcs_uri: r.generation for r in plans.one_delete_per_object(deletes).collect()}
+    assert got == {"a": None, "b": 3, "c": None}
+
+
+def test_due_images_keep_their_first_row(spark):
+    rows = [("i", "gs://a/i.jpg", NOW), ("i", "gs://b/i.jpg", NOW - timedelta(days=30)), ("j", "gs://a/j.jpg", NOW)]
+    table = spark.createDataFrame(rows, "image_id string, gcs_uri string, processing_timestamp timestamp")
+    due = refresh.rows_of_due_images(table.withColumn("gcs_thumb_uri", F.lit(None).cast("string")), at(spark, NOW))
+    first = refresh.first_per_image(refresh.active_records(due)).collect()
+    assert [(r.image_id, r.gcs_uri) for r in first] == [("i", "gs://a/i.jpg")]
+
+
 def test_fetch_reads_inside_the_task(spark):
     tasks = spark.createDataFrame(
         [("u1", "p", "m"), ("gone", "p", "m")], "gcs_uri string, prompt_text string, model_name string")
@@ -84,6 +153,8 @@ def test_whole_audit(spark, tmp_path):
         (root / "raw" / name).write_bytes(content)
     seen = images.scan_images(spark, "*", str(root))
     assert {r.gcs_uri: r.length for r in seen.collect()}["gs://raw/d/b.jpg"] == 3
+    rooted = images.scan_images(spark, "*", f"file://{root}/")
+    assert {r.gcs_uri for r in rooted.collect()} == {r.gcs_uri for r in seen.collect()}
 
     jobs_path, results_path, errors_path, tasks_path = (
         str(tmp_path / n) for n in ("jobs", "results", "errors", "tasks"))

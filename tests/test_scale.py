@@ -154,25 +154,6 @@ def test_hot_keys_are_split_by_the_join(spark, tmp_path):
     assert {k: "skew=true" in p for k, p in plans.items()} == dict.fromkeys(plans, True)
 
 
-def test_long_catalogues_take_the_join(spark, skewed, monkeypatch):
-    versions = spark.createDataFrame([("v1",), ("v2",), ("v3",)], "prompt_version_id string")
-    state = spark.createDataFrame(
-        [("u0", "v1", "PROCESSED", None, 3000, 1, None, None, None),
-         ("u5", "v2", "QUEUED", None, 10, 1, None, None, None)], fixed.JOB_SCHEMA)
-    now = F.lit("2026-01-01").cast("timestamp")
-    rows = skewed.select("gcs_uri", "event_id", "generation")
-
-    def both():
-        decided = jobs.reconcile(rows, versions, state, now).select("event_id", "prompt_version_id", "outcome", "delete_superseded_rows")
-        summed = jobs.event_summary(rows, versions, state, now, failed=F.array(F.lit("v3")))
-        return [sorted(map(str, df.collect())) for df in (decided, summed)]
-
-    short = both()
-    monkeypatch.setattr(jobs, "ARRAY_VERSIONS", 2)
-    monkeypatch.setattr(events, "ARRAY_VERSIONS", 2)
-    assert both() == short
-
-
 def test_attempts_in_one_instant(spark):
     """A burst of one job at one time is still ranked in parts."""
     rows = spark.range(5000).select(
