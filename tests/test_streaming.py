@@ -185,6 +185,25 @@ def test_live_state_survives_between_runs(spark, tmp_path):
         seen.append(rows - set().union(*seen))
     assert seen == [
         {("u", "finalize", 5, "queued"), ("w", "finalize", None, "queued")},
-        {("u", "finalize", big, "deferred_in_flight"), ("w", "delete", 3, "defer_in_flight")},
+        {("u", "finalize", big, "deferred_in_flight"), ("u", "finalize", big - 1, "deferred_in_flight"),
+         ("w", "delete", 3, "defer_in_flight")},
         {("u", "finalize", big, "queued"), ("w", "delete", 3, "delete")},
     ]
+
+
+def test_every_arrival_is_decided_whatever_the_batch_size(spark, tmp_path):
+    source = str(tmp_path / "in")
+    rows = spark.range(200).selectExpr(
+        "'u' as gcs_uri", "'finalize' as kind", "nullif(id % 150, 7) as generation")
+    rows.coalesce(1).write.parquet(source)
+    made, size = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(size)
+    for records in ("10", "10000"):
+        spark.conf.set(size, records)
+        live = spark.readStream.schema(rows.schema).parquet(source)
+        out = str(tmp_path / f"out{records}")
+        decisions = reconcile.reconcile_stream(live, ["v1", "v2"], settled=True)
+        reconcile.start_decisions(decisions, out, f"{out}-state").awaitTermination()
+        made.append(sorted(map(str, spark.read.parquet(out).collect())))
+    spark.conf.set(size, usual)
+    assert made[0] == made[1] and len(made[0]) == 400
