@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from auditloom import fixed
 from auditloom.functions.objects import strip
 from auditloom.operators.joins import folded
+from auditloom.operators.once import computed
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTION = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -171,7 +172,10 @@ def conform(df, schema, keys=()):
         for f in fields
     }
     # Converted once here; the second projection only compares and picks.
-    both = df.select("*", *[made[f.name].alias(f"_to_{f.name}") for f in fields])
+    both = df
+    for f in fields:
+        name = f"_to_{f.name}"
+        both = computed(both.withColumn(name, made[f.name]), name)
     reason = F.lit(None).cast("string")
     for f in reversed(fields):
         bad = F.col(f.name).isNotNull() & F.col(f"_to_{f.name}").isNull()

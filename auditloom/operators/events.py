@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from auditloom import fixed
 from auditloom.functions import objects
 from auditloom.operators.joins import folded
+from auditloom.operators.once import computed
 
 
 def validate_events(df):
@@ -27,12 +28,9 @@ def validate_events(df):
         .when(~F.col("name_type").eqNullSafe(text) | ~objects.valid_name(name), "bad_name")
         .when(~unset & parsed.isNull(), "bad_generation")
     )
-    return (
-        df.withColumn("reason", reason)
-        .withColumn("generation", parsed)
-        .withColumn("gcs_uri", F.when(F.col("reason").isNull(), objects.object_uri(bucket, name)))
-        .drop("is_object", "bucket_type", "name_type", "generation_type")
-    )
+    checked = df.withColumn("reason", reason).withColumn("generation", parsed)
+    checked = computed(checked.drop("is_object", "bucket_type", "name_type", "generation_type"), "reason", "generation")
+    return checked.withColumn("gcs_uri", F.when(F.col("reason").isNull(), objects.object_uri(bucket, name)))
 
 
 def quarantine(df, reason_col="reason"):

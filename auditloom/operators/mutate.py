@@ -72,16 +72,14 @@ def change_counts(results, gone_uris, updates, key="image_id"):
     """How many rows a delete by object and a URL merge would touch."""
     gone = unique(gone_uris, "gcs_uri").withColumn("_gone", F.lit(True))
     hit = unique(updates, key).withColumn("_hit", F.lit(True))
-    # Counting per key first keeps both look-ups off the full table.
-    small = results.groupBy("gcs_uri", key).agg(F.count("*").alias("n"))
+    # The keys are nearly unique, so grouping first would shuffle all and save nothing.
     return (
-        small.join(gone, "gcs_uri", "left")
+        results.select("gcs_uri", key)
+        .join(gone, "gcs_uri", "left")
         .join(hit, key, "left")
         .agg(
-            F.coalesce(F.sum(F.when(F.col("_gone"), F.col("n"))), F.lit(0)).alias("rows_deleted"),
-            F.coalesce(
-                F.sum(F.when(F.col("_gone").isNull() & F.col("_hit"), F.col("n"))), F.lit(0)
-            ).alias("rows_updated"),
+            F.count(F.when(F.col("_gone"), 1)).alias("rows_deleted"),
+            F.count(F.when(F.col("_gone").isNull() & F.col("_hit"), 1)).alias("rows_updated"),
         )
     )
 

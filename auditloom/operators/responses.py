@@ -4,21 +4,11 @@ from pyspark.sql import functions as F
 
 from auditloom import fixed
 from auditloom.functions import text as T
+from auditloom.operators.once import computed
 
 _ROW = "struct<class:string,material:string,estimated_percentage:double,scaled_weight:double>"
 
 
-def _computed(df, *names):
-    """Compute `names` once, whatever is done with them later.
-
-    Catalyst moves a filter below projections by copying their expressions,
-    which would parse every response again for each filter. It does not move
-    one below a generator, so the columns leave here through a one-row array.
-    """
-    kept = [c for c in df.columns if c not in names]
-    return df.select(*kept, F.inline(F.array(F.struct(*names))))
-
-
 def parse_responses(df, text_col="response"):
     """Add `doc` (variant), `root` (its map form) and `reason`.
 
@@ -31,7 +21,7 @@ def parse_responses(df, text_col="response"):
         .withColumn("root", T.as_object(F.col("doc")))
     )
     reason = T.failure_reason(text, F.col("_json"), F.col("doc"), F.col("root"))
-    return _computed(parsed.withColumn("reason", reason).drop("_json"), "reason", "root", "doc")
+    return computed(parsed.withColumn("reason", reason).drop("_json"), "reason", "root", "doc")
 
 
 def _half_even_2(ratio):
@@ -134,7 +124,7 @@ def score_rows(parsed):
         )
         .drop("total", "classes")
     )
-    return _computed(scored, "reason", "rows")
+    return computed(scored, "reason", "rows")
 
 
 def with_payload(scored, name="model_result"):

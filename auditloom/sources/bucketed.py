@@ -1,0 +1,125 @@
+"""A parquet table whose changes rewrite only the buckets they touch.
+
+Rows lie in buckets by the hash of one column. A write makes a new part folder
+with `bucket=…/<partition>=…` inside; a manifest lists which buckets of which
+parts make up a version of the table. A change reads the buckets that hold its
+keys, writes them to a new part and publishes a manifest that refers to all
+other buckets where they are. The newest manifest that is whole counts, so a
+reader or a restarted job never sees half of a change. One writer per table.
+"""
+
+import json
+import uuid
+
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from auditloom.operators.joins import unique
+from auditloom.sources.files import file_system
+
+#: Buckets of a new table; fixed for its life.
+BUCKETS = 32
+_MANIFESTS = "_manifests"
+
+
+class BucketedTable:
+    """The table at `path` with the columns of the DDL `schema`, bucketed by `column`."""
+
+    def __init__(self, spark, path, schema, column, partition, buckets=BUCKETS):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.column, self.partition, self.buckets = column, partition, buckets
+        self.names = StructType.fromDDL(schema).names
+
+    def _numbers(self):
+        fs, folder = file_system(self.spark, f"{self.path}/{_MANIFESTS}")
+        if not fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def manifest(self):
+        """The newest manifest: number, buckets and the [part, bucket] pairs that count."""
+        numbers = self._numbers()
+        if not numbers:
+            return {"number": 0, "buckets": self.buckets, "held": []}
+        lines = self.spark.read.text(f"{self.path}/{_MANIFESTS}/{numbers[-1]:08d}", wholetext=True)
+        return json.loads(lines.first().value)
+
+    def _publish(self, old, held):
+        """Write the next manifest; it appears under its name only when it is whole."""
+        new = {"number": old["number"] + 1, "buckets": old["buckets"], "held": held}
+        fs, folder = file_system(self.spark, f"{self.path}/{_MANIFESTS}")
+        fs.mkdirs(folder)
+        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        made = jvm_path(folder, f".{uuid.uuid4().hex}")
+        out = fs.create(made)
+        out.write(bytearray(json.dumps(new).encode()))
+        out.close()
+        if not fs.rename(made, jvm_path(folder, f"{new['number']:08d}")):
+            raise RuntimeError(f"Another writer has changed {self.path}.")
+
+    def _read(self, held):
+        if not held:
+            return self.spark.createDataFrame([], self.schema).withColumn("bucket", F.lit(None).cast("int"))
+        folders = [f"{self.path}/part={part}/bucket={bucket}" for part, bucket in held]
+        rows = self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*folders)
+        return rows.select(*self.names, F.col("bucket").cast("int").alias("bucket"))
+
+    def _write(self, rows, buckets):
+        """Write `rows` as a new part; its [part, bucket] pairs."""
+        part = uuid.uuid4().hex
+        bucket = F.pmod(F.xxhash64(self.column), F.lit(buckets))
+        # The rebalance merges small outputs and splits large ones, also of one hot bucket.
+        placed = rows.withColumn("bucket", bucket).hint("rebalance", "bucket", self.partition)
+        target = f"{self.path}/part={part}"
+        placed.write.partitionBy("bucket", self.partition).parquet(target)
+        fs, folder = file_system(self.spark, target)
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        return [[part, int(n.split("=")[1])] for n in sorted(names) if n.startswith("bucket=")]
+
+    def read(self):
+        """All rows of the newest version."""
+        return self._read(self.manifest()["held"]).select(*self.names)
+
+    def append(self, rows):
+        """Add rows; columns that are not declared are refused, absent ones are null."""
+        unknown = [c for c in rows.columns if c not in self.names]
+        if unknown:
+            raise ValueError(f"Unknown column: {unknown[0]}")
+        old = self.manifest()
+        self._publish(old, old["held"] + self._write(rows, old["buckets"]))
+
+    def change(self, keys, key, rewrite, counted):
+        """Replace each bucket that holds a row with a key by `rewrite` of its rows.
+
+        `keys` has the column `key`. `counted` is an expression over the rewritten
+        rows; its value and the rows read are returned. Without any row of these
+        keys nothing is written.
+        """
+        old = self.manifest()
+        # Only the key column is read to find the buckets, of which there are few.
+        touched = self._read(old["held"]).select(key, "bucket").join(unique(keys, key), key, "left_semi")
+        touched = {r.bucket for r in touched.select("bucket").distinct().collect()}
+        if not touched:
+            return 0, 0
+        before = self._read([h for h in old["held"] if h[1] in touched]).select(*self.names)
+        read, seen = Observation(), Observation()
+        after = rewrite(before.observe(read, F.count(F.lit(1)).alias("n"))).observe(seen, counted.alias("n"))
+        held = self._write(after.select(*self.names), old["buckets"])
+        self._publish(old, [h for h in old["held"] if h[1] not in touched] + held)
+        return seen.get["n"] or 0, read.get["n"] or 0
+
+    def purge(self):
+        """Remove parts and manifests that the newest version does not need.
+
+        Readers of older versions must have ended.
+        """
+        held = {part for part, _ in self.manifest()["held"]}
+        fs, root = file_system(self.spark, self.path)
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if name.startswith("part=") and name.split("=")[1] not in held:
+                fs.delete(status.getPath(), True)
+        for number in self._numbers()[:-1]:
+            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{_MANIFESTS}/{number:08d}"), False)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from auditloom.functions.text import kind
+from auditloom.operators.once import computed
 
 
 def parse_events(lines, value_col="value"):
@@ -12,7 +13,7 @@ def parse_events(lines, value_col="value"):
     are parsed as variants and the types are kept for `validate_events`.
     """
     doc = F.try_parse_json(F.col(value_col))
-    parsed = lines.withColumn("_doc", doc)
+    parsed = computed(lines.withColumn("_doc", doc), "_doc")
 
     def field(name):
         value = F.try_variant_get("_doc", f"$.{name}", "variant")

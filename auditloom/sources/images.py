@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from auditloom import fixed
-from auditloom.sources.tables import file_system
+from auditloom.sources.files import file_system
 
 _SCHEME = r"\A[A-Za-z][A-Za-z0-9+.-]*:/+"
 

@@ -1,25 +1,20 @@
 """Parquet tables: appends, whole snapshots and their row counts.
 
-A table is a folder of snapshots, `snapshot=00000001` and so on, each a full
-copy partitioned by version. Appends go to the newest one; a delete or merge
-writes the next one. A snapshot counts once Spark has put its success marker,
-so a reader or a restarted job never sees half of one. One writer per table.
+The result table is bucketed (`bucketed.py`): a delete or merge rewrites only the
+buckets it touches. Any other table is a folder of snapshots,
+`snapshot=00000001` and so on, each a full copy; appends go to the newest one.
+A snapshot counts once Spark has put its success marker, so a reader or a
+restarted job never sees half of one. One writer per table.
 """
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from auditloom import fixed
 from auditloom.operators import mutate
 from auditloom.operators.joins import folded
-
-
-def file_system(spark, path):
-    """The Hadoop file system of a path, and the path."""
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+from auditloom.sources.bucketed import BucketedTable
+from auditloom.sources.files import file_system
 
 
 def path_exists(spark, path):
@@ -70,13 +65,14 @@ def append_table(df, path, partition_by=()):
     )
 
 
-def write_results(df, path):
-    """Append result rows.
+def results_table(spark, path):
+    """The result table, bucketed by image so that changes stay local."""
+    return BucketedTable(spark, path, fixed.RESULT_SCHEMA, "image_id", "prompt_version_id")
 
-    The rebalance merges small outputs and splits large ones per version, so a
-    version that owns a third of the rows is still written by many tasks.
-    """
-    append_table(df.hint("rebalance", "prompt_version_id"), path, ["prompt_version_id"])
+
+def write_results(df, path):
+    """Append result rows; undeclared columns are refused before anything is written."""
+    results_table(df.sparkSession, path).append(df)
 
 
 def write_errors(df, path):
@@ -84,7 +80,7 @@ def write_errors(df, path):
 
 
 def read_results(spark, path):
-    return read_table(spark, path, fixed.RESULT_SCHEMA)
+    return results_table(spark, path).read()
 
 
 def read_errors(spark, path):
@@ -115,38 +111,26 @@ def newest_batches(df, keys):
     return df.join(latest, [*keys, "batch_id"], "left_semi")
 
 
-def _rewrite(spark, path, kept, counted):
-    """Publish `kept` as the next snapshot and return the observed count."""
-    seen = Observation()
-    write_snapshot(kept.observe(seen, counted.alias("n")), path, ["prompt_version_id"])
-    return seen.get["n"] or 0
-
-
 def apply_delete(spark, path, uris=None, decisions=None):
     """Delete by object or by superseded (object, version); returns the row count.
 
-    Give as many keys as there are to one call: each call writes the table
-    once. The count comes from the write itself.
+    Give as many keys as there are to one call: each call writes the touched
+    buckets once. The counts come from the write itself.
     """
-    table = read_results(spark, path)
-    before = table.count()
-    kept = (
-        mutate.delete_object(table, uris)
-        if uris is not None
-        else mutate.delete_superseded(table, decisions)
+    keys = uris if uris is not None else decisions
+    delete = mutate.delete_object if uris is not None else mutate.delete_superseded
+    left, read = results_table(spark, path).change(
+        keys, "gcs_uri", lambda rows: delete(rows, keys), F.count(F.lit(1))
     )
-    return before - _rewrite(spark, path, kept, F.count(F.lit(1)))
+    return read - left
 
 
 def apply_merge(spark, path, updates, key="image_id"):
     """Merge URL columns; returns the number of updated rows.
 
-    Nothing is written when there are no updates.
+    Nothing is written when no row has an update.
     """
-    if updates.isEmpty():
-        return 0
-    merged = mutate.merge_urls(read_results(spark, path), updates, key, mark=["_match"])
-    seen = Observation()
-    counted = merged.observe(seen, F.count("_match").alias("n")).drop("_match")
-    write_snapshot(counted, path, ["prompt_version_id"])
-    return seen.get["n"]
+    updated, _ = results_table(spark, path).change(
+        updates, key, lambda rows: mutate.merge_urls(rows, updates, key, mark=["_match"]), F.count("_match")
+    )
+    return updated
