@@ -92,8 +92,9 @@ def contamination(documents, benchmark, id_col="doc_id", text_col="text", item_c
     """One row for each row of `documents` and its hits.
 
     Columns: `id_col`, `n_words`, `hit_starts` (array of (start, size) of each
-    window of the document, from word 1, that an item holds) and `items` (ids of
-    those items as text, sorted, each once).
+    window of the document, from word 1, that an item holds), `items` (ids of
+    those items as text, sorted, each once), and `k1` and `k2`, a key of the
+    row's id and text.
     """
     spark = documents.sparkSession
     items = item_windows(benchmark, item_col, item_text_col)
@@ -109,7 +110,7 @@ def contamination(documents, benchmark, id_col="doc_id", text_col="text", item_c
     hit_type = "array<struct<start:int,size:int>>"
     if not sizes:
         none = [F.array().cast(hit_type).alias("hit_starts"), F.array().cast("array<string>").alias("items")]
-        return counted.select(F.col("id").alias(id_col), "n_words", *none)
+        return counted.select(F.col("id").alias(id_col), "n_words", *none, *keys)
 
     def by_size(of):
         """`of(w, size)` for the rows' own size among those that occur."""
@@ -149,6 +150,7 @@ def contamination(documents, benchmark, id_col="doc_id", text_col="text", item_c
         "n_words",
         F.coalesce("hit_starts", F.array().cast(hit_type)).alias("hit_starts"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        *keys,
     )
 
 
@@ -166,7 +168,14 @@ def words_hit(starts):
 def without_contaminated(documents, benchmark):
     """The rows of `documents` in which no benchmark window occurs, all columns kept."""
     found = contamination(documents, benchmark).filter(F.size("hit_starts") > 0)
-    return documents.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    found = found.select(F.col("k1").alias("_hit_k1"), F.col("k2").alias("_hit_k2")).distinct()
+    keyed = documents.withColumns(
+        {
+            "_hit_k1": F.xxhash64(F.lit(1), "doc_id", "text"),
+            "_hit_k2": F.xxhash64(F.lit(2), "text", "doc_id"),
+        }
+    )
+    return keyed.join(found, ["_hit_k1", "_hit_k2"], "left_anti").select(*documents.columns)
 
 
 ORACLE = r"""

@@ -265,7 +265,26 @@ def without_near_duplicates(documents):
     return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).select(*documents.columns)
 
 
-@query("op10_near_duplicates")
+ORACLE = r"""
+    with recursive words as (select doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x20\x09-\x0D]+') as w from documents),
+    sets as (select distinct doc_id, array_to_string(w[i : i + 4], ' ') as t
+      from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)),
+    sizes as (select doc_id, count(*) as n from sets group by doc_id),
+    pairs as (select a.doc_id as x, b.doc_id as y, count(*) as common
+      from sets a join sets b on a.t = b.t and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+    linked as (select x, y from pairs join sizes a on a.doc_id = x join sizes b on b.doc_id = y
+      where 100 * common >= 85 * (a.n + b.n - common)),
+    ways as (select x, y from linked union all select y, x from linked),
+    reached as (select doc_id as d, doc_id as r from documents
+      union select d, y from reached join ways on r = x)
+    select d.doc_id, coalesce(n, 0)::bigint as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+    from documents d join (select d, min(r) as component_id from reached group by d) c on c.d = d.doc_id
+    left join sizes using (doc_id)"""
+
+
+@query("op10_near_duplicates", ORACLE)
 def op10_near_duplicates(spark, sf_dir):
     """Components of near-duplicate documents."""
     return near_duplicates(table(spark, sf_dir, "documents")).drop("k1", "k2")

@@ -125,6 +125,14 @@ def test_contamination(spark, short):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in got if not r.n_hit}
 
 
+def test_rows_without_id_are_judged_by_their_text(spark):
+    shared = prose(12, 1)
+    rows = [(None, f"x {shared}"), (None, "clean"), (1, f"y {shared}"), (1, "clean too")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = decontaminate.without_contaminated(df, spark.createDataFrame([(None, shared)], "item_id long, text string"))
+    assert sorted(r.text for r in clean.collect()) == ["clean", "clean too"]
+
+
 def test_contamination_without_items(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     row = decontaminate.contamination(df, spark.createDataFrame([(1, None)], "item_id long, text string")).first()
