@@ -168,6 +168,57 @@ def test_line_chunks(spark):
     assert "".join(x for t in texts[:3] for x in t.split("\n")) and line_chunks.deduplicated(df.limit(0)).count() == 0
 
 
+def without_repeated_runs(texts):
+    """`texts` without the runs of lines that stand earlier too, by comparing all places with each other."""
+    worded = [(d, i, line) for d, t in enumerate(texts) for i, line in enumerate(t.split("\n")) if line.split()]
+    gone = set()
+    for b, two in enumerate(worded):
+        for a, one in enumerate(worded[:b]):
+            n, words, longest = 0, 0, 0
+            while b + n < len(worded) and worded[a + n][0] == one[0] and worded[b + n][0] == two[0]:
+                if worded[a + n][2] != worded[b + n][2]:
+                    break
+                size = len(worded[b + n][2].split())
+                n, words, longest = n + 1, words + size, max(longest, size)
+            if longest >= 50 or n >= 2 and words >= 20:
+                gone |= {place[:2] for place in worded[b : b + n]}
+    for (d, i, _), (e, j, _) in zip(worded, worded[1:]):
+        if d == e and {(d, i), (e, j)} <= gone:
+            gone |= {(d, k) for k in range(i, j)}
+    return [
+        "\n".join(line for i, line in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in enumerate(texts)
+    ]
+
+
+def runs_left(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_chunks.deduplicated(df, drop_empty=False).collect()}
+    return [out[d] for d in range(len(texts))]
+
+
+def test_whole_repeated_runs_go_wherever_they_stand(spark):
+    rng, texts = random.Random(8), []
+
+    def line(n):
+        return " ".join(f"r{rng.randrange(10**9)}" for _ in range(n))
+
+    def around():
+        return [line(rng.randrange(0, 46)) for _ in range(rng.randrange(7))]
+
+    for size in [*range(2, 13)] * 2:
+        passage = [line(rng.choice([0, 4, 9, 25, 45, 60])) for _ in range(size)]
+        for _ in range(3):
+            begin = rng.choice([0, 0, rng.randrange(size)])
+            texts.append("\n".join([*around(), *passage[begin:], *around(), *passage[: rng.randrange(size + 1)], *around()]))
+    wanted = without_repeated_runs(texts)
+    assert sum(len(t) for t in wanted) < 0.8 * sum(len(t) for t in texts)
+    assert runs_left(spark, texts) == wanted
+
+
+def test_a_line_said_over_and_over_is_kept_as_one_passage(spark):
+    assert runs_left(spark, ["\n".join([prose(12, 1)] * 9)]) == ["\n".join([prose(12, 1)] * 2)]
+
+
 def test_chunks_cover_all_lines():
     text = "\n".join(prose(RNG.choice([0, 1, 8, 55]), k) for k in range(80))
     made = line_chunks.chunks(text)
