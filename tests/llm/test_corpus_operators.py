@@ -215,6 +215,13 @@ def test_whole_repeated_runs_go_wherever_they_stand(spark):
     assert runs_left(spark, texts) == wanted
 
 
+@pytest.mark.parametrize("words", [1, 4, 6, 8])
+def test_passages_of_short_lines_go_whole(spark, words):
+    verse = "\n".join(prose(words, 10_000 * words + k) + f" v{k}" for k in range(100))
+    texts = [f"{prose(12, 7 * n)}\n{verse}\n{prose(15, 7 * n + 1)}" for n in range(3)]
+    assert runs_left(spark, texts) == [texts[0], *(f"{prose(12, 7 * n)}\n{prose(15, 7 * n + 1)}" for n in (1, 2))]
+
+
 def test_a_line_said_over_and_over_is_kept_as_one_passage(spark):
     assert runs_left(spark, ["\n".join([prose(12, 1)] * 9)]) == ["\n".join([prose(12, 1)] * 2)]
 
