@@ -5,7 +5,7 @@ half-keys are made from its MinHashes, `HALVES` in each and `ROWS` MinHashes in
 a half-key; every pair of a half-key of the first with one of the second is a
 table key. So `HALVES`^2 tables cost 2 * `HALVES` * `ROWS` MinHashes, a table of
 2 * `ROWS` each. At the threshold of 0.85 a pair shares a key with probability
-0.99993 (1 - (1 - 0.85^2)^8, for both collections).
+0.99993 ((1 - (1 - 0.85^2)^8)^2), at the 0.80 of the pipeline's stage 0.9994.
 
 Texts of one set are one node. Candidates are then confirmed on full sets:
 
@@ -251,9 +251,9 @@ def near_duplicates(documents, id_col="doc_id", text_col="text", percent=PERCENT
     )
 
 
-def without_near_duplicates(documents):
+def without_near_duplicates(documents, percent=PERCENT):
     """The rows of `documents` of which one stays in each group, all columns kept."""
-    kept = near_duplicates(documents).filter("kept").select("k1", "k2").distinct()
+    kept = near_duplicates(documents, percent=percent).filter("kept").select("k1", "k2").distinct()
     keyed = documents.withColumns(
         {
             "_near_k1": F.xxhash64(F.lit(1), "doc_id", "text"),

@@ -21,10 +21,14 @@ def line_dedup(spark, docs, sf_dir):
     return line_chunks.deduplicated(docs)
 
 
+#: Least similarity of near duplicates, as a percentage.
+NEAR_PERCENT = 80
+
+
 def near_dedup(spark, docs, sf_dir):
     """One document of each group of near duplicates."""
     ready(spark)
-    return near_duplicates.without_near_duplicates(docs)
+    return near_duplicates.without_near_duplicates(docs, NEAR_PERCENT)
 
 
 def decontamination(spark, docs, sf_dir):

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+import corpus_pipeline
 from auditloom.llm import decontaminate, language_evidence, line_chunks, near_duplicates, quality_model, toxicity
 
 RNG = random.Random(5)
@@ -99,6 +100,17 @@ def brute_contamination(text, items):
     return len(words), len(hit), sorted(found)
 
 
+def test_stage_links_from_four_fifths_on(spark):
+    words = [f"n{i}" for i in range(204)]
+    # 200 shingles; n scattered edits change 5 n of them: 180 / 220 and 175 / 225 are equal.
+    texts = [" ".join(w if k % 40 != 20 or k > 40 * n else f"x{k}" for k, w in enumerate(words)) for n in (0, 4, 5)]
+    df = spark.createDataFrame([(i, texts[k]) for i, k in ((1, 0), (2, 1))], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.near_dedup(spark, df, None).collect()] == [1]
+    assert near_duplicates.near_duplicates(df).filter("kept").count() == 2
+    df = spark.createDataFrame([(i, texts[k]) for i, k in ((1, 0), (2, 2))], "doc_id long, text string")
+    assert corpus_pipeline.near_dedup(spark, df, None).count() == 2
+
+
 @pytest.mark.parametrize("short", [False, True])
 def test_contamination(spark, short):
     items = [(i, prose(30, 1000 + i)) for i in range(6)] + [(6, prose(10, 1006)), (7, None), (8, "--"), (6, prose(10, 1006))]
