@@ -1,8 +1,10 @@
 """All queries of this subpackage."""
 
 from auditloom.llm import (  # noqa: F401
+    byte_pairs,
     chat_format,
     decontaminate,
+    hard_negatives,
     language_evidence,
     line_chunks,
     near_duplicates,
