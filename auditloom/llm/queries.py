@@ -3,6 +3,7 @@
 from auditloom.llm import (  # noqa: F401
     byte_pairs,
     chat_format,
+    collocations,
     decontaminate,
     hard_negatives,
     language_evidence,

@@ -29,7 +29,7 @@ def test_query(spark, con, name):
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_keeps_documents_columns_until_the_last_stage(spark):
