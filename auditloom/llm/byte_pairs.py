@@ -32,52 +32,79 @@ from pyspark.sql import functions as F
 from auditloom.llm.common import query, table
 
 #: Words, and tokens of words, that a task remembers at a time.
-REMEMBERED = 200_000
-REMEMBERED_TOKENS = 4_000_000
+REMEMBERED = 400_000
+REMEMBERED_TOKENS = 8_000_000
 #: Bytes of words in one recursive query, and tokens in one decoding query; a longer word has a query of its own.
 QUERY_BYTES = 1_000_000
 QUERY_TOKENS = 1_000_000
 
 MERGES = """
 create table merges as
-select l.id as lid, r.id as rid, w.id as mid
+select l.id::bigint * 4294967296 + r.id as pair, w.id as mid
 from (select id, hex, unnest(range(1, length(hex) // 2)) as k from vocab) w
 join vocab l on l.hex = substr(w.hex, 1, (2 * k)::int)
 join vocab r on r.hex = substr(w.hex, (2 * k + 1)::int)
 """
 
-# `cut` holds the newest state of each position; a null token is a position merged into the one before.
-ENCODE = """
-with recursive cut(word, pos, tok) using key (word, pos) as (
-  select w.word, w.pos, v.id
+# One row per byte of each word that is no piece itself.
+SYMBOLS = """
+  select w.word, w.pos, v.id as tok
   from (select word, hex, unnest(range(0, length(hex) // 2))::int as pos from words
         where hex not in (select hex from vocab)) w
   join vocab v on v.hex = substr(w.hex, 2 * w.pos + 1, 2)
+"""
+
+# Words with their tokens, and those that are pieces.
+COLLECT = """
+select word, list(tok order by pos) as toks
+from (select word, pos, tok from cut where {last}
+      union all select w.word, 0, v.id from words w join vocab v on v.hex = w.hex)
+group by word order by word
+"""
+
+# Each step contracts the leftmost pair of least rank of each word. A row knows the token and the position
+# after its own; the word's rows are last when none of its pairs is in the table.
+ENCODE = f"""
+with recursive cut(word, pos, tok, after, next, last) as (
+  select word, pos, tok, lead(tok) over line, lead(pos) over line, false
+  from ({SYMBOLS}) window line as (partition by word order by pos)
+  union all
+  (with least as (
+     select c.word, min(m.mid::bigint * 4294967296 + c.pos) as key,
+       arg_min(c.next, m.mid::bigint * 4294967296 + c.pos) as gone
+     from cut c join merges m on m.pair = c.tok::bigint * 4294967296 + c.after
+     where not c.last group by c.word),
+   step as (
+     select l.word, l.key % 4294967296 as pos, (l.key // 4294967296)::int as mid, l.gone, c.after, c.next
+     from least l join cut c on c.word = l.word and c.pos = l.gone)
+   select c.word, c.pos,
+     case when c.pos = s.pos then s.mid else c.tok end,
+     case when c.pos = s.pos then s.after when c.next = s.pos then s.mid else c.after end,
+     case when c.pos = s.pos then s.next else c.next end,
+     s.word is null
+   from cut c left join step s on s.word = c.word where not c.last and c.pos is distinct from s.gone)
+)
+{COLLECT.format(last="last")}
+"""
+
+# The same for words beyond reach: `cut` holds the newest state of each position, and a null token is a
+# position merged into the one before.
+ENCODE_LONG = f"""
+with recursive cut(word, pos, tok) using key (word, pos) as (
+  {SYMBOLS}
   union all
   (with pair as (
      select word, pos, tok, lead(tok) over (partition by word order by pos) as after
      from cut where tok is not null),
    ranked as (
      select p.word, p.pos, p.tok, m.mid
-     from pair p left join merges m on m.lid = p.tok and m.rid = p.after),
-   {best},
+     from pair p left join merges m on m.pair = p.tok::bigint * 4294967296 + p.after),
+   {{best}},
    marked as (
      select *, lag(chosen, 1, false) over (partition by word order by pos) as gone from best)
    select word, pos, case when gone then null when chosen then mid else tok end from marked)
 )
-select word, list(tok order by pos) as toks
-from (select word, pos, tok from cut where tok is not null
-      union all select w.word, 0, v.id from words w join vocab v on v.hex = w.hex)
-group by word order by word
-"""
-
-# The leftmost pair of least rank of each word; words without any pair are left out.
-LEAST = """
-   first as (
-     select word, min(mid::bigint * 4294967296 + pos) as key from ranked group by word having key is not null),
-   best as (
-     select r.word, r.pos, r.tok, r.mid, coalesce(r.mid::bigint * 4294967296 + r.pos = f.key, false) as chosen
-     from ranked r join first f on f.word = r.word)
+{COLLECT.format(last="tok is not null")}
 """
 
 # All pairs that no other in reach comes before. A pair is calm if contracting it makes no pair of at
@@ -91,9 +118,9 @@ NEAREST = """
      select b.*, coalesce(x.mid > b.mid, true) and coalesce(y.mid > b.mid, true) and coalesce(z.mid > b.mid, true)
        as calm
      from beside b
-     left join merges x on x.lid = b.before and x.rid = b.mid
-     left join merges y on y.lid = b.mid and y.rid = b.beyond
-     left join merges z on z.lid = b.mid and z.rid = b.mid),
+     left join merges x on x.pair = b.before::bigint * 4294967296 + b.mid
+     left join merges y on y.pair = b.mid::bigint * 4294967296 + b.beyond
+     left join merges z on z.pair = b.mid::bigint * 4294967296 + b.mid),
    near as (
      select *, min(mid) over (partition by word) is null as ended, mid = min(mid) over reach as least,
        coalesce(bool_and(calm) over left_equals, true) and (calm or count(*) over left_equals = 0) as free,
@@ -154,8 +181,8 @@ class WordEncoder:
         self.con = _connect(ranks)
         self.con.execute(MERGES)
         self.reach = max(map(len, ranks))
-        self.short = ENCODE.format(best=LEAST)
-        self.long = ENCODE.format(best=NEAREST.format(back=self.reach, ahead=2 * self.reach))
+        self.short = ENCODE
+        self.long = ENCODE_LONG.format(best=NEAREST.format(back=self.reach, ahead=2 * self.reach))
         self._forget()
 
     def _forget(self):
@@ -189,11 +216,12 @@ class WordEncoder:
         if len(self.slots) > REMEMBERED or sum(map(len, self.tokens)) > REMEMBERED_TOKENS:
             self._forget()
         found = [self.find(text) if text else [] for text in texts]
-        self._learn(dict.fromkeys(w for w in chain.from_iterable(found) if w not in self.slots))
+        met = list(chain.from_iterable(found))
+        self._learn(sorted(set(met) - self.slots.keys()))
         self.sizes, self.tokens = [np.concatenate(self.sizes)], [np.concatenate(self.tokens)]
         sizes, tokens = self.sizes[0], self.tokens[0]
         starts = np.cumsum(sizes) - sizes
-        words = np.fromiter((self.slots[w] for w in chain.from_iterable(found)), np.int64)
+        words = np.fromiter(map(self.slots.__getitem__, met), np.int64, len(met))
         per_word = sizes[words]
         ends = np.cumsum(per_word)
         # Token j of the batch is token j minus its word's first one in the word's list.
