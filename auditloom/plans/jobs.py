@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from auditloom import fixed
 from auditloom.functions import objects
 from auditloom.operators import catalogue, conform, events, jobs, mutate, refresh, responses, scoring
+from auditloom.operators.joins import unique
 from auditloom.session import shared_dir
 from auditloom.sources import tables
 
@@ -49,51 +50,66 @@ def ingest(spark, raw_events, versions, jobs_path, results_path, tasks_path, now
     decisions = kept(jobs.reconcile(newest, versions, state, now), "decisions")
 
     claims = jobs.claim(decisions, now)
-    claimed = kept(jobs.replace_jobs(state, claims), "claimed")
-    tables.write_jobs(claimed, jobs_path)
+    tables.change_jobs(spark, jobs_path, claims)
 
-    superseded, removed = decisions.where("delete_superseded_rows"), False
+    superseded, removed = decisions.where("delete_superseded_rows"), F.lit(False)
     tasks = claims.select(*jobs.KEY)
     try:
         if not superseded.isEmpty():
             tables.apply_delete(spark, results_path, decisions=superseded)
-            removed = True
+            removed = F.lit(True)
         refused = dispatch(tasks) if dispatch is not None else None
-    except Exception:
+    except Exception as problem:
         # Nothing was handed over: all claims are undone before the failure goes on.
-        gone = F.col("delete_superseded_rows") & F.lit(removed)
-        _undo(claimed, claims, F.lit(True), gone, jobs_path)
+        gone = _marked(claims, superseded, problem, results_path, jobs.KEY)
+        _undo(gone, F.lit(True), F.col("delete_superseded_rows") & (removed | F.col("_gone")), jobs_path)
         raise
     if refused is not None and not refused.isEmpty():
-        marked = claims.join(
-            refused.select(*jobs.KEY).distinct().withColumn("_broken", F.lit(True)), jobs.KEY, "left"
-        )
-        broken = F.coalesce("_broken", F.lit(False))
-        _undo(claimed, marked, broken, F.col("delete_superseded_rows"), jobs_path)
+        broken = claims.join(unique(refused, jobs.KEY), jobs.KEY, "left_semi")
+        _undo(broken, F.lit(True), F.col("delete_superseded_rows"), jobs_path)
         tasks = tasks.join(refused, jobs.KEY, "left_anti")
     tables.append_table(tasks, tasks_path)
     return rejected, decisions
 
 
-def _undo(claimed, claims, broken, rows_deleted, jobs_path):
-    """Write the job table with the broken ones among `claims` rolled back."""
-    settled = jobs.rollback(claims, broken, rows_deleted)
-    others = claimed.join(claims.select(*jobs.KEY), jobs.KEY, "left_anti")
-    tables.write_jobs(others.unionByName(settled.select(*others.columns)), jobs_path)
+def _marked(rows, keys, problem, results_path, on):
+    """`rows` with `_gone`: whether a delete that broke off has removed their results.
+
+    Unless it broke off while the table was changed, nothing is gone.
+    """
+    if not isinstance(problem, tables.PartlyDone):
+        return rows.withColumn("_gone", F.lit(False))
+    left = tables.still_there(rows.sparkSession, results_path, keys, on).withColumn("_left", F.lit(True))
+    return rows.join(left, on, "left").withColumn("_gone", F.col("_left").isNull()).drop("_left")
+
+
+def _undo(claims, broken, rows_deleted, jobs_path):
+    """Roll the broken ones among `claims` back in the job table."""
+    settled = kept(jobs.rollback(claims, broken, rows_deleted), "undone")
+    tables.change_jobs(claims.sparkSession, jobs_path, settled, gone=claims.select(*jobs.KEY))
+
+
+def _touched(spark, jobs_path, keys):
+    """The stored jobs of these keys."""
+    return tables.read_jobs(spark, jobs_path).join(unique(keys, jobs.KEY), jobs.KEY, "left_semi")
 
 
 def work(
     spark, tasks, rendered, make_scorer, jobs_path, results_path, errors_path, now,
-    images=None, fetch=None, thumbs=True, sign=None, partitions=None,
+    images=None, fetch=None, thumbs=True, sign=None, partitions=None, run=None,
 ):
     """Tasks to result rows, error rows and job states.
 
     `tasks` carries gcs_uri, prompt_version_id and attempt. Bytes come from
     the `images` frame or from `fetch(uri)`. Scoring is the costly step, so its
-    output is written before anything else reads it.
+    output is written before anything else reads it, and so is what is parsed
+    from it. A repeated call with the same `run` replaces the rows and errors of
+    the first one; without a name each call is a run of its own, and readers take
+    the last one of an object and version.
     """
+    run = run or tables.new_run()
     tasks = kept(events.validate_tasks(tasks), "tasks")
-    tables.write_jobs(jobs.start(tables.read_jobs(spark, jobs_path), tasks, now), jobs_path)
+    tables.change_jobs(spark, jobs_path, kept(jobs.start(_touched(spark, jobs_path, tasks), tasks, now), "started"))
     unknown = events.missing_versions(tasks, rendered).withColumn(
         "error_message",
         F.concat(F.lit("Prompt version '"), F.col("prompt_version_id"), F.lit("' not found.")),
@@ -109,6 +125,7 @@ def work(
     full = responses.with_payload(parsed).withColumn(
         "error_message", F.coalesce("error_message", "reason")
     )
+    full = kept(full.select(*jobs.KEY, "attempt", "error_message", "model_result", "rows"), "parsed")
     sound = full.where("error_message is null")
     rows = responses.explode_rows(sound.select(*jobs.KEY, "model_result", "rows"))
     bucket, name = objects.split_uri(F.col("gcs_uri"), strict=True)
@@ -126,7 +143,7 @@ def work(
     )
     checked = kept(conform.fail_whole(sized, jobs.KEY), "rows")
     good, refused = events.quarantine(checked)
-    tables.write_results(good, results_path)
+    tables.write_results(good, results_path, run, image_from_uri=True)
 
     too_large = refused.groupBy(*jobs.KEY).agg(F.min("reason").alias("_large"))
     outcome = (
@@ -142,9 +159,9 @@ def work(
     )
     outcome = kept(outcome, "outcomes")
     failed = outcome.where("not ok")
-    tables.write_errors(mutate.error_rows(failed, rendered, now), errors_path)
+    tables.write_errors(mutate.error_rows(failed, rendered, now), errors_path, run)
     last = catalogue.last_wins(outcome, jobs.KEY, "attempt")
-    tables.write_jobs(jobs.advance(tables.read_jobs(spark, jobs_path), last, now), jobs_path)
+    tables.change_jobs(spark, jobs_path, kept(jobs.advance(_touched(spark, jobs_path, last), last, now), "advanced"))
     return outcome
 
 
@@ -162,22 +179,23 @@ def delete(spark, raw_events, jobs_path, results_path, list_objects, now):
     state = tables.read_jobs(spark, jobs_path)
     plan = kept(jobs.delete_plan(wanted, state, now), "plan")
     leased = kept(jobs.lease_delete(state, plan, now), "leases")
-    tables.write_jobs(jobs.replace_jobs(state, leased), jobs_path)
+    tables.change_jobs(spark, jobs_path, leased)
 
-    removed, done = 0, False
+    removed, done = 0, F.lit(False)
+    gone = plan.where(F.col("action") == fixed.ACTION_DELETE)
     try:
         still = kept(mutate.fresh_deletes(plan, list_objects()), "deletes")
-        back = leased.join(still.select("gcs_uri"), "gcs_uri", "left_anti")
-        restored = jobs.rollback_delete(back, F.lit(False))
+        back = leased.join(unique(still, "gcs_uri"), "gcs_uri", "left_anti")
+        restored = kept(jobs.rollback_delete(back, F.lit(False)), "restored")
         gone = still.where(F.col("action") == fixed.ACTION_DELETE)
         removed = 0 if gone.isEmpty() else tables.apply_delete(spark, results_path, uris=gone)
-        done = True
-        settled = jobs.replace_jobs(tables.read_jobs(spark, jobs_path), restored)
-        tables.write_jobs(jobs.purge_jobs(settled, still), jobs_path)
-    except Exception:
+        done = F.lit(True)
+        tables.change_jobs(spark, jobs_path, restored, gone=gone, on=["gcs_uri"])
+    except Exception as problem:
         # The leases are given back, or made retryable where the rows are gone.
-        restored = jobs.rollback_delete(leased, F.lit(done))
-        tables.write_jobs(jobs.replace_jobs(state, restored), jobs_path)
+        marked = _marked(leased, gone, problem, results_path, "gcs_uri")
+        restored = kept(jobs.rollback_delete(marked, done | F.col("_gone")), "restored")
+        tables.change_jobs(spark, jobs_path, restored)
         raise
     return plan, removed
 

@@ -43,15 +43,15 @@ SQL = {
     "versions": """
         select 'v1' as prompt_version_id union all select 'v2' as prompt_version_id""",
     "jobs_by_age": f"""
-        select {uri_sql('u')} as gcs_uri, ver as prompt_version_id, u, v,
+        select {uri_sql('u')} as gcs_uri, 'v' || cast(v as string) as prompt_version_id, u, v,
           case (u + v) % 6 when 0 then 'QUEUED' when 1 then 'PROCESSING'
             when 2 then 'PROCESSED' when 3 then 'FAILED_RETRY'
             when 4 then 'FAILED_PERMANENT' else 'DELETING' end as status,
           case when u % 11 = 0 then null else u * 37 + v end as generation,
           u % 7 as attempts, (u * 17 + v * 5) % 240 as age_min,
           case when (u + v) % 6 in (3, 4) then 'broke ' || cast(u as string) end as error_message
-        from (select u, 1 as v, 'v1' as ver from ({KNOWN}) a
-              union all select u, 2 as v, 'v2' as ver from ({KNOWN}) b) e""",
+        from (select u, 1 + u % 1 as v from ({KNOWN}) a
+              union all select u, 2 + u % 1 as v from ({KNOWN}) b) e""",
     "inventory": f"""
         select {uri_sql('u')} as gcs_uri, u * 50 + 1 as generation
         from (select distinct user_id as u from $events where user_id % 3 <> 0) t""",

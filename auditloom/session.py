@@ -18,6 +18,8 @@ SETTINGS = {
     # small partitions are merged, hot join partitions are split.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A table bucketed by the object also joins on (object, version) as it lies.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Bounds the grouping state a failed streaming task has to rebuild.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -1,20 +1,23 @@
 """Parquet tables: appends, whole snapshots and their row counts.
 
-The result table is bucketed (`bucketed.py`): a delete or merge rewrites only the
-buckets it touches. Any other table is a folder of snapshots,
+The result table (`results.py`) and the job table (`jobtable.py`) are partitioned,
+so that a change rewrites only what it touches. Any other table is a folder of snapshots,
 `snapshot=00000001` and so on, each a full copy; appends go to the newest one.
 A snapshot counts once Spark has put its success marker, so a reader or a
 restarted job never sees half of one. One writer per table.
 """
 
+import uuid
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from auditloom import fixed
-from auditloom.operators import mutate
 from auditloom.operators.joins import folded
-from auditloom.sources.bucketed import BucketedTable
 from auditloom.sources.files import file_system
+from auditloom.sources.jobtable import KEY, JobTable
+from auditloom.sources.results import PartlyDone, ResultTable  # noqa: F401
 
 
 def path_exists(spark, path):
@@ -65,34 +68,44 @@ def append_table(df, path, partition_by=()):
     )
 
 
-def results_table(spark, path):
-    """The result table, bucketed by image so that changes stay local."""
-    return BucketedTable(spark, path, fixed.RESULT_SCHEMA, "image_id", "prompt_version_id")
+def new_run():
+    """A run name that sorts behind all earlier ones."""
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
-def write_results(df, path):
-    """Append result rows; undeclared columns are refused before anything is written."""
-    results_table(df.sparkSession, path).append(df)
+def write_results(df, path, run=None, image_from_uri=False):
+    """Append result rows as the run `run`; the same run again replaces what it wrote."""
+    ResultTable(df.sparkSession, path, image_from_uri=image_from_uri).append(df, run or new_run())
 
 
-def write_errors(df, path):
-    append_table(df, path)
+def write_errors(df, path, run=None):
+    """Append error rows as the run `run`; the same run again replaces what it wrote."""
+    df.write.mode("overwrite").parquet(f"{path}/run={run or new_run()}")
 
 
 def read_results(spark, path):
-    return results_table(spark, path).read()
+    return ResultTable(spark, path).read()
 
 
 def read_errors(spark, path):
-    return read_table(spark, path, fixed.ERROR_SCHEMA)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], fixed.ERROR_SCHEMA)
+    columns = StructType.fromDDL(fixed.ERROR_SCHEMA).names
+    return spark.read.schema(fixed.ERROR_SCHEMA + ", run string").parquet(path).select(*columns)
 
 
 def read_jobs(spark, path):
-    return read_table(spark, path, fixed.JOB_SCHEMA)
+    return JobTable(spark, path).read()
 
 
 def write_jobs(df, path):
-    return write_snapshot(df, path)
+    """Make `df` the whole job table."""
+    JobTable(df.sparkSession, path).write(df)
+
+
+def change_jobs(spark, path, rows=None, gone=None, on=KEY):
+    """Put rows in place of those of their key and drop others, in the partitions they lie in only."""
+    JobTable(spark, path).change(rows, gone, on)
 
 
 def read_inventory(spark, path):
@@ -115,22 +128,22 @@ def apply_delete(spark, path, uris=None, decisions=None):
     """Delete by object or by superseded (object, version); returns the row count.
 
     Give as many keys as there are to one call: each call writes the touched
-    buckets once. The counts come from the write itself.
+    parts once. The count is taken before anything is put in place.
     """
-    keys = uris if uris is not None else decisions
-    delete = mutate.delete_object if uris is not None else mutate.delete_superseded
-    left, read = results_table(spark, path).change(
-        keys, "gcs_uri", lambda rows: delete(rows, keys), F.count(F.lit(1))
-    )
-    return read - left
+    table = ResultTable(spark, path)
+    if uris is not None:
+        return table.delete(uris, "gcs_uri")
+    return table.delete(decisions.where("delete_superseded_rows"), KEY)
+
+
+def still_there(spark, path, keys, columns):
+    """Those `columns` of `keys` that have result rows."""
+    return ResultTable(spark, path).remaining(keys, columns)
 
 
 def apply_merge(spark, path, updates, key="image_id"):
     """Merge URL columns; returns the number of updated rows.
 
-    Nothing is written when no row has an update.
+    Nothing is put in place when no row has an update.
     """
-    updated, _ = results_table(spark, path).change(
-        updates, key, lambda rows: mutate.merge_urls(rows, updates, key, mark=["_match"]), F.count("_match")
-    )
-    return updated
+    return ResultTable(spark, path).merge(updates, key)

@@ -207,12 +207,13 @@ def test_snapshots_delete_and_merge(spark, tmp_path):
 
 
 def test_unfinished_snapshot_is_ignored(spark, tmp_path):
-    path = str(tmp_path / "jobs")
-    tables.write_jobs(make_jobs(spark, [one("a", "v1", "QUEUED", 1)]), path)
-    (tmp_path / "jobs" / "snapshot=00000002").mkdir()
-    assert tables.read_jobs(spark, path).count() == 1
-    tables.write_jobs(make_jobs(spark, [one("a", "v1", "PROCESSED", 1)]), path)
-    assert tables.read_jobs(spark, path).first().status == "PROCESSED"
+    path = str(tmp_path / "table")
+    read = lambda: tables.read_table(spark, path, fixed.JOB_SCHEMA)
+    tables.write_snapshot(make_jobs(spark, [one("a", "v1", "QUEUED", 1)]), path)
+    (tmp_path / "table" / "snapshot=00000002").mkdir()
+    assert read().count() == 1
+    tables.write_snapshot(make_jobs(spark, [one("a", "v1", "PROCESSED", 1)]), path)
+    assert read().first().status == "PROCESSED"
 
 
 def test_newest_batch_wins(spark, tmp_path):
@@ -387,30 +388,3 @@ def test_micros_are_utc(spark):
     df = spark.createDataFrame([("2026-10-26T21:00:00Z",)], "v string")
     got = conform.conform(df, {"v": "TIMESTAMP"}).select(F.unix_micros("v")).first()[0]
     assert got == int(datetime(2026, 10, 26, 21, tzinfo=timezone.utc).timestamp()) * 10**6
-
-
-# --- bucketed tables --------------------------------------------------------
-
-
-def test_changes_touch_only_their_buckets(spark, tmp_path):
-    path = str(tmp_path / "results")
-    rows = spark.createDataFrame(
-        [(f"i{n}", f"gs://b/i{n}.jpg", f"v{n % 2}", "r") for n in range(40)],
-        "image_id string, gcs_uri string, prompt_version_id string, raw_signed_url string")
-    tables.write_results(rows.where("image_id <> 'i7'"), path)
-    tables.write_results(rows.where("image_id = 'i7'"), path)
-    table = tables.results_table(spark, path)
-    before = table.manifest()["held"]
-    gone = spark.createDataFrame([("gs://b/i7.jpg",), ("gs://b/none.jpg",)], "gcs_uri string")
-    assert tables.apply_delete(spark, path, uris=gone) == 1
-    after = table.manifest()["held"]
-    assert {h[1] for h in before if h not in after} == {h[1] for h in before if h[0] == before[-1][0]}
-    assert len([h for h in before if h in after]) >= len(before) - 2
-    assert {r.image_id for r in table.read().collect()} == {f"i{n}" for n in range(40)} - {"i7"}
-    number = table.manifest()["number"]
-    none = spark.createDataFrame([("gs://b/none.jpg",)], "gcs_uri string")
-    assert tables.apply_delete(spark, path, uris=none) == 0 and table.manifest()["number"] == number
-    table.purge()
-    assert table.read().count() == 39 and len(list((tmp_path / "results" / "_manifests").glob("0*"))) == 1
-    with pytest.raises(ValueError, match="Unknown column: other"):
-        tables.write_results(rows.withColumn("other", F.lit(1)), path)
