@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 from auditloom.llm.common import query, table
 
 #: Words, and tokens of words, that a task remembers at a time.
-REMEMBERED = 400_000
-REMEMBERED_TOKENS = 8_000_000
+REMEMBERED = 200_000
+REMEMBERED_TOKENS = 4_000_000
 #: Bytes of words in one recursive query, and tokens in one decoding query; a longer word has a query of its own.
-QUERY_BYTES = 1_000_000
-QUERY_TOKENS = 1_000_000
+QUERY_BYTES = 250_000
+QUERY_TOKENS = 250_000
 
 MERGES = """
 create table merges as
