@@ -2,8 +2,8 @@
 
 Texts are kept as 64-bit hashes of their words, a zero standing before each
 piece. Phrases that can be frequent are found level by level: a phrase is a
-candidate only if it is a frequent phrase, one word shorter, followed by a word
-with which its own tail is a frequent phrase too. The candidates of a level go
+candidate only if it is a frequent phrase, one word shorter, followed often
+enough by a word with which its own tail is a frequent phrase too. The candidates of a level go
 into double-array tries of bounded size, each broadcast in turn. A task walks
 all positions of its texts at once: each step moves every state that is left by
 one word, and the accepting states are binned and counted. The sums over all
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import lower_ascii, query, table
+from auditloom.llm.common import query, table
 from auditloom.llm.components import stored
 
 #: Most phrases of a trie, as dealt by hash, which bounds each broadcast.
@@ -72,7 +72,7 @@ class DoubleArray:
         starts = np.nonzero(np.diff(parents, prepend=-1))[0]
         sizes = np.diff(np.append(starts, len(parents)))
         slots, low, width = np.empty(len(parents), np.int64), len(self.roots), 256
-        # The largest families first, while there is room for them.
+        # The largest families first; blocks that had no room for one are passed over for good.
         for family in np.argsort(-sizes, kind="stable")[: (sizes > 1).sum()]:
             mine = slice(starts[family], starts[family] + sizes[family])
             children, at = codes[mine], low
@@ -81,14 +81,12 @@ class DoubleArray:
                 clash = (self.check[np.arange(at, at + width)[:, None] + children] != _FREE).any(axis=1)
                 if not clash.all():
                     break
-                at += width
+                low = at = at + width
             base = at + int(clash.argmin())
             slots[mine] = base + children
             self.check[base + children] = parents[mine]
             self.base[parents[starts[family]]] = base
-            if (self.check[low : low + width] != _FREE).mean() > 0.9:
-                low += width
-        # An only child fits anywhere.
+        # An only child fits anywhere, also where the families left room.
         single = starts[sizes == 1]
         self._room(len(self.check) + len(single) + len(self.alphabet))
         free = np.nonzero(self.check == _FREE)[0]
@@ -198,18 +196,22 @@ def counted(texts, candidates, length, most):
     return candidates.join(_united(sums).groupBy("number").agg(F.sum("f").alias("f")), "number")
 
 
-def extended(texts, frequent, length, most):
-    """Candidates of one word more: (lang, phrase) whose first and last words are `frequent` phrases both."""
+def extended(texts, frequent, length, least, most):
+    """Candidates of one word more: (lang, phrase) whose first and last words are `frequent` phrases both.
+
+    Most of them are met a few times only, so those met less than `least` times are left out before
+    they fill tries.
+    """
     bits = texts.sparkSession.sparkContext.broadcast(_tail_filter(frequent, length))
     made = []
     for trie in _tries(frequent, length, most):
 
         def run(batches, trie=trie):
             known, tails = trie.value, np.unpackbits(bits.value).view(bool)
-            held = np.zeros((0, 2), np.int64)
+            held = np.zeros((0, 3), np.int64)
 
             def out():
-                return pa.RecordBatch.from_arrays([pa.array(held[:, 0]), pa.array(held[:, 1])], names=["number", "next"])
+                return pa.RecordBatch.from_arrays([pa.array(c) for c in held.T], names=["number", "next", "met"])
 
             for batch in batches:
                 hashes, roots = _positions(batch, known.roots)
@@ -220,16 +222,19 @@ def extended(texts, frequent, length, most):
                     after = hashes[place + length]
                     tail = [hashes[place + i] for i in range(1, length)] + [after]
                     good = (after != BREAK) & tails[_filter_places(tail)]
-                    held = np.concatenate([held, _distinct(number[good], after[good])])
+                    ones = np.ones(good.sum(), np.int64)
+                    held = np.concatenate([held, _summed(np.stack([number[good], after[good], ones], axis=1))])
                     if len(held) > HELD:
-                        held = _distinct(held[:, 0], held[:, 1])
+                        held = _summed(held)
                         if len(held) > HELD // 2:
                             yield out()
                             held = held[:0]
-            held = _distinct(held[:, 0], held[:, 1])
+            held = _summed(held)
             yield out()
 
-        made.append(stored(texts.mapInArrow(run, "number long, next long").distinct(), "extensions"))
+        sums = texts.mapInArrow(run, "number long, next long, met long").groupBy("number", "next")
+        enough = sums.agg(F.sum("met").alias("met")).where(F.col("met") >= least)
+        made.append(stored(enough.select("number", "next"), "extensions"))
         trie.destroy()
     bits.destroy()
     if not made:
@@ -241,23 +246,34 @@ def extended(texts, frequent, length, most):
     return tail.join(tails, ["lang", "tail"], "left_semi").select("lang", "phrase")
 
 
-def _distinct(left, right):
-    """The distinct rows of two columns."""
-    order = np.lexsort((right, left))
-    left, right = left[order], right[order]
-    new = np.ones(len(left), bool)
-    new[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
-    return np.stack([left[new], right[new]], axis=1)
+def _summed(rows):
+    """The distinct pairs of the first two columns with the sums of the third."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+    starts = np.nonzero(new)[0]
+    return np.column_stack([rows[starts, :2], np.add.reduceat(rows[:, 2], starts)])
 
 
 def _numbered(phrases, purpose):
     return stored(phrases.withColumn("number", F.monotonically_increasing_id()), purpose)
 
 
-def _pieces(text):
-    """Words of each piece of a text column."""
-    pieces = F.split(lower_ascii(F.coalesce(text, F.lit(""))), "[.,;:!?\\x0A-\\x0D]")
-    return F.transform(pieces, lambda piece: F.filter(F.split(piece, "[\\x20\\x09]+"), lambda word: word != ""))
+# Separators of pieces become a full stop, which no word holds; A-Z become a-z and tabs spaces.
+_SEPARATORS = ",;:!?\n\x0b\x0c\r"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(text):
+    """Words of a text column, with a full stop before each piece."""
+    plain = F.translate(text, _SEPARATORS + _UPPER + "\t", "." * len(_SEPARATORS) + _LOWER + " ")
+    return F.split(F.concat(F.lit(". "), F.replace(F.coalesce(plain, F.lit("")), F.lit("."), F.lit(" . "))), " +")
+
+
+def _is_word(word):
+    return (word != "") & (word != ".")
 
 
 def _hash(word, seed):
@@ -269,8 +285,8 @@ def frequent_phrases(df, least=100, longest=5, lang_col="lang", text_col="text",
 
     Phrases are (lang, phrase, f, length), `phrase` being the hashes of the words.
     """
-    texts = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), _pieces(F.col(text_col)).alias("pieces"))
-    words = texts.select("lang", F.explode(F.flatten("pieces")).alias("word"))
+    texts = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), _words(F.col(text_col)).alias("words"))
+    words = texts.select("lang", F.explode("words").alias("word")).where(_is_word(F.col("word")))
     words = stored(words.groupBy("lang", "word").agg(F.count("*").alias("f")), "words")
     for seed in count():
         hashed = words.withColumn("hash", _hash(F.col("word"), seed))
@@ -278,12 +294,12 @@ def frequent_phrases(df, least=100, longest=5, lang_col="lang", text_col="text",
         # Rare words that share a hash matter only if it then looks frequent.
         if shared.where((F.col("f") >= least) & ((F.col("words") > 1) | (F.col("hash") == BREAK))).isEmpty():
             break
-    line = F.transform("pieces", lambda p: F.concat(F.array(F.lit(BREAK).cast("long")), F.transform(p, lambda w: _hash(w, seed))))
-    texts = stored(texts.select("lang", F.flatten(line).alias("hashes")), "hashes")
+    line = F.transform("words", lambda w: F.when(_is_word(w), _hash(w, seed)).otherwise(F.lit(BREAK)))
+    texts = stored(texts.select("lang", line.alias("hashes")), "hashes")
     found = hashed.where(F.col("f") >= least).select("lang", F.array("hash").alias("phrase"), "f")
     levels = [_numbered(found, "frequent")]
     for length in range(1, longest):
-        candidates = _numbered(extended(texts, levels[-1], length, most), "candidates")
+        candidates = _numbered(extended(texts, levels[-1], length, least, most), "candidates")
         found = counted(texts, candidates, length + 1, most).where(F.col("f") >= least)
         levels.append(_numbered(found.select("lang", "phrase", "f"), "frequent"))
         if levels[-1].isEmpty():
