@@ -94,22 +94,34 @@ def _touched(spark, jobs_path, keys):
     return tables.read_jobs(spark, jobs_path).join(unique(keys, jobs.KEY), jobs.KEY, "left_semi")
 
 
-def work(
-    spark, tasks, rendered, make_scorer, jobs_path, results_path, errors_path, now,
-    images=None, fetch=None, thumbs=True, sign=None, partitions=None, run=None,
+def work(spark, tasks, rendered, make_scorer, jobs_path, results_path, errors_path, now, run=None, **options):
+    """Tasks to result rows, error rows and job states; `options` are those of `process`.
+
+    A repeated call with the same `run` replaces the rows and errors of the first
+    one; without a name each call is a run of its own, and readers take the last
+    one of an object and version.
+    """
+    tasks = kept(events.validate_tasks(tasks), "tasks")
+    tables.change_jobs(spark, jobs_path, kept(jobs.start(_touched(spark, jobs_path, tasks), tasks, now), "started"))
+    outcome = process(spark, tasks, rendered, make_scorer, results_path, errors_path, now, run, **options)
+    last = catalogue.last_wins(outcome, jobs.KEY, "attempt")
+    tables.change_jobs(spark, jobs_path, kept(jobs.advance(_touched(spark, jobs_path, last), last, now), "advanced"))
+    return outcome
+
+
+def process(
+    spark, tasks, rendered, make_scorer, results_path, errors_path, now, run=None,
+    images=None, fetch=None, thumbs=True, sign=None, partitions=None,
 ):
-    """Tasks to result rows, error rows and job states.
+    """Tasks to result rows and error rows of the run `run`; returns one outcome a task.
 
     `tasks` carries gcs_uri, prompt_version_id and attempt. Bytes come from
     the `images` frame or from `fetch(uri)`. Scoring is the costly step, so its
     output is written before anything else reads it, and so is what is parsed
-    from it. A repeated call with the same `run` replaces the rows and errors of
-    the first one; without a name each call is a run of its own, and readers take
-    the last one of an object and version.
+    from it.
     """
     run = run or tables.new_run()
-    tasks = kept(events.validate_tasks(tasks), "tasks")
-    tables.change_jobs(spark, jobs_path, kept(jobs.start(_touched(spark, jobs_path, tasks), tasks, now), "started"))
+    tasks = events.validate_tasks(tasks)
     unknown = events.missing_versions(tasks, rendered).withColumn(
         "error_message",
         F.concat(F.lit("Prompt version '"), F.col("prompt_version_id"), F.lit("' not found.")),
@@ -160,8 +172,6 @@ def work(
     outcome = kept(outcome, "outcomes")
     failed = outcome.where("not ok")
     tables.write_errors(mutate.error_rows(failed, rendered, now), errors_path, run)
-    last = catalogue.last_wins(outcome, jobs.KEY, "attempt")
-    tables.change_jobs(spark, jobs_path, kept(jobs.advance(_touched(spark, jobs_path, last), last, now), "advanced"))
     return outcome
 
 

@@ -5,11 +5,14 @@ An append replaces its own run, so one that is repeated leaves no second copy.
 Changes find the parts of their keys by the same hash, read only those
 (a partition filter), stage what becomes of them, take their counts from the
 staged rows and put the changed folders in place by dynamic partition overwrite.
-A folder that ends without rows is removed. One writer per table. A change that
+A folder that ends without rows is removed. One application writes a table. A change that
 breaks off while folders are put in place raises `PartlyDone`; repeating it
 completes it.
 """
 
+import threading
+from collections import defaultdict
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
@@ -23,6 +26,8 @@ from auditloom.sources.files import file_system
 #: Parts of a new table. A part is what the change of one row rewrites in each run.
 PARTS = 32
 _PLACE = ["run", "part"]
+# Queries of one application take turns in changing a table.
+_WRITING = defaultdict(threading.RLock)
 _PLACE_FIELDS = [StructField("run", StringType()), StructField("part", IntegerType())]
 
 
@@ -104,9 +109,10 @@ class ResultTable:
             layout.write.mode("overwrite").json(f"{self.path}/_layout")
         # The rebalance merges small outputs and splits large ones, also of one hot image.
         placed = whole.withColumn("part", part.cast("int")).hint("rebalance", "part")
-        placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(
-            f"{self.path}/run={run}"
-        )
+        with _WRITING[self.path]:
+            placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(
+                f"{self.path}/run={run}"
+            )
 
     def parts_of(self, keys, column):
         """Numbers of the parts in which rows of `keys` can be."""
@@ -167,16 +173,18 @@ class ResultTable:
         """Delete all rows with the `columns` of a row of `keys`; their number."""
         columns = [columns] if isinstance(columns, str) else columns
         gone = unique(keys, columns)
-        return self.change(
-            self.parts_of(keys, "gcs_uri"),
-            lambda rows: rows.join(gone, columns, "left_anti").select(*rows.columns),
-            lambda before, after, _: before - after,
-        )
+        with _WRITING[self.path]:
+            return self.change(
+                self.parts_of(keys, "gcs_uri"),
+                lambda rows: rows.join(gone, columns, "left_anti").select(*rows.columns),
+                lambda before, after, _: before - after,
+            )
 
     def merge(self, updates, key):
         """Put the URL columns of `updates` into the rows of their key; the number of matched rows."""
-        return self.change(
-            self.parts_of(updates, key),
-            lambda rows: mutate.merge_urls(rows, updates, key, mark=["_match"]),
-            lambda before, after, marked: marked,
-        )
+        with _WRITING[self.path]:
+            return self.change(
+                self.parts_of(updates, key),
+                lambda rows: mutate.merge_urls(rows, updates, key, mark=["_match"]),
+                lambda before, after, marked: marked,
+            )

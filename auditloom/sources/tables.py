@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from auditloom import fixed
 from auditloom.operators.joins import folded
-from auditloom.sources.files import file_system
+from auditloom.sources.files import file_system  # noqa: F401
 from auditloom.sources.jobtable import KEY, JobTable
 from auditloom.sources.results import PartlyDone, ResultTable  # noqa: F401
 

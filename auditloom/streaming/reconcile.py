@@ -1,8 +1,10 @@
 """Continuous reconcile and delete with keyed state.
 
-Everything about one object lives under its URI: the job of each version, and
-the newest event that had to wait. A waiting event is tried again when a worker
-result arrives or a lease runs out, in place of being delivered again.
+Everything about one object lives under its URI: the job of each version, the
+newest event that had to wait, and the lease of a delete that is under way. A
+waiting event is tried again when a worker result or the end of a delete
+arrives, or a lease runs out, in place of being delivered again. The state can
+be seeded from a stored job table.
 """
 
 from typing import NamedTuple
@@ -16,11 +18,17 @@ from auditloom.sources.tables import write_batch
 
 DECISION = (
     "gcs_uri string, prompt_version_id string, kind string, generation bigint, "
-    "outcome string, delete_superseded_rows boolean"
+    "outcome string, delete_superseded_rows boolean, status string, attempts int, "
+    "error_message string, decided bigint"
 )
 # No generation travels as 0, so that 64-bit values stay exact in pandas.
 NONE = 0
 MINUTE = 60_000
+#: The time of a state that has none: its lease does not run out.
+ALWAYS = 2**62
+
+# Outcomes beside those of arrivals and delete plans.
+LEASED, PURGED, RESTORED, RECORDED, UNKNOWN = "lease", "purged", "restored", "recorded", "unknown"
 
 
 class Job(NamedTuple):
@@ -64,14 +72,18 @@ def decide(job, generation, now):
 
 
 class ObjectProcessor(StatefulProcessor):
-    """Jobs of one object, driven by arrivals, deletes and worker results.
+    """Jobs of one object, driven by arrivals, deletes, worker results and ends of deletes.
 
-    `settled` treats a queued job as finished at once; replays use it.
+    `settled` treats a queued job as finished at once; replays use it. With
+    `leased` a delete takes two steps: it marks the jobs DELETING and waits for
+    a `deleted` or `restored` event that names this lease; without, the jobs go
+    at once.
     """
 
-    def __init__(self, versions, settled=False):
+    def __init__(self, versions, settled=False, leased=False):
         self._versions = list(versions)
         self._settled = settled
+        self._leased = leased
 
     def init(self, handle):
         self._handle = handle
@@ -79,17 +91,42 @@ class ObjectProcessor(StatefulProcessor):
             "jobs", "prompt_version_id string",
             "status string, generation bigint, since bigint, attempts int",
         )
-        # Per kind: the newest waiting generation.
-        self._waiting = handle.getMapState("waiting", "kind string", "generation bigint")
+        # Per kind: the newest waiting generation, and whether one without any waits.
+        self._waiting = handle.getMapState("waiting", "kind string", "generation bigint, without boolean")
+        # The delete under way, and what its jobs were before.
+        self._lease = handle.getMapState("lease", "kind string", "generation bigint, since bigint")
+        self._before = handle.getMapState("before", "prompt_version_id string", "status string, since bigint")
+
+    def handleInitialState(self, key, initialState, timerValues):
+        for row in initialState.itertuples(index=False):
+            self._jobs.updateValue(
+                (row.prompt_version_id,), (row.status, int(row.generation), int(row.since), int(row.attempts))
+            )
 
     def _all_jobs(self):
         return {key[0]: Job(*value) for key, value in self._jobs.iterator()}
 
+    def _lease_held(self, now):
+        """The lease of a delete that has not run out."""
+        if not self._lease.containsKey(("delete",)):
+            return None
+        generation, since = self._lease.getValue(("delete",))
+        return (generation, since) if now - since <= 10 * MINUTE else None
+
     def _wait(self, kind, generation, now, jobs):
-        known = self._waiting.getValue((kind,))[0] if self._waiting.containsKey((kind,)) else NONE
-        self._waiting.updateValue((kind,), (max(known, generation),))
-        ends = [j.since + lease(j) + 1 for j in jobs.values() if busy(j, now)]
-        self._handle.registerTimer(max(min(ends), now + 1))
+        known, without = NONE, False
+        if self._waiting.containsKey((kind,)):
+            known, without = self._waiting.getValue((kind,))
+        self._waiting.updateValue((kind,), (max(known, generation), without or generation == NONE))
+        ends = [j.since + lease(j) + 1 for j in jobs.values() if busy(j, now) and j.since != ALWAYS]
+        held = self._lease_held(now)
+        if held is not None:
+            ends.append(held[1] + 10 * MINUTE + 1)
+        if ends:
+            self._handle.registerTimer(max(min(ends), now + 1))
+
+    def _say(self, out, version, kind, generation, outcome, superseded=False, status=None, attempts=0, error=None):
+        out.append((version, kind, generation, outcome, superseded, status, attempts, error))
 
     def _arrive(self, generation, now, out):
         jobs, deferred = self._all_jobs(), False
@@ -99,7 +136,7 @@ class ObjectProcessor(StatefulProcessor):
                 status = fixed.PROCESSED if self._settled else fixed.QUEUED
                 self._jobs.updateValue((version,), (status, generation, now, 0))
             deferred = deferred or outcome == fixed.OUTCOME_DEFERRED
-            out.append((version, "finalize", generation, outcome, superseded))
+            self._say(out, version, "finalize", generation, outcome, superseded)
         if deferred:
             self._wait("finalize", generation, now, jobs)
 
@@ -108,69 +145,113 @@ class ObjectProcessor(StatefulProcessor):
         newest = max((j.generation for j in jobs.values()), default=NONE)
         if NONE < generation < newest:
             action = fixed.ACTION_SKIP
-        elif any(busy(j, now) for j in jobs.values()):
+        elif self._lease_held(now) is not None or any(busy(j, now) for j in jobs.values()):
             action = fixed.ACTION_DEFER
             self._wait("delete", generation, now, jobs)
+        elif self._leased:
+            action = LEASED
+            for version, job in jobs.items():
+                if job.status != fixed.DELETING:
+                    self._before.updateValue((version,), (job.status, job.since))
+                self._jobs.updateValue((version,), (fixed.DELETING, job.generation, now, job.attempts))
+            self._lease.updateValue(("delete",), (generation, now))
+            self._handle.registerTimer(now + 10 * MINUTE + 1)
         else:
             action = fixed.ACTION_DELETE
             self._jobs.clear()
-        out.append((None, "delete", generation, action, False))
-
-    def _result(self, row, now):
-        version = row.prompt_version_id
+        self._say(out, None, "delete", generation, action)
+
+    def _end(self, row, now, out):
+        """The second step of the delete whose lease the event names; others are ignored."""
+        if not self._lease.containsKey(("delete",)):
+            return
+        generation, since = self._lease.getValue(("delete",))
+        if row.status != str(since):
+            return
+        for version, job in self._all_jobs().items():
+            if job.status != fixed.DELETING or job.since != since:
+                continue  # taken over since
+            if row.kind == "deleted":
+                self._jobs.removeKey((version,))
+                self._say(out, version, "delete", generation, PURGED)
+            else:
+                known = self._before.containsKey((version,))
+                status, start = self._before.getValue((version,)) if known else (fixed.DELETING, 0)
+                self._jobs.updateValue((version,), (status, job.generation, start, job.attempts))
+                self._say(out, version, "delete", generation, RESTORED, status=status)
+        self._lease.clear()
+        self._before.clear()
+        action = fixed.ACTION_DELETE if row.kind == "deleted" else fixed.ACTION_SKIP
+        self._say(out, None, "delete", generation, action)
+
+    def _result(self, row, now, out):
+        version, outcome = row.prompt_version_id, UNKNOWN
         if self._jobs.containsKey((version,)):
             old = Job(*self._jobs.getValue((version,)))
-            self._jobs.updateValue((version,), (row.status, old.generation, now, int(row.attempts)))
+            # One for an object that is newer by now, or is being deleted, is of no use.
+            if old.status != fixed.DELETING and (row.generation in (NONE, old.generation)):
+                self._jobs.updateValue((version,), (row.status, old.generation, now, int(row.attempts)))
+                outcome = RECORDED
+        self._say(out, version, "result", row.generation, outcome, False, row.status, int(row.attempts), row.error_message)
 
     def _retry_waiting(self, now, out):
-        waiting = {key[0]: value[0] for key, value in self._waiting.iterator()}
+        waiting = {key[0]: value for key, value in self._waiting.iterator()}
         self._waiting.clear()
         if "finalize" in waiting:
-            self._arrive(waiting["finalize"], now, out)
+            self._arrive(waiting["finalize"][0], now, out)
         if "delete" in waiting:
-            self._delete(waiting["delete"], now, out)
+            # One without a generation is unconditional, whatever waits beside it.
+            generation, without = waiting["delete"]
+            self._delete(NONE if without else generation, now, out)
 
     @staticmethod
-    def _frame(key, out):
-        columns = ["prompt_version_id", "kind", "generation", "outcome", "delete_superseded_rows"]
+    def _frame(key, out, now):
+        columns = ["prompt_version_id", "kind", "generation", "outcome", "delete_superseded_rows", "status", "attempts",
+                   "error_message"]
         frame = pd.DataFrame(out, columns=columns)
         frame.insert(0, "gcs_uri", key[0])
+        frame["decided"] = now
         return frame
 
     def handleInputRows(self, key, rows, timerValues):
         now, out = timerValues.getCurrentProcessingTimeInMs(), []
-        arrivals, deletes, results = [], [], []
+        arrivals, deletes, results, ends = [], [], [], []
         for batch in rows:
             for row in batch.itertuples(index=False):
                 if row.kind == "finalize":
                     arrivals.append(row.generation)
                 elif row.kind == "delete":
                     deletes.append(row.generation)
+                elif row.kind in ("deleted", "restored"):
+                    ends.append(row)
                 else:
                     results.append(row)
         for row in results:
-            self._result(row, now)
-        if results:
+            self._result(row, now, out if self._leased else [])
+        for row in ends:
+            self._end(row, now, out)
+        if results or ends:
             self._retry_waiting(now, out)
         # Newest first: what is older, or has no generation, is then covered.
         for generation in sorted(arrivals, reverse=True):
             self._arrive(int(generation), now, out)
         for generation in sorted(deletes, reverse=True):
             self._delete(int(generation), now, out)
-        yield self._frame(key, out)
+        yield self._frame(key, out, now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        out = []
-        self._retry_waiting(timerValues.getCurrentProcessingTimeInMs(), out)
-        yield self._frame(key, out)
+        now, out = timerValues.getCurrentProcessingTimeInMs(), []
+        self._retry_waiting(now, out)
+        yield self._frame(key, out, now)
 
     def close(self):
         pass
 
 
+#: What the processor is fed: arrivals, deletes, worker results and ends of deletes.
 INPUT = (
     "gcs_uri string, kind string, generation bigint, prompt_version_id string, "
-    "status string, attempts int"
+    "status string, attempts int, error_message string"
 )
 
 
@@ -189,6 +270,26 @@ def _shape(events):
         col("prompt_version_id", "string", ""),
         col("status", "string", ""),
         col("attempts", "int", 0),
+        col("error_message", "string", ""),
+    )
+
+
+def seed(jobs):
+    """The stored job table as the processor's first state."""
+    entered = (
+        F.when(F.col("status") == fixed.QUEUED, F.col("queued_at"))
+        .when(F.col("status") == fixed.DELETING, F.col("deleting_at"))
+        .otherwise(F.col("last_processed_at"))
+    )
+    holds = F.col("status").isin(fixed.QUEUED, fixed.PROCESSING, fixed.DELETING)
+    since = F.coalesce(F.unix_millis(entered), F.when(holds, F.lit(ALWAYS)).otherwise(F.lit(0)))
+    return jobs.select(
+        "gcs_uri",
+        "prompt_version_id",
+        F.coalesce("status", F.lit("")).alias("status"),
+        F.coalesce("generation", F.lit(NONE)).cast("bigint").alias("generation"),
+        since.cast("bigint").alias("since"),
+        F.coalesce("attempts", F.lit(0)).cast("int").alias("attempts"),
     )
 
 
@@ -207,22 +308,28 @@ def drop_repeats(events, time_col, delay="10 minutes"):
     )
 
 
-def reconcile_stream(events, versions, settled=False):
+def reconcile_stream(events, versions, settled=False, leased=False, jobs=None):
     """Decisions for a stream of events.
 
-    `events` has gcs_uri, kind ('finalize', 'delete' or 'result') and
-    generation; results also have prompt_version_id, status and attempts.
+    `events` has gcs_uri, kind and generation; kind is 'finalize', 'delete',
+    'result' (also with prompt_version_id, status, attempts and error_message)
+    or, with `leased`, 'deleted' and 'restored' (with the lease as status). `jobs`
+    is a job table to begin with; only the first batch of a checkpoint reads it.
     A settled replay never waits, so it sets no timers and ends with its input;
     the live form keeps making batches to fire them.
     """
     mode = "None" if settled else "ProcessingTime"
+    initial = None if jobs is None else seed(jobs).groupBy("gcs_uri")
     return (
         _shape(events)
         .groupBy("gcs_uri")
         .transformWithStateInPandas(
-            ObjectProcessor(versions, settled), DECISION, "Append", mode
+            ObjectProcessor(versions, settled, leased), DECISION, "Append", mode, initialState=initial
         )
         .withColumn("generation", F.nullif("generation", F.lit(NONE)))
+        .withColumn("error_message", F.nullif("error_message", F.lit("")))
+        .withColumn("decided_at", F.timestamp_millis("decided"))
+        .drop("decided")
     )
 
 

@@ -1,0 +1,309 @@
+"""The live audit: decisions carried out, deletes in two steps, tasks worked."""
+
+import json
+import sys
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+from test_streaming import Driver
+
+from auditloom import fixed
+from auditloom.plans import jobs as plans
+from auditloom.sources import tables
+from auditloom.streaming import act, work
+from auditloom.streaming.reconcile import ALWAYS, MINUTE, NONE
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+EVENT = "gcs_uri string, kind string, generation bigint"
+ONCE = {"once": True}
+
+
+# --- state ------------------------------------------------------------------
+
+
+def settled(leased=True):
+    d = Driver(leased=leased)
+    d.feed(0, ("finalize", 5))
+    d.feed(1, ("result", NONE, "v1", "PROCESSED", 1))
+    return d
+
+
+def outcomes(rows):
+    return [(kind, outcome) for kind, outcome, _, _ in rows]
+
+
+def test_a_delete_takes_two_steps():
+    d = settled()
+    assert d.feed(100, ("delete", 5)) == [("delete", "lease", 5, False)]
+    assert d.jobs["v1"] == ("DELETING", 5, 100, 1) and d.handle.timers[-1] == 100 + 10 * MINUTE + 1
+    assert outcomes(d.feed(101, ("delete", 5))) == [("delete", "defer_in_flight")]
+    # The end of another lease is ignored.
+    assert d.feed(102, ("deleted", 5, "", "99")) == [("delete", "defer_in_flight", 5, False)]
+    done = d.feed(103, ("deleted", 5, "", "100"))
+    assert outcomes(done) == [("delete", "purged"), ("delete", "delete"), ("delete", "lease")] and d.jobs == {}
+
+
+def test_an_upload_during_the_lease():
+    d = settled()
+    d.feed(100, ("delete", 5))
+    assert d.feed(101, ("finalize", 8)) == [("finalize", "deferred_in_flight", 8, False)]
+    back = d.feed(102, ("restored", 5, "", "100"))
+    assert back == [("delete", "restored", 5, False), ("delete", "skip_stale_generation", 5, False), ("finalize", "queued", 8, True)]
+    assert d.jobs["v1"] == ("QUEUED", 8, 102, 0)
+    # The same, but the object was gone when the rows were removed: the upload starts afresh.
+    d = settled()
+    d.feed(100, ("delete", 5))
+    d.feed(101, ("finalize", 8))
+    assert d.feed(102, ("deleted", 5, "", "100"))[-1] == ("finalize", "queued", 8, False)
+
+
+def test_an_expired_lease_can_be_taken_over():
+    d = settled()
+    d.feed(0, ("delete", 5))
+    d.feed(1, ("finalize", 8))
+    late = 10 * MINUTE + 1
+    assert d.fire(late) == [("finalize", "queued", 8, True)]
+    # The late end of the lease no longer touches the job.
+    assert outcomes(d.feed(late + 1, ("deleted", 5, "", "0"))) == [("delete", "delete")]
+    assert d.jobs["v1"][0] == "QUEUED"
+
+
+def test_an_unconditional_delete_stays_unconditional_while_it_waits():
+    d = Driver()
+    d.feed(0, ("finalize", 5))
+    assert outcomes(d.feed(1, ("delete", NONE), ("delete", 5))) == [("delete", "defer_in_flight")] * 2
+    d.feed(2, ("finalize", 9))
+    # By now a newer object is known; only the delete without a generation still goes through.
+    done = d.feed(3, ("result", NONE, "v1", "PROCESSED", 1))
+    assert ("finalize", "queued", 9, True) in done
+    done = d.feed(4, ("result", NONE, "v1", "PROCESSED", 1))
+    assert ("delete", "delete", NONE, False) in done and d.jobs == {}
+
+
+def test_results_of_older_objects_are_not_taken():
+    d = settled()
+    d.feed(2, ("finalize", 6))
+    said = d.feed(3, ("result", 5, "v1", "PROCESSED", 1))
+    assert outcomes(said) == [("result", "unknown")] and d.jobs["v1"][0] == "QUEUED"
+    assert outcomes(d.feed(4, ("result", 6, "v1", "PROCESSED", 1)))[0] == ("result", "recorded")
+
+
+def test_a_seeded_state_without_times():
+    import pandas as pd
+
+    d = Driver()
+    d.processor.handleInitialState(("u",), pd.DataFrame(
+        [("v1", "PROCESSING", 5, ALWAYS, 1)], columns=["prompt_version_id", "status", "generation", "since", "attempts"]), None)
+    assert outcomes(d.feed(10**12, ("finalize", 6))) == [("finalize", "deferred_in_flight")]
+    assert d.handle.timers == []
+
+
+# --- tables -----------------------------------------------------------------
+
+
+def scorer():
+    def score(content, prompt, model, settings):
+        if content.endswith(b"bad.jpg"):
+            raise RuntimeError("model is down")
+        body = {"TotalWeightLbs": len(content), "Paper": {"Boxes": 0.25}}
+        return json.dumps(body)
+
+    return score
+
+
+def rendered(spark):
+    rows = [(v, f"model {v}", "look", "be exact", "HIGH", False) for v in ("v1", "v2")]
+    return spark.createDataFrame(
+        rows, "prompt_version_id string, model_name string, prompt_text string, system_instruction string, "
+        "thinking_level string, code_execution boolean")
+
+
+class Live:
+    """A live audit whose events, listing and batches are given by hand."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root, self.paths = spark, root, act.Paths.under(str(root / "live"))
+        self.listing = []
+
+    def list_objects(self):
+        return self.spark.createDataFrame(self.listing, "gcs_uri string, generation bigint")
+
+    def arrive(self, *rows):
+        self.spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(self.paths.events)
+
+    def reconcile(self):
+        events = self.spark.readStream.schema(EVENT).parquet(self.paths.events)
+        query = act.start(events, ["v1", "v2"], self.paths, self.list_objects, str(self.root / "check-act"), trigger=ONCE)
+        query.awaitTermination(120)
+
+    def work(self):
+        query = work.start_work(
+            self.spark, rendered(self.spark), scorer, self.paths, str(self.root / "check-work"), trigger=ONCE,
+            fetch=lambda uri: uri.encode())
+        query.awaitTermination(120)
+
+    def round(self, times=1):
+        for _ in range(times):
+            self.reconcile()
+            self.work()
+            self.reconcile()
+
+    def jobs(self):
+        return state_of(self.spark, self.paths.jobs)
+
+    def rows(self):
+        return rows_of(self.spark, self.paths.results)
+
+    def tasks(self):
+        found = self.spark.read.schema(act.TASK).parquet(self.paths.tasks).collect()
+        return sorted((r.gcs_uri, r.prompt_version_id, r.attempt) for r in found)
+
+
+def state_of(spark, path):
+    found = tables.read_jobs(spark, path).collect()
+    return sorted((r.gcs_uri, r.prompt_version_id, r.status, r.generation, r.attempts, r.deleting_at) for r in found)
+
+
+def rows_of(spark, path):
+    found = tables.read_results(spark, path).collect()
+    return sorted((r.gcs_uri, r.prompt_version_id, r["class"], r.scaled_weight) for r in found)
+
+
+A, B, C, D = (f"gs://raw/{n}.jpg" for n in "abcd")
+STEPS = [
+    [(A, "finalize", 1), (B, "finalize", 1), (C, "finalize", 1), (D, "finalize", None), (A, "finalize", 1)],
+    [(A, "finalize", 3), (B, "finalize", 1), (C, "finalize", 0)],
+    [(B, "delete", 1), (C, "delete", None), (D, "delete", 5)],
+    [(B, "finalize", 7)],
+]
+LISTING = [(D, 9)]
+
+
+def batch_audit(spark, root):
+    """The same steps by the batch jobs."""
+    jobs_path, results, errors, tasks = (str(root / n) for n in ("jobs", "results", "errors", "tasks"))
+    now, made = datetime(2026, 11, 5, 14), []
+    listing = lambda: spark.createDataFrame(LISTING, "gcs_uri string, generation bigint")
+
+    def lines(number, kind, rows):
+        folder = root / f"in{number}{kind}"
+        folder.mkdir()
+        bodies = [{"bucket": "raw", "name": u.removeprefix("gs://raw/"), "generation": g} for u, k, g in rows if k == kind]
+        (folder / "part.json").write_text("\n".join(map(json.dumps, bodies)))
+        return bodies and str(folder)
+
+    from auditloom.sources.events import read_object_events
+
+    for number, step in enumerate(STEPS):
+        now += timedelta(hours=3)
+        at = spark.createDataFrame([(now,)], "n timestamp").scalar()
+        arrived, deleted = lines(number, "finalize", step), lines(number, "delete", step)
+        if arrived:
+            path = f"{tasks}{number}"
+            plans.ingest(spark, read_object_events(spark, arrived), rendered(spark), jobs_path, results, path, at)
+            todo = tables.read_table(spark, path, "gcs_uri string, prompt_version_id string").withColumn("attempt", F.lit(1))
+            made += [tuple(r) for r in todo.collect()]
+            plans.work(spark, todo, rendered(spark), scorer, jobs_path, results, errors, at, fetch=lambda uri: uri.encode())
+        if deleted:
+            plans.delete(spark, read_object_events(spark, deleted, "delete"), jobs_path, results, listing, at)
+    return state_of(spark, jobs_path), rows_of(spark, results), sorted(made)
+
+
+def test_live_audit_ends_where_the_batch_jobs_do(spark, tmp_path, monkeypatch):
+    """Also when a batch breaks off between its claims and its tasks, and when one is run again."""
+    (tmp_path / "batch").mkdir()
+    want = batch_audit(spark, tmp_path / "batch")
+    live = Live(spark, tmp_path)
+    live.listing = LISTING
+    real, failed = tables.write_batch, []
+
+    def broken(df, path, number):
+        if path == live.paths.tasks and len(failed) < 1 and live_step[0] == 1:
+            failed.append(number)
+            raise OSError("down")
+        real(df, path, number)
+
+    live_step = [0]
+    for number, step in enumerate(STEPS):
+        live_step[0] = number
+        live.arrive(*step)
+        if number == 1:
+            with monkeypatch.context() as patched:
+                patched.setattr(tables, "write_batch", broken)
+                with pytest.raises(Exception, match="down"):
+                    live.reconcile()
+            assert failed
+        # The ends of deletes are read by the batch after the one that made them.
+        live.round(2 if number == 2 else 1)
+    assert (live.jobs(), live.rows(), live.tasks()) == want
+    assert len(want[0]) == 6 and len(want[1]) == 12
+
+    # The last batch again.
+    last = max(int(p.name.split("=")[1]) for p in (tmp_path / "live" / "decisions").glob("batch_id=*"))
+    batch = spark.read.parquet(f"{live.paths.decisions}/batch_id={last}")
+    act.act(spark, plans.kept(batch, "again"), last, live.paths, live.list_objects)
+    assert (live.jobs(), live.rows(), live.tasks()) == want
+
+
+def test_state_begins_with_the_stored_jobs(spark, tmp_path):
+    live = Live(spark, tmp_path)
+    now = datetime.now()
+    rows = [(A, "v1", "PROCESSED", None, 5, 1, now, None, None), (A, "v2", "QUEUED", now, 5, None, None, None, None),
+            (B, "v1", "DELETING", None, 5, 1, now, None, now - timedelta(minutes=11)), (C, "v1", "PROCESSED", None, 9, 1, now, None, None)]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    stored = spark.createDataFrame(rows, fixed.JOB_SCHEMA)
+    shift = F.timestamp_seconds(F.unix_timestamp(F.current_timestamp()))
+    stored = stored.withColumn("queued_at", F.when(F.col("queued_at").isNotNull(), shift)).withColumn(
+        "deleting_at", F.when(F.col("deleting_at").isNotNull(), shift - F.expr("interval 11 minutes")))
+    tables.write_jobs(stored, live.paths.jobs)
+    live.arrive((A, "finalize", 6), (B, "finalize", 5), (C, "finalize", 8))
+    live.reconcile()
+    got = {(u, v): (s, g) for u, v, s, g, _, _ in live.jobs()}
+    # One version of A is queued anew, the other waits; B's lease has run out; C is newer than the event.
+    assert got == {(A, "v1"): ("QUEUED", 6), (A, "v2"): ("QUEUED", 5), (B, "v1"): ("QUEUED", 5), (B, "v2"): ("QUEUED", 5),
+                   (C, "v1"): ("PROCESSED", 9), (C, "v2"): ("QUEUED", 8)}
+    assert (A, "v2", 1) not in live.tasks()
+    states = spark.createDataFrame([(A, "result", 5, "v2", "PROCESSED", 1, None)], act.reconcile.INPUT)
+    tables.write_batch(states, live.paths.states, "by-hand")
+    live.reconcile()
+    assert (A, "v2", 1) in live.tasks()
+
+
+def test_upload_between_lease_and_delete(spark, tmp_path):
+    """The listing read after the lease shows a newer object: rows and jobs stay, and the upload replaces them."""
+    live = Live(spark, tmp_path)
+    live.arrive((A, "finalize", 5), (B, "finalize", 5))
+    live.round()
+    live.arrive((A, "delete", 5), (B, "delete", 5))
+    live.listing = [(A, 8)]
+    live.reconcile()
+    assert {s for u, _, s, *_ in live.jobs()} == {"DELETING"} and {u for u, *_ in live.rows()} == {A}
+    live.arrive((A, "finalize", 8))
+    live.reconcile()
+    assert {(u, s, g, at) for u, _, s, g, _, at in live.jobs()} == {(A, "QUEUED", 8, None)}
+    assert live.rows() == []
+    live.round()
+    assert {(u, s, g) for u, _, s, g, *_ in live.jobs()} == {(A, "PROCESSED", 8)} and len(live.rows()) == 4
+
+
+def test_tasks_are_worked_once_whatever_is_repeated(spark, tmp_path):
+    """Failed tasks are handed over until their attempts are used up; a batch run again changes nothing."""
+    live = Live(spark, tmp_path)
+    bad = "gs://raw/bad.jpg"
+    live.arrive((A, "finalize", 1), (bad, "finalize", 1))
+    live.reconcile()
+    for _ in range(6):
+        live.work()
+    assert [t for t in live.tasks() if t[1] == "v1"] == [(A, "v1", 1), *[(bad, "v1", n) for n in range(1, 6)]]
+    errors = tables.read_errors(spark, live.paths.errors)
+    assert errors.count() == 10 and {r.error_message for r in errors.collect()} == {"model is down"}
+    before = live.rows(), live.tasks(), errors.count()
+    first = spark.createDataFrame([(u, v, 1, 1) for u in (A, bad) for v in ("v1", "v2")], act.TASK)
+    work.work_batch(spark, first, 0, rendered(spark), scorer, live.paths, F.current_timestamp(), fetch=lambda uri: uri.encode())
+    assert (live.rows(), live.tasks(), tables.read_errors(spark, live.paths.errors).count()) == before
+    live.reconcile()
+    got = {(u, v): (s, n) for u, v, s, _, n, _ in live.jobs()}
+    assert got == {(A, "v1"): ("PROCESSED", 1), (A, "v2"): ("PROCESSED", 1), (bad, "v1"): ("FAILED_RETRY", 5), (bad, "v2"): ("FAILED_RETRY", 5)}

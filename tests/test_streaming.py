@@ -24,6 +24,9 @@ class FakeMap:
     def updateValue(self, key, value):
         self.data[key] = value
 
+    def removeKey(self, key):
+        del self.data[key]
+
     def clear(self):
         self.data = {}
 
@@ -50,8 +53,8 @@ class Clock:
 class Driver:
     """Feeds one object's processor and collects what it decides."""
 
-    def __init__(self, versions=("v1",)):
-        self.handle, self.processor = FakeHandle(), ObjectProcessor(versions)
+    def __init__(self, versions=("v1",), leased=False):
+        self.handle, self.processor = FakeHandle(), ObjectProcessor(versions, leased=leased)
         self.processor.init(self.handle)
 
     @property
@@ -59,8 +62,8 @@ class Driver:
         return {k[0]: v for k, v in self.handle.maps["jobs"].data.items()}
 
     def feed(self, now, *rows):
-        columns = ["kind", "generation", "prompt_version_id", "status", "attempts"]
-        frame = pd.DataFrame([(*r, "", "", 0)[:5] if len(r) == 2 else r for r in rows], columns=columns)
+        columns = ["kind", "generation", "prompt_version_id", "status", "attempts", "error_message"]
+        frame = pd.DataFrame([(*r, *("", "", 0, "")[len(r) - 2 :]) for r in rows], columns=columns)
         (out,) = self.processor.handleInputRows(("u",), iter([frame]), Clock(now))
         return [(r.kind, r.outcome, r.generation, r.delete_superseded_rows) for r in out.itertuples()]
 
