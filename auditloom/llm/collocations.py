@@ -13,10 +13,12 @@ A word's hash stands for it only while no other word of the language shares it;
 otherwise all words are hashed anew with the next seed.
 """
 
-from itertools import count
+from collections import Counter, defaultdict
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ FILTER_BITS = 22
 #: Positions that are walked at a time, and rows of new phrases that a task holds before it hands them on.
 POSITIONS = 2_000_000
 HELD = 1_000_000
+#: Words that a task holds before it hands them on.
+HELD_WORDS = 500_000
 #: Stands before each piece, so that no phrase reaches across.
 BREAK = 0
 _FREE, _ROOT = -1, -2
@@ -262,22 +266,72 @@ def _numbered(phrases, purpose):
 
 
 # Separators of pieces become a full stop, which no word holds; A-Z become a-z and tabs spaces.
-_SEPARATORS = ",;:!?\n\x0b\x0c\r"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_PLAIN = str.maketrans(",;:!?\n\x0b\x0c\rABCDEFGHIJKLMNOPQRSTUVWXYZ\t", "." * 9 + "abcdefghijklmnopqrstuvwxyz ")
 
 
-def _words(text):
-    """Words of a text column, with a full stop before each piece."""
-    plain = F.translate(text, _SEPARATORS + _UPPER + "\t", "." * len(_SEPARATORS) + _LOWER + " ")
-    return F.split(F.concat(F.lit(". "), F.replace(F.coalesce(plain, F.lit("")), F.lit("."), F.lit(" . "))), " +")
+def _split(text):
+    """Words of a text and a full stop before each piece."""
+    return [".", *filter(None, text.translate(_PLAIN).replace(".", " . ").split(" "))] if text else ["."]
 
 
-def _is_word(word):
-    return (word != "") & (word != ".")
+def _hash(word, seed):
+    """A word's hash, as a signed number."""
+    value = xxhash.xxh64_intdigest(word.encode(), seed)
+    return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _hash(word, seed):
-    return F.xxhash64(F.lit(seed), word)
+def word_counts(texts):
+    """(lang, word, f) of all words of `texts` (lang, text)."""
+
+    def run(batches):
+        met = defaultdict(Counter)
+
+        def out():
+            rows = [(lang, word, n) for lang, words in met.items() for word, n in words.items() if word != "."]
+            names = ["lang", "word", "f"]
+            columns = list(zip(*rows)) or [(), (), ()]
+            kinds = (pa.string(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                met[lang].update(_split(text))
+            if sum(map(len, met.values())) > HELD_WORDS:
+                yield out()
+                met.clear()
+        yield out()
+
+    return texts.mapInArrow(run, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
+
+
+def with_hash(words, seed):
+    """`words` (lang, word, f) with the hash of each word."""
+
+    def run(batches):
+        for batch in batches:
+            hashes = pa.array([_hash(word, seed) for word in batch.column(1).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, hashes], names=["lang", "word", "f", "hash"])
+
+    return words.select("lang", "word", "f").mapInArrow(run, "lang string, word string, f long, hash long")
+
+
+def hashed_texts(texts, seed):
+    """`texts` (lang, text) as (lang, hashes), a `BREAK` standing before each piece."""
+
+    def run(batches):
+        known = {}
+        for batch in batches:
+            if len(known) > HELD_WORDS:
+                known = {}
+            lines = [_split(text) for text in batch.column(1).to_pylist()]
+            for word in set(chain.from_iterable(lines)) - known.keys():
+                known[word] = BREAK if word == "." else _hash(word, seed)
+            offsets = np.cumsum([0, *map(len, lines)]).astype(np.int32)
+            flat = np.fromiter(map(known.__getitem__, chain.from_iterable(lines)), np.int64, offsets[-1])
+            lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["lang", "hashes"])
+
+    return texts.mapInArrow(run, "lang string, hashes array<long>")
 
 
 def frequent_phrases(df, least=100, longest=5, lang_col="lang", text_col="text", most=TRIE_PHRASES):
@@ -285,17 +339,17 @@ def frequent_phrases(df, least=100, longest=5, lang_col="lang", text_col="text",
 
     Phrases are (lang, phrase, f, length), `phrase` being the hashes of the words.
     """
-    texts = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), _words(F.col(text_col)).alias("words"))
-    words = texts.select("lang", F.explode("words").alias("word")).where(_is_word(F.col("word")))
-    words = stored(words.groupBy("lang", "word").agg(F.count("*").alias("f")), "words")
+    spark = df.sparkSession
+    texts = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
+    words = stored(word_counts(texts), "words")
     for seed in count():
-        hashed = words.withColumn("hash", _hash(F.col("word"), seed))
+        hashed = stored(with_hash(words, seed), "hashed-words")
         shared = hashed.groupBy("lang", "hash").agg(F.count("*").alias("words"), F.sum("f").alias("f"))
         # Rare words that share a hash matter only if it then looks frequent.
         if shared.where((F.col("f") >= least) & ((F.col("words") > 1) | (F.col("hash") == BREAK))).isEmpty():
             break
-    line = F.transform("words", lambda w: F.when(_is_word(w), _hash(w, seed)).otherwise(F.lit(BREAK)))
-    texts = stored(texts.select("lang", line.alias("hashes")), "hashes")
+    # As many shards as tasks run at a time: each hands on its sums once.
+    texts = stored(hashed_texts(texts, seed), "hashes").coalesce(spark.sparkContext.defaultParallelism)
     found = hashed.where(F.col("f") >= least).select("lang", F.array("hash").alias("phrase"), "f")
     levels = [_numbered(found, "frequent")]
     for length in range(1, longest):
@@ -324,6 +378,9 @@ def collocations(df, least=100, longest=5, inside=100, first=2000, lang_col="lan
     texts are taken whole. Languages without phrases have no rows. Other columns
     are not looked at.
     """
+    # Spark cuts ranked groups down before their shuffle up to this rank.
+    limit = "spark.sql.optimizer.windowGroupLimitThreshold"
+    df.sparkSession.conf.set(limit, str(max(first, int(df.sparkSession.conf.get(limit)))))
     words, phrases = frequent_phrases(df, least, longest, lang_col, text_col, most)
     phrases = stored(phrases, "phrases")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))

@@ -105,6 +105,12 @@ def test_colliding_hashes_are_hashed_anew(spark, monkeypatch):
     assert found(spark, rows, least=5) == sorted(expected(rows, 5, 5, 100, 2000))
 
 
+def test_words_are_handed_on_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(co, "HELD_WORDS", 3)
+    rows = texts(3, 40)
+    assert found(spark, rows, least=3) == sorted(expected(rows, 3, 5, 100, 2000))
+
+
 def test_double_array_finds_its_phrases_and_no_others():
     made = np.random.default_rng(6)
     for length in (1, 2, 4):
