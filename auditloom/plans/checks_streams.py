@@ -1,5 +1,7 @@
 """Checked queries: Structured Streaming jobs run to the end of their input."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from auditloom.operators import events
@@ -7,7 +9,8 @@ from auditloom.plans import checks_responses
 from auditloom.plans import standins as S
 from auditloom.plans.registry import query
 from auditloom.session import shared_dir
-from auditloom.streaming import ingest, reconcile
+from auditloom.sources import tables
+from auditloom.streaming import act, ingest, reconcile, work
 
 
 def event_stream(spark, sf_dir):
@@ -130,3 +133,96 @@ def stream_ingest(spark, sf_dir):
         stream, rows, shared_dir(spark, "errors"), shared_dir(spark, "state")
     ).awaitTermination()
     return checks_responses.rounded(ingest.read_rows(spark, rows, ["audit_id"]), "audit_id")
+
+
+def scorer():
+    """Answers with one material, whose weight follows from the object's name."""
+
+    def score(content, prompt, model, settings):
+        return json.dumps({"TotalWeightLbs": len(content), "Paper": {"Boxes": 0.25}})
+
+    return score
+
+
+def catalogue(spark):
+    """The two versions of the stand-ins with a prompt each."""
+    rows = S.view(spark, "", "versions").withColumn("model_name", F.concat(F.lit("model "), "prompt_version_id"))
+    return rows.select(
+        "*", F.lit("look").alias("prompt_text"), F.lit("be exact").alias("system_instruction"),
+        F.lit("HIGH").alias("thinking_level"), F.lit(False).alias("code_execution"),
+    )
+
+
+def run_live(spark, sf_dir, paths):
+    """The live audit over all events, batch by batch until nothing is left to do."""
+    check = shared_dir(spark, "live-check")
+    tables.write_jobs(S.jobs(spark, sf_dir), paths.jobs)
+
+    def listing():
+        return S.view(spark, sf_dir, "inventory")
+
+    def reconciled():
+        arrivals = event_stream(spark, sf_dir).select("gcs_uri", "kind", "generation")
+        act.start(arrivals, ["v1", "v2"], paths, listing, f"{check}/act", trigger={"once": True}).awaitTermination()
+
+    reconciled()
+    work.start_work(
+        spark, catalogue(spark), scorer, paths, f"{check}/work", trigger={"once": True}, fetch=lambda uri: uri.encode()
+    ).awaitTermination()
+    # Results release waiting deletes; each delete ends in the batch after its own, at most two wait for one another.
+    for _ in range(4):
+        reconciled()
+
+
+# What the stand-in jobs and events come to. No lease of the stored jobs still runs, as their times are long past.
+LIVE = """
+, e as (select * from object_events where regexp_matches(lower(gcs_uri), '\\.(jpg|jpeg|png)$')),
+fin as (select gcs_uri, max(generation) as g, bool_or(generation is null) as bare
+  from e where kind = 'finalize' group by gcs_uri),
+pairs as (select gcs_uri, prompt_version_id from fin cross join versions
+  union select gcs_uri, prompt_version_id from jobs_by_age),
+state as (
+  select p.gcs_uri, p.prompt_version_id, j.status, j.generation as stored, j.attempts, j.gcs_uri is not null as known,
+    f.g, coalesce(f.bare, false) as bare, f.gcs_uri is not null as arrived
+  from pairs p left join jobs_by_age j on j.gcs_uri = p.gcs_uri and j.prompt_version_id = p.prompt_version_id
+  left join fin f on f.gcs_uri = p.gcs_uri),
+decided as (
+  select *, arrived and (not known or coalesce(g > stored, g is not null) or (g = stored and status <> 'PROCESSED'))
+      as by_generation,
+    arrived and known and bare and status <> 'PROCESSED' as without from state),
+queued as (
+  select gcs_uri, prompt_version_id, by_generation or without as queued,
+    case when by_generation then g when without then null else stored end as generation, status, attempts
+  from decided),
+newest as (select gcs_uri, max(coalesce(generation, 0)) as g from queued group by gcs_uri),
+deletes as (
+  select d.gcs_uri, bool_or(d.generation is null) as bare, max(d.generation) as g
+  from e d left join newest n on n.gcs_uri = d.gcs_uri
+  where d.kind = 'delete' and (d.generation is null or d.generation >= coalesce(n.g, 0)) group by d.gcs_uri),
+gone as (
+  select d.gcs_uri from deletes d left join (select gcs_uri, max(generation) as live from inventory group by gcs_uri) i
+    on i.gcs_uri = d.gcs_uri where d.bare or i.live is null or i.live <= d.g)
+"""
+
+
+@query(
+    "stream_audit",
+    S.with_views(
+        "object_events versions jobs_by_age inventory",
+        LIVE
+        + """
+        select gcs_uri, prompt_version_id, case when queued then 'PROCESSED' else status end as status, generation,
+          case when queued then 1 else attempts end as attempts, case when queued then 2 else 0 end as result_rows
+        from queued where gcs_uri not in (select gcs_uri from gone)""",
+    ),
+)
+def stream_audit(spark, sf_dir):
+    """Job and result tables after the live audit of all events, begun with the stored jobs."""
+    paths = act.Paths.under(shared_dir(spark, "live"))
+    run_live(spark, sf_dir, paths)
+    rows = tables.read_results(spark, paths.results).groupBy("gcs_uri", "prompt_version_id")
+    rows = rows.agg(F.count("*").alias("result_rows"))
+    return tables.read_jobs(spark, paths.jobs).join(rows, ["gcs_uri", "prompt_version_id"], "left").select(
+        "gcs_uri", "prompt_version_id", "status", "generation", "attempts",
+        F.coalesce("result_rows", F.lit(0)).alias("result_rows"),
+    )

@@ -1,6 +1,7 @@
 """Checked queries: table changes and the URL refresh."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from auditloom import fixed
 from auditloom.operators import mutate, refresh
@@ -135,8 +136,9 @@ def _stored(spark, sf_dir):
     """The stand-in results written as a table in the shared folder."""
     path = shared_dir(spark, "results")
     rows = S.view(spark, sf_dir, "results").withColumn("material", F.col("line_no").cast("string"))
-    order = [c.split()[0] for c in fixed.RESULT_SCHEMA.split(", ")]
-    tables.write_results(mutate.evolve(rows, fixed.RESULT_SCHEMA).select(*order), path)
+    declared = StructType.fromDDL(fixed.RESULT_SCHEMA).fields
+    whole = mutate.evolve(rows, fixed.RESULT_SCHEMA)
+    tables.write_results(whole.select(*[F.col(f.name).cast(f.dataType) for f in declared]), path)
     return path
 
 
