@@ -220,7 +220,7 @@ def described(df, extra=()):
 def trained(documents, labels):
     """The model of `labels.quality`, fitted without held-out rows."""
     sample = described(labelled_sample(documents, labels, "quality", 3, 1), ("doc_id", "label"))
-    fetched = sample.select("doc_id", "label", "features").collect()  # at most FIT_ROWS ids
+    fetched = sample.select("doc_id", "label", "features").collect()  # at most FIT_ROWS rows
     fetched.sort(key=lambda r: (r.doc_id, r.label, r.features))
     rows = np.array([r.features for r in fetched], float).reshape(len(fetched), len(FEATURES))
     return fit(rows, [r.label for r in fetched])

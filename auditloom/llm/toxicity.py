@@ -42,8 +42,6 @@ LEAST_CONTEXTS, LEAST_SHARE = 12, 0.8
 MOST_ONE_WORD = 0.7
 #: A longer stem replaces a shorter one if it keeps that share of its contexts.
 KEPT_CONTEXTS = 0.9
-#: Most learned terms of a model.
-LEXICON = 5_000
 #: Words that a target or negation reaches.
 TARGET_REACH, NEGATION_REACH = 4, 3
 
@@ -185,11 +183,14 @@ def term_counts(sample):
 
 
 def learned_terms(sample):
-    """(words, stems) that mark toxic documents, at most `LEXICON`."""
+    """(words, stems) that mark toxic documents.
+
+    Each needs its own contexts in the sample, whose size bounds their number.
+    """
     share = F.col("toxic") / (F.col("toxic") + F.col("clean") + 1)
     strong = term_counts(sample).filter((F.col("toxic") >= LEAST_CONTEXTS) & (share >= LEAST_SHARE))
     productive = ~F.col("stem") | (F.col("top") <= MOST_ONE_WORD * F.col("toxic"))
-    best = strong.filter(productive).orderBy(F.desc("toxic"), "term", "stem").limit(LEXICON).collect()
+    best = strong.filter(productive).collect()
     stems = {r.term: r.toxic for r in best if r.stem}
     for stem in sorted(stems, key=len, reverse=True):
         longer = [t for t in stems if len(t) > len(stem) and t.startswith(stem)]
@@ -234,7 +235,7 @@ def trained(documents, labels):
     sample = labelled_sample(documents, labels, "toxic", 5, 0)
     words, stems = learned_terms(sample)
     grammar = Grammar(words, stems)
-    fetched = _rows(sample, grammar, ["doc_id", "label"]).collect()  # at most FIT_ROWS ids
+    fetched = _rows(sample, grammar, ["doc_id", "label"]).collect()  # at most FIT_ROWS rows
     if fetched:
         fetched.sort(key=lambda r: (r.doc_id, r.label, r.row))
         rows, labels_ = np.array([r.row for r in fetched]), np.array([r.label for r in fetched], float)
