@@ -22,14 +22,15 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import query, table
 from auditloom.llm.components import stored
 from auditloom.operators.joins import folded
 
-#: Documents that trigrams are counted on, at most, and languages that are told apart, at most.
-FIT_ROWS, LANGUAGES = 20_000, 64
+#: Documents of each language that trigrams are counted on, at most.
+LANGUAGE_ROWS = 1_000
 #: Trigrams fall into that many bins.
 BINS = 1 << 14
 #: A longer text counts as so many independent trigrams.
@@ -59,10 +60,18 @@ def trigrams(text):
 
 
 def trained(documents):
-    """(languages, log-probability of each bin in each language), from at most `FIT_ROWS` documents."""
-    named = documents.filter("lang is not null and doc_id is not null and text is not null")
-    chosen = named.select("doc_id").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(FIT_ROWS)
-    sample = named.select("doc_id", "lang", "text").join(F.broadcast(chosen.distinct()), "doc_id")
+    """(languages, log-probability of each bin in each language) of all languages of `documents`.
+
+    Each language is learned from at most `LANGUAGE_ROWS` documents, chosen by a
+    hash of their ids and texts. The table has `BINS` numbers a language.
+    """
+    named = documents.filter("lang is not null and text is not null").select("lang", "text")
+    named = named.withColumn("place", F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy("place")
+    # Copies of a text stand for one document. Only languages and hashes are ranked.
+    ranked = named.select("lang", "place").distinct().withColumn("rank", F.row_number().over(order))
+    chosen = ranked.filter(F.col("rank") <= LANGUAGE_ROWS).select("lang", "place")
+    sample = named.join(chosen, ["lang", "place"], "left_semi").dropDuplicates(["lang", "place"])
 
     def run(batches):
         for batch in batches:
@@ -80,11 +89,11 @@ def trained(documents):
     counted = sample.select("lang", "text").mapInArrow(run, "lang string, bin long, n long")
     counted = counted.groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     counted = stored(counted, "trigrams")
-    common = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    languages = sorted(r.lang for r in common)
+    languages = sorted(r.lang for r in counted.select("lang").distinct().collect())
+    place = {lang: i for i, lang in enumerate(languages)}
     table_ = np.full((len(languages), BINS), 0.5)
-    for r in counted.filter(F.col("lang").isin(languages)).collect():  # at most LANGUAGES * BINS numbers
-        table_[languages.index(r.lang), r.bin] += r.n
+    for r in counted.toLocalIterator():  # at most BINS numbers a language
+        table_[place[r.lang], r.bin] += r.n
     return languages, np.log(table_ / table_.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
