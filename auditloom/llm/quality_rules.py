@@ -66,34 +66,64 @@ def words(text):
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_CLASS))
 
 
+def window_hash(window):
+    """A hash of a window's words, given as columns."""
+    return F.xxhash64(*window)
+
+
 def repeated_words(words_, window=3):
-    """Words in windows that are found twice or more in an array of words."""
+    """Words in windows that are found twice or more in an array of words.
+
+    Places are sorted by the hash of their window, in one number each where hash
+    and place fit into it, and neighbours are compared word by word. Where
+    different windows of a text turn out to share a hash, its places are sorted
+    by the words themselves, so that the count is exact.
+    """
     size = F.size(words_)
     last = size - window
+    places_ = F.sequence(F.lit(0), last)
+    shown = lambda i: [F.get(words_, (i + k).cast("int")) for k in range(window)]
 
-    def packed(w, bits):
-        hashed = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(window)])
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.shiftleft(hashed(i), bits).bitwiseOR(i.cast("long")))
+    def packed(bits):
+        return F.transform(places_, lambda i: F.shiftleft(window_hash(shown(i)), bits).bitwiseOR(i.cast("long")))
 
-    def plain(w):
-        hashed = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(window)])
+    def plain():
+        return F.transform(places_, lambda i: F.struct(window_hash(shown(i)).alias("h"), i.cast("long").alias("p")))
+
+    def spelled():
         return F.transform(
-            F.sequence(F.lit(0), last), lambda i: F.struct(hashed(i).alias("h"), i.cast("long").alias("p"))
+            places_,
+            lambda i: F.struct(*[w.alias(f"w{k}") for k, w in enumerate(shown(i))], i.cast("long").alias("p")),
         )
 
-    def found(sorted_, hash_of, place_of):
+    def met_again(sorted_, same, place_of):
+        again = F.filter(sorted_, lambda x, i: same(x, F.get(sorted_, i - 1)) | same(x, F.get(sorted_, i + 1)))
+        return F.sort_array(F.transform(again, place_of))
+
+    def exactly():
         def same(a, b):
             equal = F.lit(True)
             for k in range(window):
-                equal = equal & (
-                    F.get(words_, (place_of(a) + k).cast("int")) == F.get(words_, (place_of(b) + k).cast("int"))
-                )
-            return F.coalesce((hash_of(a) == hash_of(b)) & equal, F.lit(False))
+                equal = equal & (a[f"w{k}"] == b[f"w{k}"])
+            return F.coalesce(equal, F.lit(False))
 
-        again = F.filter(
-            sorted_, lambda x, i: same(x, F.get(sorted_, i - 1)) | same(x, F.get(sorted_, i + 1))
-        )
-        return F.sort_array(F.transform(again, place_of))
+        return let(F.sort_array(spelled()), lambda s: met_again(s, same, lambda x: x["p"]))
+
+    def found(sorted_, hash_of, place_of):
+        def equal(a, b):
+            words_equal = F.lit(True)
+            for mine, other in zip(shown(place_of(a)), shown(place_of(b))):
+                words_equal = words_equal & (mine == other)
+            return words_equal
+
+        def same(a, b):
+            return F.coalesce((hash_of(a) == hash_of(b)) & equal(a, b), F.lit(False))
+
+        def clash(a, b):
+            return F.coalesce((hash_of(a) == hash_of(b)) & ~equal(a, b), F.lit(False))
+
+        clashes = F.filter(sorted_, lambda x, i: clash(x, F.get(sorted_, i + 1)))
+        return F.when(F.size(clashes) > 0, exactly()).otherwise(met_again(sorted_, same, place_of))
 
     def covered(places):
         zero = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
@@ -108,10 +138,10 @@ def repeated_words(words_, window=3):
 
     bits = 20
     short = let(
-        F.sort_array(packed(words_, bits)),
+        F.sort_array(packed(bits)),
         lambda s: found(s, lambda x: F.shiftright(x, bits), lambda x: x.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))),
     )
-    long = let(F.sort_array(plain(words_)), lambda s: found(s, lambda x: x["h"], lambda x: x["p"]))
+    long = let(F.sort_array(plain()), lambda s: found(s, lambda x: x["h"], lambda x: x["p"]))
     places = F.when(size < window, F.array().cast("array<bigint>")).when(size <= 1 << bits, short).otherwise(long)
     return covered(places)
 
