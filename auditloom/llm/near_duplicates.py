@@ -238,7 +238,7 @@ def near_duplicates(documents, id_col="doc_id", text_col="text", percent=PERCENT
     members = nodes.select("node", "d1", "d2", "low").join(labels, "node", "left")
     members = members.withColumn("label", F.coalesce("label", "node"))
     lowest = folded(members, "label", F.min("low").alias("component_id"))
-    members = members.join(lowest, "label").select("d1", "d2", "component_id", F.lit(True).alias("full"))
+    members = members.join(lowest, "label").select("d1", "d2", "component_id", "label", F.lit(True).alias("full"))
     rows_ = signed.join(members, ["d1", "d2"], "left")
     component = F.when(F.col("full"), F.col("component_id")).otherwise(F.col("id"))
     return rows_.select(
@@ -248,12 +248,21 @@ def near_duplicates(documents, id_col="doc_id", text_col="text", percent=PERCENT
         F.coalesce(F.col("id") == component, F.col("id").isNull() & component.isNull()).alias("kept"),
         "k1",
         "k2",
+        F.col("label").alias("group"),
     )
 
 
 def without_near_duplicates(documents, percent=PERCENT):
-    """The rows of `documents` of which one stays in each group, all columns kept."""
-    kept = near_duplicates(documents, percent=percent).filter("kept").select("k1", "k2").distinct()
+    """The rows of `documents` of which one stays in each group, all columns kept.
+
+    A group keeps its row of the smallest id, nulls last, whatever ids its rows
+    share; rows without words form no groups, and of equal ones one stays.
+    """
+    found = near_duplicates(documents, percent=percent).withColumnRenamed("doc_id", "id")
+    rank = F.struct(F.col("id").isNull(), "id", "k1", "k2")
+    first = found.filter("group is not null").groupBy("group").agg(F.min(rank).alias("first"))
+    alone = found.filter("group is null").select("k1", "k2")
+    kept = first.select("first.k1", "first.k2").union(alone).distinct()
     keyed = documents.withColumns(
         {
             "_near_k1": F.xxhash64(F.lit(1), "doc_id", "text"),
@@ -287,4 +296,4 @@ ORACLE = r"""
 @query("op10_near_duplicates", ORACLE)
 def op10_near_duplicates(spark, sf_dir):
     """Components of near-duplicate documents."""
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("k1", "k2")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("k1", "k2", "group")
