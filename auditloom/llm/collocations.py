@@ -31,9 +31,9 @@ TRIE_PHRASES = 500_000
 FILTER_BITS = 22
 #: Positions that are walked at a time, and rows of new phrases that a task holds before it hands them on.
 POSITIONS = 2_000_000
-HELD = 1_000_000
+HELD = 500_000
 #: Words that a task holds before it hands them on.
-HELD_WORDS = 500_000
+HELD_WORDS = 100_000
 #: Stands before each piece, so that no phrase reaches across.
 BREAK = 0
 _FREE, _ROOT = -1, -2
@@ -287,19 +287,19 @@ def word_counts(texts):
         met = defaultdict(Counter)
 
         def out():
-            rows = [(lang, word, n) for lang, words in met.items() for word, n in words.items() if word != "."]
-            names = ["lang", "word", "f"]
-            columns = list(zip(*rows)) or [(), (), ()]
-            kinds = (pa.string(), pa.string(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            for lang, words in met.items():
+                words.pop(".", None)
+                columns = [pa.array([lang] * len(words), pa.string()), pa.array(words.keys(), pa.string())]
+                columns.append(pa.array(words.values(), pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "f"])
+            met.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 met[lang].update(_split(text))
             if sum(map(len, met.values())) > HELD_WORDS:
-                yield out()
-                met.clear()
-        yield out()
+                yield from out()
+        yield from out()
 
     return texts.mapInArrow(run, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
