@@ -7,5 +7,6 @@ from auditloom.plans import (  # noqa: F401
     checks_responses,
     checks_streams,
     checks_tables,
+    checks_work,
 )
 from auditloom.plans.registry import ORACLES, QUERIES  # noqa: F401

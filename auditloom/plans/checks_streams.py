@@ -136,9 +136,11 @@ def stream_ingest(spark, sf_dir):
 
 
 def scorer():
-    """Answers with one material, whose weight follows from the object's name."""
+    """Answers with one material, whose weight follows from the object's name; it fails on some objects."""
 
     def score(content, prompt, model, settings):
+        if content.rpartition(b".")[0].endswith(b"7"):
+            raise RuntimeError("model is down")
         return json.dumps({"TotalWeightLbs": len(content), "Paper": {"Boxes": 0.25}})
 
     return score
@@ -166,6 +168,7 @@ def run_live(spark, sf_dir, paths):
         act.start(arrivals, ["v1", "v2"], paths, listing, f"{check}/act", trigger={"once": True}).awaitTermination()
 
     reconciled()
+    # One batch of tasks: those that fail are handed over again, but not worked here.
     work.start_work(
         spark, catalogue(spark), scorer, paths, f"{check}/work", trigger={"once": True}, fetch=lambda uri: uri.encode()
     ).awaitTermination()
@@ -192,6 +195,7 @@ decided as (
     arrived and known and bare and status <> 'PROCESSED' as without from state),
 queued as (
   select gcs_uri, prompt_version_id, by_generation or without as queued,
+    (by_generation or without) and regexp_matches(gcs_uri, '7\\.[A-Za-z]+$') as broken,
     case when by_generation then g when without then null else stored end as generation, status, attempts
   from decided),
 newest as (select gcs_uri, max(coalesce(generation, 0)) as g from queued group by gcs_uri),
@@ -199,9 +203,10 @@ deletes as (
   select d.gcs_uri, bool_or(d.generation is null) as bare, max(d.generation) as g
   from e d left join newest n on n.gcs_uri = d.gcs_uri
   where d.kind = 'delete' and (d.generation is null or d.generation >= coalesce(n.g, 0)) group by d.gcs_uri),
+-- A failed job is retried for a while, and a delete waits for that long.
 gone as (
   select d.gcs_uri from deletes d left join (select gcs_uri, max(generation) as live from inventory group by gcs_uri) i
-    on i.gcs_uri = d.gcs_uri where d.bare or i.live is null or i.live <= d.g)
+    on i.gcs_uri = d.gcs_uri where (d.bare or i.live is null or i.live <= d.g) and d.gcs_uri not in (select gcs_uri from queued where broken))
 """
 
 
@@ -211,18 +216,20 @@ gone as (
         "object_events versions jobs_by_age inventory",
         LIVE
         + """
-        select gcs_uri, prompt_version_id, case when queued then 'PROCESSED' else status end as status, generation,
-          case when queued then 1 else attempts end as attempts, case when queued then 2 else 0 end as result_rows
+        select gcs_uri, prompt_version_id, generation, case when queued then 1 else attempts end as attempts,
+          case when broken then 'FAILED_RETRY' when queued then 'PROCESSED' else status end as status,
+          case when queued and not broken then 2 else 0 end as result_rows, case when broken then 1 else 0 end as error_rows
         from queued where gcs_uri not in (select gcs_uri from gone)""",
     ),
 )
 def stream_audit(spark, sf_dir):
-    """Job and result tables after the live audit of all events, begun with the stored jobs."""
+    """Job, result and error tables after the live audit of all events, begun with the stored jobs."""
     paths = act.Paths.under(shared_dir(spark, "live"))
     run_live(spark, sf_dir, paths)
-    rows = tables.read_results(spark, paths.results).groupBy("gcs_uri", "prompt_version_id")
-    rows = rows.agg(F.count("*").alias("result_rows"))
-    return tables.read_jobs(spark, paths.jobs).join(rows, ["gcs_uri", "prompt_version_id"], "left").select(
-        "gcs_uri", "prompt_version_id", "status", "generation", "attempts",
-        F.coalesce("result_rows", F.lit(0)).alias("result_rows"),
+    key = ["gcs_uri", "prompt_version_id"]
+    rows = tables.read_results(spark, paths.results).groupBy(*key).agg(F.count("*").alias("result_rows"))
+    errors = tables.read_errors(spark, paths.errors).groupBy(*key).agg(F.count("*").alias("error_rows"))
+    return tables.read_jobs(spark, paths.jobs).join(rows, key, "left").join(errors, key, "left").select(
+        *key, "status", "generation", "attempts",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("result_rows", "error_rows")],
     )

@@ -132,7 +132,7 @@ def schema_evolve(spark, sf_dir):
     return mutate.evolve(rows, "image_id string, class string, scaled_weight double")
 
 
-def _stored(spark, sf_dir):
+def stored_results(spark, sf_dir):
     """The stand-in results written as a table in the shared folder."""
     path = shared_dir(spark, "results")
     rows = S.view(spark, sf_dir, "results").withColumn("material", F.col("line_no").cast("string"))
@@ -161,7 +161,7 @@ def _stored(spark, sf_dir):
 )
 def table_changes(spark, sf_dir):
     """Append, delete and merge on a stored table, then read it back."""
-    path = _stored(spark, sf_dir)
+    path = stored_results(spark, sf_dir)
     gone = checks_jobs.plan(spark, sf_dir).where(F.col("action") == fixed.ACTION_DELETE)
     deleted = tables.apply_delete(spark, path, uris=gone)
     updated = tables.apply_merge(spark, path, S.view(spark, sf_dir, "updates"))

@@ -222,3 +222,55 @@ def refresh_urls(spark, results_path, thumbs, sign, now, due_only=False):
     updates = kept(refresh.url_payload(first, thumbs, sign), "updates")
     tables.apply_merge(spark, results_path, updates)
     return updates.count(), refresh.thumb_backlog(first, thumbs)
+
+
+def follow_signed(spark, results_path, signed_path, checkpoint):
+    """Note when the URLs of newly appended images were made, from the appended rows only.
+
+    A stream over the result folders that ends with its input. Folders that a
+    change has put in place are read again; their older times do no harm, since
+    the latest time of an image counts.
+    """
+    rows = (
+        spark.readStream.schema("image_id string, processing_timestamp timestamp, run string, part int")
+        .option("ignoreMissingFiles", "true")
+        .parquet(results_path)
+    )
+
+    def note(batch, number):
+        made = batch.where("image_id is not null").groupBy("image_id")
+        tables.write_batch(made.agg(F.max("processing_timestamp").alias("signed_at")), signed_path, number)
+
+    started = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(note)
+    started.trigger(availableNow=True).start().awaitTermination()
+
+
+def due_images(spark, signed_path, now, slack="2 days"):
+    """Images whose URLs expire within `slack`, by the side table of `follow_signed`."""
+    if not tables.path_exists(spark, signed_path):
+        return spark.createDataFrame([], "image_id string")
+    signed = spark.read.schema("image_id string, signed_at timestamp, batch_id string").parquet(signed_path)
+    bound = now + F.expr(f"interval {slack}") - F.expr(f"interval {fixed.URL_LIFETIME}")
+    return signed.groupBy("image_id").agg(F.max("signed_at").alias("at")).where(F.col("at") <= bound).select("image_id")
+
+
+def refresh_due(spark, results_path, signed_path, checkpoint, thumbs, sign, now, slack="2 days"):
+    """New URLs for the images about to expire, without a scan of the results.
+
+    The due images come from a side table (image, time signed), which a stream
+    fills from appended rows and each refresh adds to. Only the parts of the
+    result table that hold due images are read and changed. Returns the due
+    images and the number of updated rows. A refresh that breaks off before its
+    note is repeated by the next one.
+    """
+    follow_signed(spark, results_path, signed_path, checkpoint)
+    due = kept(due_images(spark, signed_path, now, slack), "due")
+    if due.isEmpty():
+        return due, 0
+    table = tables.ResultTable(spark, results_path)
+    rows = table.rows(table.parts_of(due, "image_id")).join(unique(due, "image_id"), "image_id", "left_semi")
+    first = refresh.first_per_image(refresh.active_records(rows))
+    updates = kept(refresh.url_payload(first, thumbs, sign), "updates")
+    updated = tables.apply_merge(spark, results_path, updates)
+    tables.write_batch(due.withColumn("signed_at", now), signed_path, f"refresh-{tables.new_run()}")
+    return due, updated
