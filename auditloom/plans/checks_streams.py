@@ -10,7 +10,7 @@ from auditloom.plans import standins as S
 from auditloom.plans.registry import query
 from auditloom.session import shared_dir
 from auditloom.sources import tables
-from auditloom.streaming import act, ingest, reconcile, work
+from auditloom.streaming import act, arrivals, ingest, reconcile, work
 
 
 def event_stream(spark, sf_dir):
@@ -233,3 +233,29 @@ def stream_audit(spark, sf_dir):
         *key, "status", "generation", "attempts",
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("result_rows", "error_rows")],
     )
+
+
+@query(
+    "stream_arrivals",
+    """
+    with v as (select event_id % 24 as k, case when event_type = 'error' then 'delete' else 'finalize' end as kind from events),
+    r as (select kind, case when k in (10, 11) then 'not_an_object' when k in (0, 1, 2, 3, 16, 17) then 'bad_bucket'
+      when k in (4, 5, 18) then 'bad_name' when k in (6, 7, 8, 9, 19) then 'bad_generation' end as reason from v)
+    select kind, reason, count(*) as lines from r group by kind, reason""",
+)
+def stream_arrivals(spark, sf_dir):
+    """Lines of both routes by reason, read in batches of one file, with a restart in between."""
+    paths = {name: shared_dir(spark, name) for name in ("finalize", "delete", "accepted", "rejected", "check")}
+    events_ = S.table(spark, sf_dir, "events").select("event_id", "event_type")
+    lines = S.view(spark, sf_dir, "event_lines").join(events_, "event_id")
+    for half in range(2):
+        some = lines.where(F.col("event_id") % 2 == half)
+        for kind, wanted in (("delete", F.col("event_type") == "error"), ("finalize", F.col("event_type") != "error")):
+            some.where(wanted).select("value").repartition(3).write.mode("append").text(paths[kind])
+        routes = arrivals.read_routes(spark, paths["finalize"], paths["delete"], files=1)
+        started = arrivals.start_arrivals(routes, paths["accepted"], paths["rejected"], paths["check"])
+        started.awaitTermination()
+    good = spark.read.schema(arrivals.ACCEPTED).parquet(paths["accepted"]).withColumn("reason", F.lit(None).cast("string"))
+    bad = spark.read.schema(arrivals.REJECTED).parquet(paths["rejected"])
+    both = good.select("kind", "reason").union(bad.select("kind", "reason"))
+    return both.groupBy("kind", "reason").agg(F.count("*").alias("lines"))

@@ -111,12 +111,14 @@ def work(spark, tasks, rendered, make_scorer, jobs_path, results_path, errors_pa
 
 def process(
     spark, tasks, rendered, make_scorer, results_path, errors_path, now, run=None,
-    images=None, fetch=None, thumbs=True, sign=None, partitions=None,
+    images=None, fetch=None, thumbs=True, sign=None, partitions=None, listing=None,
 ):
     """Tasks to result rows and error rows of the run `run`; returns one outcome a task.
 
     `tasks` carries gcs_uri, prompt_version_id and attempt. Bytes come from
-    the `images` frame or from `fetch(uri)`. Scoring is the costly step, so its
+    the `images` frame or from `fetch(uri)`. With a `listing` (gcs_uri, length) and
+    `partitions` each object is fetched once for all its versions, in partitions
+    of about equal bytes. Scoring is the costly step, so its
     output is written before anything else reads it, and so is what is parsed
     from it.
     """
@@ -127,11 +129,13 @@ def process(
         F.concat(F.lit("Prompt version '"), F.col("prompt_version_id"), F.lit("' not found.")),
     )
     known = catalogue.with_prompts(tasks, rendered)
-    if partitions:
-        known = scoring.spread(known, partitions)
-    if images is not None:
-        known = scoring.with_content(known, images)
-    scored = kept(scoring.score(known, make_scorer, fetch=fetch), "scored")
+    if listing is not None:
+        whole = scoring.balanced(scoring.image_tasks(known, listing), partitions)
+        scored = kept(scoring.score_images(whole, make_scorer, fetch), "scored")
+    else:
+        known = scoring.spread(known, partitions) if partitions else known
+        known = scoring.with_content(known, images) if images is not None else known
+        scored = kept(scoring.score(known, make_scorer, fetch=fetch), "scored")
 
     parsed = responses.score_rows(responses.parse_responses(scored))
     full = responses.with_payload(parsed).withColumn(
