@@ -194,3 +194,56 @@ def missing_keys(df, id_col, key_col, required):
         .agg(held.alias("_held"))
         .select(id_col, F.explode(F.array_except(wanted, F.col("_held"))).alias("missing_key"))
     )
+
+
+def refusals(general, models, materials, keys=fixed.GENERAL_KEYS):
+    """One row with `reasons`, why a set of sheets cannot be used; empty for a sound set.
+
+    A set is refused when a required general key is absent, when no material is
+    valid, or when no version is usable. All is one aggregate over the sheets.
+    """
+    known = general_values(general).agg(F.collect_set(F.when(F.col("key").isin(*keys), F.col("key"))))
+    some_material = valid_materials(materials).agg(F.count("*") > 0)
+    some_version = config_versions(models, general).agg(F.count("*") > 0)
+    none = F.array().cast("array<string>")
+    absent = [
+        F.when(F.array_contains(known.scalar(), k), none).otherwise(F.array(F.lit(f"missing_key {k}"))) for k in keys
+    ]
+    return general.sparkSession.range(1).select(
+        F.concat(
+            *absent,
+            F.when(some_material.scalar(), none).otherwise(F.array(F.lit("no_valid_material"))),
+            F.when(some_version.scalar(), none).otherwise(F.array(F.lit("no_usable_version"))),
+        ).alias("reasons")
+    )
+
+
+def verdicts(sources, keys=fixed.GENERAL_KEYS):
+    """(place, source, reasons) of each named set of sheets, in the order of preference."""
+    rows = [
+        refusals(*sheets, keys).select(F.lit(place).alias("place"), F.lit(name).alias("source"), "reasons")
+        for place, (name, sheets) in enumerate(sources.items())
+    ]
+    whole = rows[0]
+    for row in rows[1:]:
+        whole = whole.union(row)
+    return whole
+
+
+def chosen(sources, keys=fixed.GENERAL_KEYS):
+    """(source, general, models, materials) of the first sound set among `sources`.
+
+    `sources` maps names to sets of sheets, best first; the last one is taken if
+    none is sound. The choice is a scalar of the plan, so the sheets are checked
+    when the result is run and not by the driver beforehand.
+    """
+    sound = (F.size("reasons") == 0) | (F.col("place") == len(sources) - 1)
+    pick = verdicts(sources, keys).where(sound).agg(F.min_by("source", "place").alias("source"))
+    sheets = []
+    for place in range(3):
+        whole = None
+        for name, one in sources.items():
+            rows = one[place].withColumn("_source", F.lit(name))
+            whole = rows if whole is None else whole.unionByName(rows)
+        sheets.append(whole.where(F.col("_source") == pick.scalar()).drop("_source"))
+    return pick, *sheets

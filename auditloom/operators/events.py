@@ -71,8 +71,12 @@ def fan_out(events, versions):
 
 
 def with_model_name(df, models):
-    """Model name of each row's version, `unknown` where it is not configured."""
-    names = folded(models, "prompt_version_id", F.max("model_name").alias("model_name"))
+    """Model name of each row's version, `unknown` where it is not configured.
+
+    Of a repeated version the last row counts where the rows have an order (`ord`).
+    """
+    name = F.max_by("model_name", "ord") if "ord" in models.columns else F.max("model_name")
+    names = folded(models, "prompt_version_id", name.alias("model_name"))
     return df.join(names, "prompt_version_id", "left").withColumn(
         "model_name", F.coalesce("model_name", F.lit(fixed.UNKNOWN_MODEL))
     )

@@ -185,3 +185,57 @@ def config_required(spark, sf_dir):
     lacking = catalogue.missing_keys(models, "prompt_version_id", "system_key", ["k1"])
     total = models.agg(F.count_distinct("prompt_version_id").alias("versions"))
     return total.withColumn("without_system", lacking.agg(F.count("*")).scalar())
+
+
+# A sound set of sheets and three that break one rule each.
+CHOICE_KEYS = ("k1", "k2")
+
+
+def sheet_sets(spark, sf_dir):
+    general, models, materials = (S.view(spark, sf_dir, name) for name in ("general", "models", "materials"))
+    return {
+        "no_key": (general.where("key <> 'k1'"), models, materials),
+        "no_material": (general, models, materials.withColumn("density", F.lit("n/a"))),
+        "no_version": (general, models.withColumn("system_key", F.lit("unknown")), materials),
+        "sound": (general, models, materials),
+    }
+
+
+@query(
+    "config_choice",
+    S.with_views(
+        "general models materials",
+        """
+        , sets as (select unnest(['no_key', 'no_material', 'no_version', 'sound']) as source, unnest([0, 1, 2, 3]) as place),
+        g as (select source, key, arg_max(value, ord) as value from sets, general
+          where key <> '' and not (source = 'no_key' and key = 'k1') group by source, key),
+        usable as (select m.source, m.prompt_version_id from
+          (select source, models.* replace (case when source = 'no_version' then 'unknown' else system_key end as system_key)
+           from sets, models where model_name <> '') m
+          join g s on s.source = m.source and s.key = m.system_key join g p on p.source = m.source and p.key = m.prompt_key
+          where contains(s.value, '{material_details}') and contains(s.value, '{material_densities_class}')
+            and contains(s.value, '{detected_materials}')),
+        sound_material as (select source, count(*) filter (source <> 'no_material' and density not in ('n/a', '')
+          and description is not null) as n from sets, materials group by source),
+        v as (select source, place,
+          (select count(*) from (select unnest(['k1', 'k2']) as k) w
+            where k not in (select key from g where g.source = sets.source)) as keys_absent,
+          (select n from sound_material t where t.source = sets.source) > 0 as material,
+          (select count(distinct prompt_version_id) from usable u where u.source = sets.source) as versions from sets)
+        select source, keys_absent + (case when material then 0 else 1 end) + (case when versions > 0 then 0 else 1 end) as reasons,
+          source = (select arg_min(source, place) from v where keys_absent = 0 and material and versions > 0) as chosen,
+          (select versions from v x where x.place = (select min(place) from v
+            where keys_absent = 0 and material and versions > 0)) as versions_in_use from v""",
+    ),
+)
+def config_choice(spark, sf_dir):
+    """Why each of four sets of sheets is refused, which one is chosen, and how many versions it has."""
+    sources = sheet_sets(spark, sf_dir)
+    source, general, models, _ = catalogue.chosen(sources, CHOICE_KEYS)
+    versions = catalogue.config_versions(models, general).agg(F.count("*"))
+    return catalogue.verdicts(sources, CHOICE_KEYS).select(
+        "source",
+        F.size("reasons").cast("bigint").alias("reasons"),
+        (F.col("source") == source.scalar()).alias("chosen"),
+        versions.scalar().alias("versions_in_use"),
+    )

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from auditloom import fixed
+from auditloom.operators import catalogue
 from auditloom.sources.tables import path_exists
 
 # Sheet headers and the column names used here.
@@ -55,7 +56,17 @@ def read_config(spark, folder, fallback=None):
     return tuple(_sheet(spark, folder, s) for s in fixed.SHEETS)
 
 
+def choose_config(spark, folders, keys=fixed.GENERAL_KEYS):
+    """(source, general, models, materials) of the first of `folders` whose sheets are all there and sound.
+
+    Folders without a sheet are passed over; the last folder stands in if no
+    other can be used, and must have its sheets.
+    """
+    whole = [f for f in folders[:-1] if all(path_exists(spark, f"{f}/{s}.csv") for s in fixed.SHEETS)]
+    return catalogue.chosen({f: read_config(spark, f) for f in [*whole, folders[-1]]}, keys)
+
+
 def default_materials(spark):
-    """The built-in taxonomy as a frame (class, material, density, ord)."""
-    rows = [(*m, i) for i, m in enumerate(fixed.DEFAULT_MATERIALS)]
-    return spark.createDataFrame(rows, "class string, material string, density bigint, ord bigint")
+    """The built-in taxonomy as a sheet; a material describes itself."""
+    rows = [(kind, name, str(density), name, i) for i, (kind, name, density) in enumerate(fixed.DEFAULT_MATERIALS)]
+    return spark.createDataFrame(rows, "class string, material string, density string, description string, ord bigint")

@@ -388,3 +388,33 @@ def test_micros_are_utc(spark):
     df = spark.createDataFrame([("2026-10-26T21:00:00Z",)], "v string")
     got = conform.conform(df, {"v": "TIMESTAMP"}).select(F.unix_micros("v")).first()[0]
     assert got == int(datetime(2026, 10, 26, 21, tzinfo=timezone.utc).timestamp()) * 10**6
+
+
+def test_configuration_is_chosen_by_rule(spark, tmp_path):
+    """Folders without a sheet or with a broken one are passed over; the last one stands in."""
+    import shutil
+
+    sound = __file__.rsplit("/", 1)[0] + "/data/config"
+    folders = {n: str(tmp_path / n) for n in ("no_sheet", "no_key", "no_material")}
+    for path in folders.values():
+        shutil.copytree(sound, path)
+    (tmp_path / "no_sheet" / "Materials.csv").unlink()
+    (tmp_path / "no_key" / "GeneralConfig.csv").write_text("Key,Value,Description\nother,x,y\n")
+    (tmp_path / "no_material" / "Materials.csv").write_text("Class,Material,Density,Description\nPaper,Boxes,much,x\n")
+
+    general, models, materials = config.read_config(spark, sound)
+    keys = [r.key for r in general.select("key").where("key is not null").distinct().collect()][:1]
+    known = {n: catalogue.refusals(*config.read_config(spark, folders[n]), keys).first().reasons for n in ("no_key", "no_material")}
+    assert known == {"no_key": [f"missing_key {keys[0]}", "no_usable_version"], "no_material": ["no_valid_material"]}
+    assert catalogue.refusals(general, models, materials, keys).first().reasons == []
+    for order, want in (([*folders.values(), sound], sound), ([folders["no_key"], sound, folders["no_material"]], sound),
+                        ([folders["no_sheet"], folders["no_material"]], folders["no_material"])):
+        source, *sheets = config.choose_config(spark, order, keys)
+        assert source.first().source == want
+        assert sheets[0].count() == config.read_config(spark, want)[0].count()
+
+
+def test_built_in_taxonomy_is_a_sheet(spark):
+    classes = catalogue.taxonomy(config.default_materials(spark))
+    assert {r["class"]: len(r.materials) for r in classes.collect()} == {
+        "Paper": 5, "Plastic": 8, "Metal": 2, "Glass": 2, "Organics": 2, "Other": 4}
