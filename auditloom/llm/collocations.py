@@ -32,8 +32,8 @@ FILTER_BITS = 22
 #: Positions that are walked at a time, and rows of new phrases that a task holds before it hands them on.
 POSITIONS = 2_000_000
 HELD = 500_000
-#: Words that a task holds before it hands them on.
-HELD_WORDS = 100_000
+#: Words that a task holds before it hands them on, and hashes that it remembers.
+HELD_WORDS, KNOWN_WORDS = 100_000, 300_000
 #: Stands before each piece, so that no phrase reaches across.
 BREAK = 0
 _FREE, _ROOT = -1, -2
@@ -274,10 +274,9 @@ def _split(text):
     return [".", *filter(None, text.translate(_PLAIN).replace(".", " . ").split(" "))] if text else ["."]
 
 
-def _hash(word, seed):
-    """A word's hash, as a signed number."""
-    value = xxhash.xxh64_intdigest(word.encode(), seed)
-    return value - (1 << 64) if value >= 1 << 63 else value
+def _hashes(words, seed):
+    """The hashes of some words, as signed numbers."""
+    return np.fromiter((xxhash.xxh64_intdigest(word, seed) for word in words), np.uint64, len(words)).view(np.int64)
 
 
 def word_counts(texts):
@@ -309,7 +308,7 @@ def with_hash(words, seed):
 
     def run(batches):
         for batch in batches:
-            hashes = pa.array([_hash(word, seed) for word in batch.column(1).to_pylist()], pa.int64())
+            hashes = pa.array(_hashes(batch.column(1).to_pylist(), seed))
             yield pa.RecordBatch.from_arrays([*batch.columns, hashes], names=["lang", "word", "f", "hash"])
 
     return words.select("lang", "word", "f").mapInArrow(run, "lang string, word string, f long, hash long")
@@ -319,13 +318,13 @@ def hashed_texts(texts, seed):
     """`texts` (lang, text) as (lang, hashes), a `BREAK` standing before each piece."""
 
     def run(batches):
-        known = {}
+        known = {".": BREAK}
         for batch in batches:
-            if len(known) > HELD_WORDS:
-                known = {}
+            if len(known) > KNOWN_WORDS:
+                known = {".": BREAK}
             lines = [_split(text) for text in batch.column(1).to_pylist()]
-            for word in set(chain.from_iterable(lines)) - known.keys():
-                known[word] = BREAK if word == "." else _hash(word, seed)
+            new = list(set(chain.from_iterable(lines)) - known.keys())
+            known.update(zip(new, _hashes(new, seed).tolist()))
             offsets = np.cumsum([0, *map(len, lines)]).astype(np.int32)
             flat = np.fromiter(map(known.__getitem__, chain.from_iterable(lines)), np.int64, offsets[-1])
             lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
