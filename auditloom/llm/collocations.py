@@ -265,18 +265,39 @@ def _numbered(phrases, purpose):
     return stored(phrases.withColumn("number", F.monotonically_increasing_id()), purpose)
 
 
-# Separators of pieces become a full stop, which no word holds; A-Z become a-z and tabs spaces.
-_PLAIN = str.maketrans(",;:!?\n\x0b\x0c\rABCDEFGHIJKLMNOPQRSTUVWXYZ\t", "." * 9 + "abcdefghijklmnopqrstuvwxyz ")
+# Separators of pieces become a full stop, which no word holds; A-Z become a-z and tabs spaces. All are single
+# bytes of UTF-8, so texts are taken as bytes.
+_PLAIN = bytes.maketrans(
+    b",;:!?\n\x0b\x0c\rABCDEFGHIJKLMNOPQRSTUVWXYZ\t", b"." * 9 + b"abcdefghijklmnopqrstuvwxyz "
+)
 
 
 def _split(text):
-    """Words of a text and a full stop before each piece."""
-    return [".", *filter(None, text.translate(_PLAIN).replace(".", " . ").split(" "))] if text else ["."]
+    """Words of a text, as bytes, and a full stop before each piece."""
+    return [b".", *text.translate(_PLAIN).replace(b".", b" . ").split()] if text else [b"."]
 
 
-def _hashes(words, seed):
-    """The hashes of some words, as signed numbers."""
-    return np.fromiter((xxhash.xxh64_intdigest(word, seed) for word in words), np.uint64, len(words)).view(np.int64)
+def _texts(batch):
+    """The second column of a batch, as bytes."""
+    return batch.column(1).cast(pa.binary()).to_pylist()
+
+
+def _hash(word, seed):
+    """A word's hash, as a signed number."""
+    value = xxhash.xxh64_intdigest(word, seed)
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
+class _Known(dict):
+    """Hashes of words, made when they are first asked for."""
+
+    def __init__(self, seed):
+        super().__init__({b".": BREAK})
+        self.seed = seed
+
+    def __missing__(self, word):
+        value = self[word] = _hash(word, self.seed)
+        return value
 
 
 def word_counts(texts):
@@ -287,14 +308,15 @@ def word_counts(texts):
 
         def out():
             for lang, words in met.items():
-                words.pop(".", None)
-                columns = [pa.array([lang] * len(words), pa.string()), pa.array(words.keys(), pa.string())]
+                words.pop(b".", None)
+                columns = [pa.array([lang] * len(words), pa.string())]
+                columns.append(pa.array(words.keys(), pa.binary()).cast(pa.string()))
                 columns.append(pa.array(words.values(), pa.int64()))
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "f"])
             met.clear()
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for lang, text in zip(batch.column(0).to_pylist(), _texts(batch)):
                 met[lang].update(_split(text))
             if sum(map(len, met.values())) > HELD_WORDS:
                 yield from out()
@@ -308,7 +330,7 @@ def with_hash(words, seed):
 
     def run(batches):
         for batch in batches:
-            hashes = pa.array(_hashes(batch.column(1).to_pylist(), seed))
+            hashes = pa.array([_hash(word, seed) for word in _texts(batch)], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, hashes], names=["lang", "word", "f", "hash"])
 
     return words.select("lang", "word", "f").mapInArrow(run, "lang string, word string, f long, hash long")
@@ -318,13 +340,11 @@ def hashed_texts(texts, seed):
     """`texts` (lang, text) as (lang, hashes), a `BREAK` standing before each piece."""
 
     def run(batches):
-        known = {".": BREAK}
+        known = _Known(seed)
         for batch in batches:
             if len(known) > KNOWN_WORDS:
-                known = {".": BREAK}
-            lines = [_split(text) for text in batch.column(1).to_pylist()]
-            new = list(set(chain.from_iterable(lines)) - known.keys())
-            known.update(zip(new, _hashes(new, seed).tolist()))
+                known = _Known(seed)
+            lines = [_split(text) for text in _texts(batch)]
             offsets = np.cumsum([0, *map(len, lines)]).astype(np.int32)
             flat = np.fromiter(map(known.__getitem__, chain.from_iterable(lines)), np.int64, offsets[-1])
             lists = pa.ListArray.from_arrays(offsets, pa.array(flat))

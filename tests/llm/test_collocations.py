@@ -99,8 +99,8 @@ def test_scores_pass_64_bits(spark):
 
 
 def test_colliding_hashes_are_hashed_anew(spark, monkeypatch):
-    real = co._hashes
-    monkeypatch.setattr(co, "_hashes", lambda words, seed: real(words, seed) if seed > 1 else real(words, 0) % 3)
+    real = co._hash
+    monkeypatch.setattr(co, "_hash", lambda word, seed: real(word, seed) if seed > 1 else real(word, 0) % 3)
     rows = texts(2, 60)
     assert found(spark, rows, least=5) == sorted(expected(rows, 5, 5, 100, 2000))
 
