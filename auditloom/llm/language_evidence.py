@@ -70,8 +70,10 @@ def trained(documents):
     order = Window.partitionBy("lang").orderBy("place")
     # Copies of a text stand for one document. Only languages and hashes are ranked.
     ranked = named.select("lang", "place").distinct().withColumn("rank", F.row_number().over(order))
-    chosen = ranked.filter(F.col("rank") <= LANGUAGE_ROWS).select("lang", "place")
-    sample = named.join(chosen, ["lang", "place"], "left_semi").dropDuplicates(["lang", "place"])
+    last = ranked.filter(F.col("rank") <= LANGUAGE_ROWS).groupBy("lang").agg(F.max("place").alias("last"))
+    # One row a language, written so that its size is known: texts are not shuffled to meet it.
+    last = stored(last, "language-rows")
+    sample = named.join(last, "lang").filter(F.col("place") <= F.col("last")).dropDuplicates(["lang", "place"])
 
     def run(batches):
         for batch in batches:
