@@ -116,13 +116,15 @@ def process(
     """Tasks to result rows and error rows of the run `run`; returns one outcome a task.
 
     `tasks` carries gcs_uri, prompt_version_id and attempt. Bytes come from
-    the `images` frame or from `fetch(uri)`. With a `listing` (gcs_uri, length) and
-    `partitions` each object is fetched once for all its versions, in partitions
-    of about equal bytes. Scoring is the costly step, so its
-    output is written before anything else reads it, and so is what is parsed
-    from it.
+    the `images` frame or from `fetch(uri)`. With a `listing` (gcs_uri, length)
+    each object is fetched once for all its versions, in partitions
+    of about equal bytes. Scoring is the costly step, so it is spread over
+    `partitions`, as many as a shuffle has unless given, however few files the tasks
+    lie in; its output is written before anything else reads it, and so is what is
+    parsed from it.
     """
     run = run or tables.new_run()
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = events.validate_tasks(tasks)
     unknown = events.missing_versions(tasks, rendered).withColumn(
         "error_message",
@@ -133,7 +135,7 @@ def process(
         whole = scoring.balanced(scoring.image_tasks(known, listing), partitions)
         scored = kept(scoring.score_images(whole, make_scorer, fetch), "scored")
     else:
-        known = scoring.spread(known, partitions) if partitions else known
+        known = scoring.spread(known, partitions)
         known = scoring.with_content(known, images) if images is not None else known
         scored = kept(scoring.score(known, make_scorer, fetch=fetch), "scored")
 

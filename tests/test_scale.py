@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditloom import fixed
-from auditloom.operators import events, jobs, mutate, refresh
+from auditloom.operators import conform, events, jobs, mutate, refresh
 from auditloom.plans import standins as S
 from auditloom.session import shared_dir
 
@@ -178,3 +178,34 @@ def test_shared_folder():
     assert shared_dir(FakeSession(spark_master="local[2]"), "a").startswith("/tmp/run-")
     with pytest.raises(ValueError):
         shared_dir(FakeSession(spark_master="spark://host:7077"), "a")
+
+
+def test_tasks_of_one_file_are_scored_by_many_tasks(spark, tmp_path):
+    """Small rows of costly work: their file is no measure of how far they are spread."""
+    from pyspark import TaskContext
+
+    from auditloom.plans import jobs as plans
+
+    def scorer():
+        def score(content, prompt, model, settings):
+            raise RuntimeError(f"task {TaskContext.get().partitionId()}")
+
+        return score
+
+    tasks = spark.range(200).coalesce(1).selectExpr(
+        "concat('gs://b/o', id, '.jpg') as gcs_uri", "'v1' as prompt_version_id", "1 as attempt")
+    rendered = spark.createDataFrame(
+        [("v1", "m", "look", "be exact", "HIGH", False)],
+        "prompt_version_id string, model_name string, prompt_text string, system_instruction string, "
+        "thinking_level string, code_execution boolean")
+    paths = [str(tmp_path / n) for n in ("results", "errors")]
+    outcome = plans.process(spark, tasks, rendered, scorer, *paths, F.current_timestamp(), fetch=lambda uri: b"x")
+    assert outcome.count() == 200
+    assert outcome.select("error_message").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_sizes_of_numbers_at_their_bounds(spark):
+    bounds = [n for bits in range(7, 63, 7) for n in (2**bits - 1, 2**bits)] + [-1, 0, 2**63 - 1, -(2**63)]
+    numbers = spark.createDataFrame([(n,) for n in bounds], "n bigint")
+    for n, size in numbers.select("n", conform.row_bytes(numbers)).collect():
+        assert size == 1 + (10 if n < 0 else max(1, -(-n.bit_length() // 7)))
