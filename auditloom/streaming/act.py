@@ -141,15 +141,26 @@ def act(spark, batch, number, paths, list_objects):
         _lease(spark, paths, made.where(F.col("outcome") == reconcile.LEASED), list_objects, number)
 
 
+def _begun(spark, paths, checkpoint):
+    """The job table as it was when `checkpoint` was new, in a copy that no batch changes."""
+    copy = f"{checkpoint.rstrip('/')}-jobs"
+    if not tables.path_exists(spark, f"{copy}/_begun"):
+        tables.write_jobs(tables.read_jobs(spark, paths.jobs), copy)
+        # Written last: an unfinished copy is made anew, as no batch has run on it.
+        spark.range(1).write.mode("overwrite").parquet(f"{copy}/_begun")
+    return tables.read_jobs(spark, copy)
+
+
 def start(events, versions, paths, list_objects, checkpoint, trigger=None, files=None):
     """Reconcile `events` live and carry the decisions out.
 
-    The state starts from the stored job table. `list_objects()` gives the live
-    inventory whenever a delete is about to remove rows.
+    The state starts from the stored job table as it is when the checkpoint is new.
+    `list_objects()` gives the live inventory whenever a delete is about to remove
+    rows.
     """
     spark = events.sparkSession
     decisions = reconcile.reconcile_stream(
-        live_events(spark, paths, events, files), versions, leased=True, jobs=tables.read_jobs(spark, paths.jobs)
+        live_events(spark, paths, events, files), versions, leased=True, jobs=_begun(spark, paths, checkpoint)
     )
     return (
         decisions.writeStream.option("checkpointLocation", checkpoint)

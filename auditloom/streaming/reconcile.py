@@ -3,10 +3,11 @@
 Everything about one object lives under its URI: the job of each version, the
 newest event that had to wait, and the lease of a delete that is under way. A
 waiting event is tried again when a worker result or the end of a delete
-arrives, or a lease runs out, in place of being delivered again. The state can
-be seeded from a stored job table.
+arrives, or a lease runs out, in place of being delivered again. The state of an
+object can begin with its jobs in a stored job table.
 """
 
+import json
 from typing import NamedTuple
 
 import pandas as pd
@@ -71,6 +72,52 @@ def decide(job, generation, now):
     return (fixed.OUTCOME_DEFERRED, False) if held else (fixed.OUTCOME_QUEUED, True)
 
 
+class Held:
+    """A map state of one object, read at its first use and written back by `store`.
+
+    Each call to the state is a round trip between processes, so the rows of an
+    object share one reading and one writing, however many they are.
+    """
+
+    def __init__(self, state):
+        self._state, self._before, self._now = state, None, None
+
+    def load(self):
+        if self._now is None:
+            self._before = {tuple(key): tuple(value) for key, value in self._state.iterator()}
+            self._now = dict(self._before)
+        return self._now
+
+    def iterator(self):
+        return iter(list(self.load().items()))
+
+    def containsKey(self, key):
+        return key in self.load()
+
+    def getValue(self, key):
+        return self.load()[key]
+
+    def updateValue(self, key, value):
+        self.load()[key] = tuple(value)
+
+    def removeKey(self, key):
+        self.load().pop(key, None)
+
+    def clear(self):
+        self.load().clear()
+
+    def store(self):
+        """Write what differs, and be ready for the next object."""
+        if self._now is not None:
+            for key in self._before:
+                if key not in self._now:
+                    self._state.removeKey(key)
+            for key, value in self._now.items():
+                if self._before.get(key) != value:
+                    self._state.updateValue(key, value)
+        self._before = self._now = None
+
+
 class ObjectProcessor(StatefulProcessor):
     """Jobs of one object, driven by arrivals, deletes, worker results and ends of deletes.
 
@@ -87,21 +134,37 @@ class ObjectProcessor(StatefulProcessor):
 
     def init(self, handle):
         self._handle = handle
-        self._jobs = handle.getMapState(
+        self._jobs = Held(handle.getMapState(
             "jobs", "prompt_version_id string",
             "status string, generation bigint, since bigint, attempts int",
-        )
+        ))
         # Per kind: the newest waiting generation, and whether one without any waits.
-        self._waiting = handle.getMapState("waiting", "kind string", "generation bigint, without boolean")
+        self._waiting = Held(handle.getMapState("waiting", "kind string", "generation bigint, without boolean"))
         # The delete under way, and what its jobs were before.
-        self._lease = handle.getMapState("lease", "kind string", "generation bigint, since bigint")
-        self._before = handle.getMapState("before", "prompt_version_id string", "status string, since bigint")
+        self._lease = Held(handle.getMapState("lease", "kind string", "generation bigint, since bigint"))
+        self._before = Held(handle.getMapState("before", "prompt_version_id string", "status string, since bigint"))
+        # Whether the stored jobs of the object have been taken over.
+        self._begun = Held(handle.getMapState("begun", "kind string", "jobs int"))
+
+    def _store(self):
+        for state in (self._jobs, self._waiting, self._lease, self._before, self._begun):
+            state.store()
 
     def handleInitialState(self, key, initialState, timerValues):
         for row in initialState.itertuples(index=False):
             self._jobs.updateValue(
                 (row.prompt_version_id,), (row.status, int(row.generation), int(row.since), int(row.attempts))
             )
+        self._store()
+
+    def _begin(self, stored):
+        """Take over the stored jobs of an object that is met for the first time."""
+        if self._begun.containsKey(("jobs",)):
+            return
+        jobs = json.loads(stored)
+        for version, status, generation, since, attempts in jobs:
+            self._jobs.updateValue((version,), (status, int(generation), int(since), int(attempts)))
+        self._begun.updateValue(("jobs",), (len(jobs),))
 
     def _all_jobs(self):
         return {key[0]: Job(*value) for key, value in self._jobs.iterator()}
@@ -215,17 +278,19 @@ class ObjectProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         now, out = timerValues.getCurrentProcessingTimeInMs(), []
-        arrivals, deletes, results, ends = [], [], [], []
+        arrivals, deletes, results, ends, stored = [], [], [], [], None
         for batch in rows:
-            for row in batch.itertuples(index=False):
-                if row.kind == "finalize":
-                    arrivals.append(row.generation)
-                elif row.kind == "delete":
-                    deletes.append(row.generation)
-                elif row.kind in ("deleted", "restored"):
-                    ends.append(row)
-                else:
-                    results.append(row)
+            if "stored" in batch and stored is None:
+                # All rows of an object carry the same.
+                stored = batch["stored"].iloc[0]
+            kinds, generations = batch["kind"], batch["generation"]
+            arrivals += generations[kinds == "finalize"].tolist()
+            deletes += generations[kinds == "delete"].tolist()
+            others = batch[~kinds.isin(["finalize", "delete"])]
+            for row in others.itertuples(index=False) if len(others) else ():
+                (ends if row.kind in ("deleted", "restored") else results).append(row)
+        if isinstance(stored, str):
+            self._begin(stored)
         for row in results:
             self._result(row, now, out if self._leased else [])
         for row in ends:
@@ -237,11 +302,13 @@ class ObjectProcessor(StatefulProcessor):
             self._arrive(int(generation), now, out)
         for generation in sorted(deletes, reverse=True):
             self._delete(int(generation), now, out)
+        self._store()
         yield self._frame(key, out, now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now, out = timerValues.getCurrentProcessingTimeInMs(), []
         self._retry_waiting(now, out)
+        self._store()
         yield self._frame(key, out, now)
 
     def close(self):
@@ -275,7 +342,7 @@ def _shape(events):
 
 
 def seed(jobs):
-    """The stored job table as the processor's first state."""
+    """The stored job table in the form of the processor's state."""
     entered = (
         F.when(F.col("status") == fixed.QUEUED, F.col("queued_at"))
         .when(F.col("status") == fixed.DELETING, F.col("deleting_at"))
@@ -293,6 +360,18 @@ def seed(jobs):
     )
 
 
+def with_stored(events, jobs):
+    """`events` with the stored jobs of their object as JSON in `stored`; NULL where there are none.
+
+    An object has as many jobs as there are versions. Only objects that events
+    name reach the processor, whatever the size of the job table.
+    """
+    one = F.array(*[F.col(c).cast("string") for c in ("prompt_version_id", "status", "generation", "since", "attempts")])
+    known = jobs.select(F.col("gcs_uri").alias("_uri"), one.alias("one"))
+    known = known.groupBy("_uri").agg(F.to_json(F.collect_list("one")).alias("stored"))
+    return events.join(known, F.col("gcs_uri").eqNullSafe(F.col("_uri")), "left").drop("_uri")
+
+
 def drop_repeats(events, time_col, delay="10 minutes"):
     """Drop repeated deliveries of the same (object, kind, generation).
 
@@ -314,18 +393,17 @@ def reconcile_stream(events, versions, settled=False, leased=False, jobs=None):
     `events` has gcs_uri, kind and generation; kind is 'finalize', 'delete',
     'result' (also with prompt_version_id, status, attempts and error_message)
     or, with `leased`, 'deleted' and 'restored' (with the lease as status). `jobs`
-    is a job table to begin with; only the first batch of a checkpoint reads it.
+    is a job table to begin with, which must stay as it is as long as the checkpoint
+    is used: an object takes its jobs from there when its first event arrives.
     A settled replay never waits, so it sets no timers and ends with its input;
     the live form keeps making batches to fire them.
     """
     mode = "None" if settled else "ProcessingTime"
-    initial = None if jobs is None else seed(jobs).groupBy("gcs_uri")
+    shaped = _shape(events)
     return (
-        _shape(events)
+        (shaped if jobs is None else with_stored(shaped, seed(jobs)))
         .groupBy("gcs_uri")
-        .transformWithStateInPandas(
-            ObjectProcessor(versions, settled, leased), DECISION, "Append", mode, initialState=initial
-        )
+        .transformWithStateInPandas(ObjectProcessor(versions, settled, leased), DECISION, "Append", mode)
         .withColumn("generation", F.nullif("generation", F.lit(NONE)))
         .withColumn("error_message", F.nullif("error_message", F.lit("")))
         .withColumn("decided_at", F.timestamp_millis("decided"))
