@@ -14,10 +14,12 @@ def start_ingest(stream, rows_path, errors_path, checkpoint, trigger=None, text_
     """
 
     def write(batch, number):
-        scored = responses.score_rows(responses.parse_responses(batch, text_col)).persist()
+        scored = responses.score_rows(responses.parse_responses(batch, text_col))
+        # The text and its parsed forms, by far the widest columns, are not kept.
+        scored = scored.drop("doc", "root", text_col).persist()
         try:
-            write_batch(responses.explode_rows(scored).drop(text_col), rows_path, number)
-            failed = scored.where("reason is not null").drop("rows", "doc", "root", text_col)
+            write_batch(responses.explode_rows(scored), rows_path, number)
+            failed = scored.where("reason is not null").drop("rows")
             write_batch(failed, errors_path, number)
         finally:
             scored.unpersist()
