@@ -210,3 +210,65 @@ def test_every_arrival_is_decided_whatever_the_batch_size(spark, tmp_path):
         made.append(sorted(map(str, spark.read.parquet(out).collect())))
     spark.conf.set(size, usual)
     assert made[0] == made[1] and len(made[0]) == 400
+
+
+def test_state_is_read_and_written_once_whatever_arrives():
+    class Counted(FakeMap):
+        calls = 0
+
+        def iterator(self):
+            Counted.calls += 1
+            return super().iterator()
+
+        def updateValue(self, key, value):
+            Counted.calls += 1
+            super().updateValue(key, value)
+
+        def containsKey(self, key):
+            Counted.calls += 1
+            return super().containsKey(key)
+
+        def getValue(self, key):
+            Counted.calls += 1
+            return super().getValue(key)
+
+    class Handle(FakeHandle):
+        def getMapState(self, name, *_):
+            return self.maps.setdefault(name, Counted())
+
+    d = Driver(("v1", "v2"))
+    d.handle = Handle()
+    d.processor.init(d.handle)
+    d.feed(0, *[("finalize", g) for g in range(1, 101)])
+    few = Counted.calls
+    d.feed(1, *[("delete", g) for g in range(1, 101)])
+    assert few <= 10 and Counted.calls <= 20
+
+
+def test_stored_jobs_of_objects_without_events_take_no_state(spark, tmp_path):
+    from auditloom import fixed
+
+    columns = "gcs_uri string, kind string, generation bigint"
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    spark.createDataFrame([("u3", "finalize", 5), ("u99", "finalize", 5)], columns).coalesce(1).write.parquet(source)
+    stored = spark.range(40).selectExpr(
+        "concat('u', id) as gcs_uri", "'v1' as prompt_version_id", "'PROCESSED' as status", "null as queued_at",
+        "cast(5 as bigint) as generation", "1 as attempts", "null as last_processed_at", "null as error_message",
+        "null as deleting_at")
+    jobs = spark.createDataFrame([tuple(r) for r in stored.collect()], fixed.JOB_SCHEMA)
+    live = spark.readStream.schema(columns).parquet(source)
+    query = reconcile.start_decisions(reconcile.reconcile_stream(live, ["v1"], settled=True, jobs=jobs), out, check)
+    query.awaitTermination(120)
+    assert {(r.gcs_uri, r.outcome) for r in spark.read.parquet(out).collect()} == {("u3", "skipped"), ("u99", "queued")}
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) < 10
+
+
+def test_ingest_keeps_only_what_it_writes(spark, tmp_path, monkeypatch):
+    kept, frame = [], type(spark.range(1))
+    real = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a: kept.append(self.columns) or real(self, *a))
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("u1", "prose")], "uri string, response string").coalesce(1).write.parquet(source)
+    live = spark.readStream.schema("uri string, response string").parquet(source)
+    ingest.start_ingest(live, *(str(tmp_path / n) for n in ("rows", "errors", "check"))).awaitTermination(120)
+    assert kept == [["uri", "reason", "rows"]]
