@@ -197,3 +197,20 @@ def test_look_up_and_upsert_do_not_exchange_the_table(spark, tmp_path):
         assert folded.count() == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keys_of_a_delete_are_worked_out_once(spark, tmp_path):
+    path, seen = str(tmp_path / "t"), tmp_path / "seen"
+    seen.mkdir()
+    row = spark.range(4).selectExpr("concat('gs://b/o', id, '.jpg') as gcs_uri", "concat('i', id) as image_id")
+    ResultTable(spark, path).append(row, "r")
+
+    def note(batches):
+        import uuid
+
+        (seen / uuid.uuid4().hex).touch()
+        yield from batches
+
+    keys = row.select("gcs_uri").where("image_id = 'i2'").coalesce(1).mapInPandas(note, "gcs_uri string")
+    assert tables.apply_delete(spark, path, uris=keys) == 1
+    assert len(list(seen.iterdir())) == 1
