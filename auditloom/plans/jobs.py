@@ -275,8 +275,11 @@ def refresh_due(spark, results_path, signed_path, checkpoint, thumbs, sign, now,
         return due, 0
     table = tables.ResultTable(spark, results_path)
     rows = table.rows(table.parts_of(due, "image_id")).join(unique(due, "image_id"), "image_id", "left_semi")
-    first = refresh.first_per_image(refresh.active_records(rows))
-    updates = kept(refresh.url_payload(first, thumbs, sign), "updates")
+    first = kept(refresh.first_per_image(refresh.active_records(rows)), "first")
+    # Few images are due, so the listing is cut to their thumbnails before it is shuffled.
+    expected = refresh.with_thumb_location(first).select("thumb_uri")
+    listed = thumbs.join(expected, "thumb_uri", "left_semi")
+    updates = kept(refresh.url_payload(first, listed, sign), "updates")
     updated = tables.apply_merge(spark, results_path, updates)
     tables.write_batch(due.withColumn("signed_at", now), signed_path, f"refresh-{tables.new_run()}")
     return due, updated

@@ -119,6 +119,74 @@ def test_a_change_that_breaks_off_is_completed_by_repeating_it(spark, tmp_path,
     assert tables.still_there(spark, path, wanted, "gcs_uri").count() == 0
 
 
+def url_updates(spark, *keys):
+    made = [(k, f"new {n}", None, "t") for n, k in enumerate(keys)]
+    return spark.createDataFrame(made, "image_id string, raw_signed_url string, thumb_signed_url string, gcs_thumb_uri string")
+
+
+def test_a_change_writes_rows_once_and_shuffles_none(spark, tmp_path, monkeypatch):
+    path, written = str(tmp_path / "results"), []
+    tables.write_results(rows(spark, range(400)), path, "r1")
+    writer = type(spark.range(1).write)
+    real = writer.parquet
+
+    def noted(self, path, *args, **named):
+        if "model_result" in self._df.columns:
+            written.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return real(self, path, *args, **named)
+
+    monkeypatch.setattr(writer, "parquet", noted)
+    assert tables.apply_merge(spark, path, url_updates(spark, *[f"i{n}" for n in range(0, 400, 9)])) == 45
+    assert tables.apply_delete(spark, path, uris=uris(spark, *range(0, 400, 7))) == 58
+    assert len(written) == 2
+    assert all("BroadcastHashJoin" in p and "Exchange" not in p.replace("BroadcastExchange", "") for p in written)
+    assert not [p.name for p in (tmp_path / "results").iterdir() if p.name.startswith("_staged")]
+
+
+@pytest.mark.parametrize("most", [1, 5, 100_000])
+@pytest.mark.parametrize("by_uri", [True, False])
+def test_keys_in_turns(spark, tmp_path, monkeypatch, most, by_uri):
+    """Keys broadcast some parts at a time, or joined by a shuffle where a part has too many."""
+    from auditloom.sources import results
+
+    monkeypatch.setattr(results, "BROADCAST_KEYS", most)
+    path = str(tmp_path / "results")
+    made = rows(spark, [*range(30), 3])
+    if not by_uri:
+        lost = F.when(F.col("image_id") != "i5", F.col("image_id"))
+        moved = F.when(F.col("image_id") == "i6", "gs://b/i4.jpg").otherwise(F.col("gcs_uri"))
+        made = made.select(lost.alias("image_id"), moved.alias("gcs_uri"), "prompt_version_id", "raw_signed_url")
+    ResultTable(spark, path, parts=4, image_from_uri=by_uri).append(made, "r1")
+    assert tables.apply_merge(spark, path, url_updates(spark, "i1", "i2", "i3", "i8", "i9", "none", None)) == 6
+    got = sorted((r.image_id, r.raw_signed_url) for r in tables.read_results(spark, path).where("image_id is not null").collect())
+    fresh = {"i1": "new 0", "i2": "new 1", "i3": "new 2", "i8": "new 3", "i9": "new 4"}
+    ids = [f"i{n}" for n in [*range(30), 3] if by_uri or n != 5]
+    assert got == sorted((i, fresh.get(i, "r")) for i in ids)
+    # One object may have rows of several images.
+    gone = uris(spark, 4, 4, 3, 99).union(spark.createDataFrame([(None,)], "gcs_uri string"))
+    assert tables.apply_delete(spark, path, uris=gone) == (3 if by_uri else 4)
+    left = {i for i in ids if i not in ("i3", "i4") and (by_uri or i != "i6")}
+    assert {r.image_id for r in tables.read_results(spark, path).collect()} - {None} == left
+
+
+def test_a_folder_that_cannot_be_renamed_keeps_its_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "results")
+    ResultTable(spark, path, parts=1).append(rows(spark, range(9)), "r1")
+
+    real = ResultTable._put
+
+    def broken(self, new, folder, beside):
+        real(self, new + "-missing", folder, beside)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(ResultTable, "_put", broken)
+        with pytest.raises(PartlyDone):
+            tables.apply_merge(spark, path, url_updates(spark, "i1"))
+    assert held(spark, path) == [f"i{n}" for n in range(9)]
+    assert tables.apply_merge(spark, path, url_updates(spark, "i1")) == 1
+    assert held(spark, path) == [f"i{n}" for n in range(9)]
+
+
 # --- job table --------------------------------------------------------------
 
 
