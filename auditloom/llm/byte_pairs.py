@@ -2,30 +2,33 @@
 
 Each partition opens an in-memory DuckDB. Its merge table has a row for every
 way to cut a piece of the vocabulary into two pieces: (left id, right id, id of
-the whole, which is its rank). A word starts as one row per byte: (word,
-position, token). Each step of a recursive query joins neighbouring rows with
-the merge table and contracts the leftmost pair of least rank, until no pair of
-the word is in the table. A word that is a piece itself is its token at once,
-as in the tiktoken library.
-
-Of a word no longer than the longest piece the leftmost pair of least rank is
-contracted in each step. Of a longer one, each pair is that comes first within
-reach, which is the length of the longest piece before it and twice that
-behind: only a piece spanning the place between could let one pair bear on
-another, so the tokens are the same as by contracting the first pair of the
-whole word, in steps that do not grow with its length.
-
-Decoding joins (text, position, id) rows with the vocabulary and aggregates the
-bytes in the order of the positions.
+the whole, which is its rank). A word that is a piece itself is its token at
+once, as in the tiktoken library.
+
+A word no longer than the longest piece is one row: its tokens, one for each
+byte at first, and the ranks of their neighbouring pairs. Each step of a
+recursive query contracts the leftmost pair of least rank and joins the two
+pairs that this makes with the merge table, until no pair of the word is in it.
+
+A longer word starts as one row per byte: (word, position, token). Each step
+contracts all pairs that come first within reach, which is the length of the
+longest piece before it and twice that behind: only a piece spanning the place
+between could let one pair bear on another, so the tokens are the same as by
+contracting the first pair of the whole word, in steps that do not grow with
+its length.
+
+Decoding joins (position, id) rows with the vocabulary, puts the pieces in the
+order of the positions and concatenates those of each text.
 """
 
 import base64
-from itertools import chain
+from itertools import chain, islice
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import functions as F
 
@@ -37,6 +40,8 @@ REMEMBERED_TOKENS = 4_000_000
 #: Bytes of words in one recursive query, and tokens in one decoding query; a longer word has a query of its own.
 QUERY_BYTES = 250_000
 QUERY_TOKENS = 250_000
+#: Rank of a pair that is no piece, above all ranks, and the mark before the first token of a word.
+NO_PIECE, MARK = 2**31 - 1, -1
 
 MERGES = """
 create table merges as
@@ -62,32 +67,27 @@ from (select word, pos, tok from cut where {last}
 group by word order by word
 """
 
-# Each step contracts the leftmost pair of least rank of each word. A row knows the token and the position
-# after its own; the word's rows are last when none of its pairs is in the table.
+# Each step contracts the leftmost pair of least rank of each word. `toks` begins with a mark that is no token;
+# `ranks` holds the rank of each token with the next one. Only the pairs with the token before and the one
+# behind are new.
 ENCODE = f"""
-with recursive cut(word, pos, tok, after, next, last) as (
-  select word, pos, tok, lead(tok) over line, lead(pos) over line, false
-  from ({SYMBOLS}) window line as (partition by word order by pos)
+with recursive cut(word, toks, ranks, least) as (
+  select word, toks, ranks, list_min(ranks) from words
   union all
-  (with least as (
-     select c.word, min(m.mid::bigint * 4294967296 + c.pos) as key,
-       arg_min(c.next, m.mid::bigint * 4294967296 + c.pos) as gone
-     from cut c join merges m on m.pair = c.tok::bigint * 4294967296 + c.after
-     where not c.last group by c.word),
+  (with found as (
+     select word, toks, ranks, least, list_position(ranks, least) as i from cut where least < {NO_PIECE}),
    step as (
-     select l.word, l.key % 4294967296 as pos, (l.key // 4294967296)::int as mid, l.gone, c.after, c.next
-     from least l join cut c on c.word = l.word and c.pos = l.gone)
-   select c.word, c.pos,
-     case when c.pos = s.pos then s.mid else c.tok end,
-     case when c.pos = s.pos then s.after when c.next = s.pos then s.mid else c.after end,
-     case when c.pos = s.pos then s.next else c.next end,
-     s.word is null
-   from cut c left join step s on s.word = c.word where not c.last and c.pos is distinct from s.gone)
+     select f.word, f.toks[:i - 1] || [f.least] || f.toks[i + 2:] as toks,
+       f.ranks[:i - 2] || [coalesce(b.mid, {NO_PIECE}), coalesce(a.mid, {NO_PIECE})] || f.ranks[i + 2:] as ranks
+     from found f
+     left join merges b on b.pair = f.toks[i - 1]::bigint * 4294967296 + f.least
+     left join merges a on a.pair = f.least::bigint * 4294967296 + f.toks[i + 2])
+   select word, toks, ranks, list_min(ranks) from step)
 )
-{COLLECT.format(last="last")}
+select word, toks[2:] as toks from cut where least = {NO_PIECE} order by word
 """
 
-# The same for words beyond reach: `cut` holds the newest state of each position, and a null token is a
+# All steps of words beyond reach: `cut` holds the newest state of each position, and a null token is a
 # position merged into the one before.
 ENCODE_LONG = f"""
 with recursive cut(word, pos, tok) using key (word, pos) as (
@@ -137,8 +137,7 @@ NEAREST = """
 """
 
 DECODE = """
-select t.part, string_agg(v.hex, '' order by t.pos) as hex, count(v.id) = count(*) as known
-from tokens t left join vocab v on v.id = t.id group by t.part order by t.part
+select v.piece from tokens t left join vocab v on v.id = t.id order by t.pos
 """
 
 
@@ -157,7 +156,11 @@ def _connect(ranks):
     con = duckdb.connect(config={"threads": 1, "temp_directory": "", "memory_limit": "1GB"})
     con.execute("set enable_progress_bar = false")
     vocab = pa.table(
-        {"id": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([piece.hex() for piece in ranks])}
+        {
+            "id": pa.array(list(ranks.values()), pa.int32()),
+            "hex": pa.array([piece.hex() for piece in ranks]),
+            "piece": pa.array(list(ranks), pa.binary()),
+        }
     )
     con.register("given", vocab)
     con.execute("create table vocab as select * from given")
@@ -173,62 +176,105 @@ def _asked(con, name, rows, sql):
     return found
 
 
+def _grouped(words):
+    """Lists of words of at most `QUERY_BYTES` together; a longer word stands alone."""
+    group, size = [], 0
+    for word in words:
+        if group and size + len(word) > QUERY_BYTES:
+            yield group
+            group, size = [], 0
+        group.append(word)
+        size += len(word)
+    if group:
+        yield group
+
+
+class _Slots(dict):
+    """Numbers of words; a new word gets the next one."""
+
+    def __missing__(self, word):
+        self[word] = slot = len(self)
+        return slot
+
+
 class WordEncoder:
     """Token ids of texts; remembers the words it has met."""
 
     def __init__(self, ranks, pattern):
         self.find = word_pattern(pattern).findall
+        self.ranks = ranks
         self.con = _connect(ranks)
         self.con.execute(MERGES)
         self.reach = max(map(len, ranks))
-        self.short = ENCODE
         self.long = ENCODE_LONG.format(best=NEAREST.format(back=self.reach, ahead=2 * self.reach))
+        singles = [bytes([b]) for b in range(256)]
+        self.single = np.array([ranks[s] for s in singles], np.int32)
+        self.double = np.array([[ranks.get(left + right, NO_PIECE) for right in singles] for left in singles], np.int32)
         self._forget()
 
     def _forget(self):
-        self.slots, self.sizes, self.tokens = {}, [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        self.slots = _Slots()
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.tokens = np.zeros(0, np.int32)
 
     def _learn(self, words):
-        """Encode new words and give each one the next slot; those beyond reach come last."""
-        coded = [(word, word.encode()) for word in words]
-        for sql, wanted in ((self.short, False), (self.long, True)):
-            group, size = [], 0
-            for word, data in coded:
-                if (len(data) > self.reach) != wanted:
-                    continue
-                if group and size + len(data) > QUERY_BYTES:
-                    self._add(group, sql)
-                    group, size = [], 0
-                group.append(data)
-                size += len(data)
-                self.slots[word] = len(self.slots)
-            if group:
-                self._add(group, sql)
-
-    def _add(self, group, sql):
-        rows = pa.table({"word": pa.array(range(len(group)), pa.int32()), "hex": [w.hex() for w in group]})
+        """Encode new words, which have the slots behind those of the words known."""
+        pieces, short, long = [], [], []
+        for number, word in enumerate(words):
+            data = word.encode()
+            kind = pieces if data in self.ranks else short if len(data) <= self.reach else long
+            kind.append((number, data))
+        numbers = np.array([number for number, _ in chain(pieces, short, long)], np.int64)
+        got = [(np.ones(len(pieces), np.int64), np.array([self.ranks[data] for _, data in pieces], np.int32))]
+        got += [self._asked(self._rows(group), ENCODE) for group in _grouped([data for _, data in short])]
+        for group in _grouped([data for _, data in long]):
+            rows = pa.table({"word": pa.array(range(len(group)), pa.int32()), "hex": [data.hex() for data in group]})
+            got.append(self._asked(rows, self.long))
+        sizes = np.concatenate([counts for counts, _ in got])
+        starts = np.cumsum(sizes) - sizes + len(self.tokens)
+        back = np.argsort(numbers)
+        self.starts, self.sizes = np.concatenate([self.starts, starts[back]]), np.concatenate([self.sizes, sizes[back]])
+        self.tokens = np.concatenate([self.tokens, *(tokens for _, tokens in got)])
+
+    def _rows(self, group):
+        """Words as lists of the mark and one token a byte, with the ranks of neighbours."""
+        sizes = np.fromiter(map(len, group), np.int64, len(group))
+        data = np.frombuffer(b"".join(group), np.uint8)
+        offsets = np.concatenate([[0], np.cumsum(sizes + 1)])
+        token = np.ones(offsets[-1], bool)
+        token[offsets[:-1]] = False
+        toks = np.full(len(token), MARK, np.int32)
+        toks[token] = self.single[data]
+        ranks = np.full(len(token), NO_PIECE, np.int32)
+        followed = np.flatnonzero(token[:-1] & token[1:])
+        values = np.zeros(len(token), np.uint8)
+        values[token] = data
+        ranks[followed] = self.double[values[followed], values[followed + 1]]
+        lists = [pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(v)) for v in (toks, ranks)]
+        return pa.table({"word": pa.array(range(len(group)), pa.int32()), "toks": lists[0], "ranks": lists[1]})
+
+    def _asked(self, rows, sql):
+        """Numbers of tokens of the words, and the tokens."""
         toks = _asked(self.con, "words", rows, sql).column("toks").combine_chunks()
-        self.sizes.append(np.diff(toks.offsets.to_numpy()).astype(np.int64))
-        self.tokens.append(toks.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
+        return np.diff(toks.offsets.to_numpy()).astype(np.int64), toks.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
 
     def encode(self, texts):
         """Lists of ids, one for each text, as an Arrow array."""
-        if len(self.slots) > REMEMBERED or sum(map(len, self.tokens)) > REMEMBERED_TOKENS:
+        if len(self.slots) > REMEMBERED or len(self.tokens) > REMEMBERED_TOKENS:
             self._forget()
         found = [self.find(text) if text else [] for text in texts]
-        met = list(chain.from_iterable(found))
-        self._learn(sorted(set(met) - self.slots.keys()))
-        self.sizes, self.tokens = [np.concatenate(self.sizes)], [np.concatenate(self.tokens)]
-        sizes, tokens = self.sizes[0], self.tokens[0]
-        starts = np.cumsum(sizes) - sizes
-        words = np.fromiter(map(self.slots.__getitem__, met), np.int64, len(met))
-        per_word = sizes[words]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        known = len(self.slots)
+        words = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(found)), np.int64, counts.sum())
+        if len(self.slots) > known:
+            self._learn(list(islice(self.slots, known, None)))
+        per_word = self.sizes[words]
         ends = np.cumsum(per_word)
         # Token j of the batch is token j minus its word's first one in the word's list.
-        places = np.repeat(starts[words] - (ends - per_word), per_word) + np.arange(per_word.sum())
-        bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
+        places = np.repeat(self.starts[words] - (ends - per_word), per_word) + np.arange(per_word.sum())
+        bounds = np.concatenate([[0], np.cumsum(counts)])
         offsets = np.concatenate([[0], ends])[bounds].astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, pa.array(tokens[places], pa.int32()))
+        return pa.ListArray.from_arrays(offsets, pa.array(self.tokens[places], pa.int32()))
 
 
 class ByteDecoder:
@@ -245,13 +291,17 @@ class ByteDecoder:
         parts, lost = [[] for _ in range(len(lists))], set()
         for start in range(0, len(ids), QUERY_TOKENS):
             some = ids.slice(start, QUERY_TOKENS)
-            rows = pa.table({"part": owner[start : start + len(some)], "pos": np.arange(len(some)), "id": some})
-            got = _asked(self.con, "tokens", rows, DECODE)
-            for part, text, known in zip(*(got.column(i).to_pylist() for i in range(3))):
-                if known:
-                    parts[part].append(bytes.fromhex(text))
-                else:
-                    lost.add(part)
+            rows = pa.table({"pos": np.arange(len(some), dtype=np.int32), "id": some})
+            got = _asked(self.con, "tokens", rows, DECODE).column("piece").combine_chunks().cast(pa.binary())
+            owners = owner[start : start + len(some)]
+            lost.update(owners[got.is_null().to_numpy(zero_copy_only=False)].tolist())
+            # The pieces of a text lie behind each other in one buffer.
+            got = got.fill_null(b"")
+            ends = np.concatenate([[0], np.cumsum(pc.binary_length(got).to_numpy(), dtype=np.int64)])
+            data = pc.binary_join(pa.ListArray.from_arrays([0, len(got)], got), b"")[0].as_py()
+            firsts = np.flatnonzero(np.diff(owners, prepend=-1))
+            for first, last in zip(firsts.tolist(), [*firsts[1:].tolist(), len(owners)]):
+                parts[owners[first]].append(data[ends[first] : ends[last]])
         valid = lists.is_valid().to_pylist()
         whole = [b"".join(p) if valid[i] and i not in lost else None for i, p in enumerate(parts)]
         return pa.array(whole, pa.binary())

@@ -67,6 +67,34 @@ def test_small_vocabulary_and_forgetting(monkeypatch):
         assert decoder.decode(ids).to_pylist() == [t.encode() for t in some]
 
 
+def test_a_step_handles_a_word_as_one_row(ranks, library, monkeypatch):
+    """Words of a text that are pieces ask no query; others are one row each, with their pairs ranked."""
+    asked, real = [], byte_pairs._asked
+    monkeypatch.setattr(byte_pairs, "_asked", lambda con, name, rows, sql: asked.append(rows) or real(con, name, rows, sql))
+    encoder = byte_pairs.WordEncoder(ranks, PATTERN)
+    pieces = [p.decode() for p in list(ranks)[300:900] if p.strip().isalpha() and p.isascii()][:20]
+    for piece in pieces:
+        assert encoder.encode([piece]).to_pylist() == [[ranks[piece.encode()]]]
+    assert len(pieces) == 20 and not asked
+    words = ["xqzvtheing", "aaaaaaaaaaaaaaa", "ßunger", "xqzvtheing"]
+    assert encoder.encode(words).to_pylist() == [library.encode_ordinary(w) for w in words]
+    (rows,) = asked
+    assert len(rows) == 3 and rows.column("toks").to_pylist()[0] == [byte_pairs.MARK, *[ranks[bytes([b])] for b in b"xqzvtheing"]]
+    assert encoder.encode(words).to_pylist()[2] == library.encode_ordinary("ßunger") and len(asked) == 1
+
+
+def test_decoding_in_pieces_of_queries(ranks, library, monkeypatch):
+    """Texts that begin and end inside queries, with empty, null and unknown ones between."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(byte_pairs, "QUERY_TOKENS", 3)
+    texts = ["", "a cat sat there", None, "b", "", "你好 world again", "c"]
+    lists = [None if t is None else library.encode_ordinary(t) for t in texts]
+    lists[3] = [*lists[3], 60_000]
+    got = byte_pairs.ByteDecoder(ranks).decode(pa.array(lists, pa.list_(pa.int32()))).to_pylist()
+    assert got == [b"", b"a cat sat there", None, None, b"", "你好 world again".encode(), b"c"]
+
+
 def test_rows_stay_one_to_one(spark, ranks, library):
     """Nulls, repeated rows, clashing names, an empty table and lists that hold no piece."""
     ready(spark)
