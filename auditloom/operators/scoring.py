@@ -3,6 +3,7 @@
 import json
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from auditloom.session import shared_dir
 SETTINGS = ("system_instruction", "thinking_level", "code_execution")
 
 SCORED = "response string, error_message string, tries int"
+_SCORED_TYPES = (pa.string(), pa.string(), pa.int32())
 
 
 def usable(text):
@@ -61,26 +63,26 @@ def score(tasks, make_scorer, fetch=None, attempts=fixed.SCORE_ATTEMPTS):
 
     def run(batches):
         scorer = make_scorer()
-
-        def one(content, uri, prompt, model, settings):
-            content = fetch(uri) if fetch is not None else content
-            return _answer(scorer, attempts, content, uri, prompt, model, settings)
-
-        for pdf in batches:
-            content = pdf["content"] if "content" in pdf else [None] * len(pdf)
-            known = [c for c in SETTINGS if c in pdf]
-            told = [dict(zip(known, row)) for row in zip(*[pdf[c] for c in known])] or [{}] * len(pdf)
-            done = [
-                one(*row)
-                for row in zip(content, pdf["gcs_uri"], pdf["prompt_text"], pdf["model_name"], told)
-            ]
-            out = pdf.drop(columns=["content"], errors="ignore")
-            for place, name in enumerate(("response", "error_message", "tries")):
-                out[name] = [d[place] for d in done]
-            yield out
+        for batch in batches:
+            names = batch.schema.names
+
+            def values(name):
+                return batch.column(names.index(name)).to_pylist()
+
+            uris = values("gcs_uri")
+            content = map(fetch, uris) if fetch is not None else values("content") if "content" in names else [None] * len(uris)
+            known = [c for c in SETTINGS if c in names]
+            told = (dict(zip(known, row)) for row in zip(*map(values, known))) if known else ({} for _ in uris)
+            rows = zip(content, uris, values("prompt_text"), values("model_name"), told)
+            done = [_answer(scorer, attempts, *row) for row in rows]
+            # All other columns go on as they came.
+            out = [(f.name, batch.column(names.index(f.name))) for f in keep]
+            for place, (name, kind) in enumerate(zip(("response", "error_message", "tries"), _SCORED_TYPES)):
+                out.append((name, pa.array([d[place] for d in done], kind)))
+            yield pa.RecordBatch.from_arrays([column for _, column in out], names=[name for name, _ in out])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    return tasks.mapInPandas(run, f"{schema}, {SCORED}")
+    return tasks.mapInArrow(run, f"{schema}, {SCORED}")
 
 
 def with_content(tasks, images):

@@ -109,6 +109,19 @@ def work(spark, tasks, rendered, make_scorer, jobs_path, results_path, errors_pa
     return outcome
 
 
+def _most_bytes(texts, rendered):
+    """No less than the bytes of any result row of an audit, without looking at its rows.
+
+    The image is a part of the object's name, class and material are keys of the
+    response, and 1024 bytes are more than numbers, tags and lengths take.
+    """
+    model = rendered.agg(F.max(F.octet_length("model_name"))).scalar()
+    total = 3 * F.octet_length("model_result").cast("bigint") + 2 * F.octet_length("gcs_uri") + 1024
+    for text in texts:
+        total = total + F.coalesce(F.octet_length(text), F.lit(0))
+    return total + F.coalesce(model, F.lit(0))
+
+
 def process(
     spark, tasks, rendered, make_scorer, results_path, errors_path, now, run=None,
     images=None, fetch=None, thumbs=True, sign=None, partitions=None, listing=None,
@@ -143,27 +156,36 @@ def process(
     full = responses.with_payload(parsed).withColumn(
         "error_message", F.coalesce("error_message", "reason")
     )
-    full = kept(full.select(*jobs.KEY, "attempt", "error_message", "model_result", "rows"), "parsed")
-    sound = full.where("error_message is null")
-    rows = responses.explode_rows(sound.select(*jobs.KEY, "model_result", "rows"))
+    # URLs once an audit, not once a row.
     bucket, name = objects.split_uri(F.col("gcs_uri"), strict=True)
+    is_sound, urls = F.col("error_message").isNull(), []
     if sign is not None:
-        rows = rows.withColumn("raw_signed_url", sign(F.col("gcs_uri")))
+        full = full.withColumn("raw_signed_url", F.when(is_sound, sign(F.col("gcs_uri"))))
+        urls.append("raw_signed_url")
     if thumbs:
-        rows = rows.withColumn("gcs_thumb_uri", objects.written_thumb_uri(bucket, name))
+        full = full.withColumn("gcs_thumb_uri", objects.written_thumb_uri(bucket, name))
+        urls.append("gcs_thumb_uri")
         if sign is not None:
-            rows = rows.withColumn("thumb_signed_url", sign(F.col("gcs_thumb_uri")))
+            full = full.withColumn("thumb_signed_url", F.when(is_sound, sign(F.col("gcs_thumb_uri"))))
+            urls.append("thumb_signed_url")
+    full = full.withColumn("_most", _most_bytes(["prompt_version_id", *urls], rendered))
+    full = kept(full.select(*jobs.KEY, "attempt", "error_message", "model_result", "rows", *urls, "_most"), "parsed")
+    sound = full.where("error_message is null")
+
+    def as_rows(audits):
+        rows = responses.explode_rows(audits.select(*jobs.KEY, "model_result", *urls, "rows"))
+        return mutate.result_rows(rows, rendered, now)
 
-    # One refused row refuses its audit, before anything is appended.
-    fitted = mutate.result_rows(rows, rendered, now)
+    # One refused row refuses its audit, before anything is appended. Rows are measured where one can be too large.
+    fitted = as_rows(sound.where(F.col("_most") > fixed.MAX_ROW_BYTES))
     sized = fitted.withColumn(
         "reason", F.when(conform.row_bytes(fitted) > fixed.MAX_ROW_BYTES, "row_too_large")
     )
-    checked = kept(conform.fail_whole(sized, jobs.KEY), "rows")
-    good, refused = events.quarantine(checked)
+    _, refused = events.quarantine(conform.fail_whole(sized, jobs.KEY))
+    too_large = kept(refused.groupBy(*jobs.KEY).agg(F.min("reason").alias("_large")), "too-large")
+    good = as_rows(sound.join(too_large, jobs.KEY, "left_anti"))
     tables.write_results(good, results_path, run, image_from_uri=True)
 
-    too_large = refused.groupBy(*jobs.KEY).agg(F.min("reason").alias("_large"))
     outcome = (
         full.select(*jobs.KEY, "attempt", "error_message")
         .join(too_large, jobs.KEY, "left")

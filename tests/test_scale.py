@@ -8,6 +8,7 @@ from auditloom import fixed
 from auditloom.operators import conform, events, jobs, mutate, refresh
 from auditloom.plans import standins as S
 from auditloom.session import shared_dir
+from auditloom.sources import tables
 
 
 def plan_of(df):
@@ -209,3 +210,52 @@ def test_sizes_of_numbers_at_their_bounds(spark):
     numbers = spark.createDataFrame([(n,) for n in bounds], "n bigint")
     for n, size in numbers.select("n", conform.row_bytes(numbers)).collect():
         assert size == 1 + (10 if n < 0 else max(1, -(-n.bit_length() // 7)))
+
+
+def _process(spark, tmp_path, uris, answer, **options):
+    from auditloom.plans import jobs as plans
+
+    tasks = spark.createDataFrame([(u, "v1", 1) for u in uris], "gcs_uri string, prompt_version_id string, attempt int")
+    rendered = spark.createDataFrame(
+        [("v1", "m", "look", "be exact", "HIGH", False)],
+        "prompt_version_id string, model_name string, prompt_text string, system_instruction string, "
+        "thinking_level string, code_execution boolean")
+    paths = [str(tmp_path / n) for n in ("results", "errors")]
+    outcome = plans.process(
+        spark, tasks, rendered, lambda: lambda content, *rest: answer(content.decode()), *paths, F.current_timestamp(),
+        fetch=lambda uri: uri.encode(), **options)
+    return outcome, tables.read_results(spark, paths[0])
+
+
+def test_urls_are_signed_once_an_audit(spark, tmp_path):
+    """Not once a row, and not again for each look at the rows."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def sign(uri):
+        made.add(1)
+        return f"signed {uri}"
+
+    uris = [f"gs://b/o{i}.jpg" for i in range(20)]
+    outcome, results = _process(
+        spark, tmp_path, uris, lambda uri: '{"TotalWeightLbs": 4, "Paper": {"Boxes": 0.25, "Bags": 0.5}}', sign=sign)
+    assert outcome.where("ok").count() == 20 and results.count() == 60
+    assert made.value == 40
+    assert {r.thumb_signed_url for r in results.where("gcs_uri like '%o7.jpg'").collect()} == {
+        "signed gs://b-thumbnails/thumbnails/o7_thumb.webp"}
+
+
+def test_one_row_too_large_refuses_its_audit(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixed, "MAX_ROW_BYTES", 4000)
+    uris = ["gs://b/small.jpg", "gs://b/large.jpg", "gs://b/near.jpg", "gs://b/large.jpg"]
+
+    def answer(uri):
+        # The text around the JSON is not stored; the row of `near` is under the limit, though three times its text is not.
+        more = {"large": 4000, "near": 3000}.get(uri[7:-4], 0)
+        return '{"TotalWeightLbs": 4, "Paper": {"Boxes": 0.25}, "note": "%s"}' % ("x" * more)
+
+    outcome, results = _process(spark, tmp_path, uris, answer)
+    assert sorted((r.gcs_uri, r.ok, r.error_message) for r in outcome.collect()) == [
+        ("gs://b/large.jpg", False, "row_too_large"), ("gs://b/large.jpg", False, "row_too_large"),
+        ("gs://b/near.jpg", True, None), ("gs://b/small.jpg", True, None)]
+    assert {r.gcs_uri for r in results.collect()} == {"gs://b/near.jpg", "gs://b/small.jpg"} and results.count() == 4
