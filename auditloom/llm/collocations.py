@@ -6,8 +6,9 @@ candidate only if it is a frequent phrase, one word shorter, followed often
 enough by a word with which its own tail is a frequent phrase too. The candidates of a level go
 into double-array tries of bounded size, each broadcast in turn. A task walks
 all positions of its texts at once: each step moves every state that is left by
-one word, and the accepting states are binned and counted. The sums over all
-tasks decide which candidates are frequent.
+one word, and the accepting states are binned and counted. The same pass sums the
+words that follow, of which the next level is made. The sums over all tasks decide
+which candidates are frequent.
 
 A word's hash stands for it only while no other word of the language shares it;
 otherwise all words are hashed anew with the next seed.
@@ -177,50 +178,34 @@ def _united(frames):
     return whole
 
 
-def counted(texts, candidates, length, most):
-    """(lang, phrase, number, f) of the `candidates`, counted in all of `texts`."""
-    sums = []
-    for trie in _tries(candidates, length, most):
+def walked(texts, phrases, length, least, most, count, extend):
+    """(counts, longer) of one pass over `texts` with the tries of `phrases` (lang, phrase, number) of `length` words.
 
-        def run(batches, trie=trie):
-            known = trie.value
-            total = np.zeros(len(known.numbers), np.int64)
-            for batch in batches:
-                hashes, roots = _positions(batch, known.roots)
-                for start, stop in _slices(len(hashes)):
-                    _, found = known.walk(roots, hashes, start, stop)
-                    total += np.bincount(found, minlength=len(total))
-            met = np.nonzero(total)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(known.numbers[met]), pa.array(total[met])], names=["number", "f"])
-
-        sums.append(stored(texts.mapInArrow(run, "number long, f long"), "counts"))
-        trie.destroy()
-    if not sums:
-        return candidates.withColumn("f", F.lit(0).cast("long"))
-    return candidates.join(_united(sums).groupBy("number").agg(F.sum("f").alias("f")), "number")
-
-
-def extended(texts, frequent, length, least, most):
-    """Candidates of one word more: (lang, phrase) whose first and last words are `frequent` phrases both.
-
-    Most of them are met a few times only, so those met less than `least` times are left out before
-    they fill tries.
+    `counts` (number, f) holds what is met at least `least` times, in all of `texts`, if `count`. `longer`
+    (number, next), if `extend`, holds the words that follow a phrase at least `least` times and whose tail with it
+    may be among `phrases`; most are met a few times only and are left out before they fill tries.
     """
-    bits = texts.sparkSession.sparkContext.broadcast(_tail_filter(frequent, length))
+    bits = texts.sparkSession.sparkContext.broadcast(_tail_filter(phrases, length)) if extend else None
     made = []
-    for trie in _tries(frequent, length, most):
+    for trie in _tries(phrases, length, most):
 
         def run(batches, trie=trie):
-            known, tails = trie.value, np.unpackbits(bits.value).view(bool)
+            known = trie.value
+            tails = np.unpackbits(bits.value).view(bool) if extend else None
+            total = np.zeros(len(known.numbers), np.int64)
             held = np.zeros((0, 3), np.int64)
 
-            def out():
-                return pa.RecordBatch.from_arrays([pa.array(c) for c in held.T], names=["number", "next", "met"])
+            def out(rows):
+                return pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=["number", "next", "met"])
 
             for batch in batches:
                 hashes, roots = _positions(batch, known.roots)
                 for start, stop in _slices(len(hashes)):
                     place, found = known.walk(roots, hashes, start, stop)
+                    if count:
+                        total += np.bincount(found, minlength=len(total))
+                    if not extend:
+                        continue
                     inside = place + length < len(hashes)
                     place, number = place[inside], known.numbers[found[inside]]
                     after = hashes[place + length]
@@ -231,21 +216,30 @@ def extended(texts, frequent, length, least, most):
                     if len(held) > HELD:
                         held = _summed(held)
                         if len(held) > HELD // 2:
-                            yield out()
+                            yield out(held)
                             held = held[:0]
-            held = _summed(held)
-            yield out()
+            yield out(_summed(held))
+            # No word follows as `BREAK`, which marks the counts.
+            met = np.nonzero(total)[0]
+            yield out(np.stack([known.numbers[met], np.full(len(met), BREAK, np.int64), total[met]], axis=1))
 
         sums = texts.mapInArrow(run, "number long, next long, met long").groupBy("number", "next")
-        enough = sums.agg(F.sum("met").alias("met")).where(F.col("met") >= least)
-        made.append(stored(enough.select("number", "next"), "extensions"))
+        made.append(stored(sums.agg(F.sum("met").alias("met")).where(F.col("met") >= least), "walked"))
         trie.destroy()
-    bits.destroy()
+    if extend:
+        bits.destroy()
     if not made:
-        return frequent.select("lang", "phrase").limit(0)
-    longer = _united(made).join(frequent.select("number", "lang", "phrase"), "number")
-    longer = longer.select("lang", F.concat("phrase", F.array("next")).alias("phrase"))
-    tail = longer.withColumn("tail", F.slice("phrase", 2, length))
+        made = [phrases.select("number", F.lit(BREAK).cast("long").alias("next"), F.lit(0).cast("long").alias("met")).limit(0)]
+    whole = _united(made)
+    counts = whole.where(F.col("next") == BREAK).select("number", F.col("met").alias("f"))
+    return counts, whole.where(F.col("next") != BREAK).select("number", "next")
+
+
+def extended(longer, frequent, length):
+    """Candidates of one word more: (lang, phrase) whose first and last words are `frequent` phrases both."""
+    whole = longer.join(frequent.select("number", "lang", "phrase"), "number")
+    whole = whole.select("lang", F.concat("phrase", F.array("next")).alias("phrase"))
+    tail = whole.withColumn("tail", F.slice("phrase", 2, length))
     tails = frequent.select("lang", F.col("phrase").alias("tail"))
     return tail.join(tails, ["lang", "tail"], "left_semi").select("lang", "phrase")
 
@@ -371,10 +365,12 @@ def frequent_phrases(df, least=100, longest=5, lang_col="lang", text_col="text",
     texts = stored(hashed_texts(texts, seed), "hashes").coalesce(spark.sparkContext.defaultParallelism)
     found = hashed.where(F.col("f") >= least).select("lang", F.array("hash").alias("phrase"), "f")
     levels = [_numbered(found, "frequent")]
-    for length in range(1, longest):
-        candidates = _numbered(extended(texts, levels[-1], length, least, most), "candidates")
-        found = counted(texts, candidates, length + 1, most).where(F.col("f") >= least)
-        levels.append(_numbered(found.select("lang", "phrase", "f"), "frequent"))
+    _, longer = walked(texts, levels[0], 1, least, most, False, longest > 1)
+    for length in range(2, longest + 1):
+        candidates = _numbered(extended(longer, levels[-1], length - 1), "candidates")
+        # Counted and followed in one pass: what follows candidates that are not frequent goes with them.
+        counts, longer = walked(texts, candidates, length, least, most, True, length < longest)
+        levels.append(stored(candidates.join(counts, "number"), "frequent"))
         if levels[-1].isEmpty():
             break
     whole = _united([level.select("lang", "phrase", "f") for level in levels])

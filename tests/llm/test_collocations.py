@@ -129,3 +129,12 @@ def test_double_array_finds_its_phrases_and_no_others():
             if key in wanted:
                 hit[i] = wanted[key]
         assert got == hit
+
+
+def test_one_pass_a_length(spark, monkeypatch):
+    """Candidates are counted, and the words after them summed, by the same tries."""
+    passes, tries = [], co._tries
+    monkeypatch.setattr(co, "_tries", lambda phrases, length, most: passes.append(length) or tries(phrases, length, most))
+    rows = [("one two three four five six", "en")] * 5
+    assert found(spark, rows, least=3) == sorted(expected(rows, 3, 5, 100, 2000))
+    assert passes == [1, 2, 3, 4, 5]
